@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 #: Rules that may stand in an expression.
 LITERAL = 500
 #: Words that mark a spam host when they stand between dots or hyphens.
-SPAM_WORDS = ["casino", "cialis", "clickbait", "gambling", "lottery", "malware", "phishing", "pills", "poker", "porn", "spam", "viagra", "warez", "xxx"]
+SPAM_WORDS = ["ads", "adserver", "bets", "betting", "casino", "cialis", "clickbait", "gambling", "lottery", "malware", "phishing", "pills", "poker", "porn", "spam", "tracker", "viagra", "warez", "xxx"]
 
 
 @dataclass(frozen=True)
