@@ -1 +1 @@
-
+"""Column functions: character classes and small building blocks."""

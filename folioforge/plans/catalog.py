@@ -2,5 +2,259 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import cleaning, codes, duplicates, identity, names, pages, quality, reports, sizes, subchunks
+from . import fixtures, manifest, pipeline
+from .oracles import ORACLES as ORACLES
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+
+def query(make: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Registers a query; its whole numbers are all bigint, as SQL engines differ on smaller ones."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = make(spark, sf_dir)
+        return df.select(*[F.col(c).cast("bigint").alias(c) if t in ("int", "smallint", "tinyint") else F.col(c) for c, t in df.dtypes])
+
+    QUERIES[make.__name__] = run
+    return make
+
+
+@query
+def doc_ids(spark, d):
+    rel = F.col("txt_rel")
+    return fixtures.files(spark, d).select("id", "txt_rel", identity.uid(rel).alias("uid"), identity.doc_id(rel).alias("doc_id"), identity.src_kind(rel).alias("src_kind"), identity.stem(rel).alias("stem"), identity.file_name(rel).alias("file_name"))
+
+
+@query
+def src_kind_counts(spark, d):
+    return reports.frequencies(fixtures.files(spark, d).select(identity.src_kind(F.col("txt_rel")).alias("src_kind")), "src_kind")
+
+
+@query
+def human_sizes(spark, d):
+    return fixtures.files(spark, d).select("id", identity.human_size(F.col("size_bytes")).alias("size"), identity.human_size(F.col("size_bytes") * 5000).alias("larger"))
+
+
+@query
+def size_histogram(spark, d):
+    return sizes.size_distribution(fixtures.files(spark, d))
+
+
+@query
+def exact_duplicates(spark, d):
+    rel = F.col("txt_rel")
+    rows = fixtures.files(spark, d).withColumns({"doc_id": identity.doc_id(rel), "sid": identity.doc_id(rel), "uid": identity.uid(rel)})
+    return duplicates.same_size_same_content(rows, "text")
+
+
+@query
+def size_totals(spark, d):
+    return duplicates.size_totals(fixtures.files(spark, d))
+
+
+@query
+def stem_index(spark, d):
+    return identity.stem_index(fixtures.colliding(spark, d))
+
+
+@query
+def stem_join(spark, d):
+    return identity.stem_join(fixtures.colliding(spark, d), "text").select("id", "txt_rel", "text_rel", F.sha1(F.col("text").cast("binary")).alias("text_sha1"))
+
+
+@query
+def name_fields(spark, d):
+    return names.parse_names(fixtures.file_names(spark))
+
+
+def _coded(spark, d):
+    return codes.code_columns(fixtures.coded(spark, d))
+
+
+@query
+def udc_codes(spark, d):
+    return _coded(spark, d).select("doc_id", "udc", "udc_zone", "udc_status", F.size("udc_hits").alias("hits"), F.get("udc_hits", F.lit(0))["pos_from_start"].alias("first_pos"))
+
+
+@query
+def bbk_codes(spark, d):
+    return _coded(spark, d).select("doc_id", "bbk", "bbk_zone", "bbk_status", F.size("bbk_hits").alias("hits"))
+
+
+@query
+def text_year(spark, d):
+    return fixtures.coded(spark, d).select("doc_id", codes.text_year(F.col("text"), 5000).alias("year"))
+
+
+@query
+def merged_year(spark, d):
+    named = F.when(F.col("doc_id") % 3 == 0, "1955").when(F.col("doc_id") % 3 == 1, "1111")
+    return fixtures.coded(spark, d).select("doc_id", codes.merged_year(named, codes.text_year(F.col("text"), 5000)).alias("year"))
+
+
+@query
+def top_codes(spark, d):
+    return reports.top_codes(_coded(spark, d), "udc", "doc_id")
+
+
+@query
+def code_weights(spark, d):
+    """Rows only: the similarity of compare forms has no SQL form."""
+    rows = fixtures.coded(spark, d).withColumn("hits", codes.udc_hits(F.col("text"), 80)).withColumn("choice", codes.accepted(F.col("hits")))
+    return rows.select("doc_id", codes.weight(F.col("choice"), codes.udc_form).alias("weight"))
+
+
+@query
+def normalize_pages(spark, d):
+    return fixtures.books(spark, d).select("book", F.sha1(pages.normalize(F.col("text")).cast("binary")).alias("sha1"))
+
+
+@query
+def page_split(spark, d):
+    rows = pages.all_pages(fixtures.books(spark, d)).where(F.length("text") >= 20)
+    return rows.select("book", "page_no", F.length("text").alias("chars"), F.sha1(F.col("text").cast("binary")).alias("sha1"))
+
+
+@query
+def page_length_buckets(spark, d):
+    rows = pages.all_pages(fixtures.books(spark, d)).where(F.length("text") >= 20)
+    return rows.groupBy(pages.bucket(F.length("text")).alias("bucket")).agg(F.count("*").alias("n"))
+
+
+@query
+def page_stats(spark, d):
+    return pages.page_stats(fixtures.books(spark, d).withColumnRenamed("book", "doc_id"))
+
+
+def _lines(rows):
+    return rows.select("doc_id", F.explode_outer(quality.line_entries(F.col("text"))).alias("x")).where("x is not null").select("doc_id", "x.*")
+
+
+@query
+def line_metrics(spark, d):
+    return _lines(fixtures.mutated(spark, d))
+
+
+@query
+def line_class_counts(spark, d):
+    return _lines(fixtures.order_tables(spark, d).unionByName(fixtures.mutated(spark, d))).groupBy("line_class", "table_like_score_line").agg(F.count("*").alias("n"))
+
+
+def _pages(rows):
+    """Texts as pages with the path columns that the cleaner asks for."""
+    rel = F.concat(F.lit("OCR_TXT"), F.when(F.col("doc_id") % 7 == 0, "/tab").otherwise(""), F.lit("/doc"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    return rows.withColumns({"txt_rel": rel, "txt_abs": F.lit(None).cast("string"), "page_start": F.lit(1), "year": F.lit(None).cast("string")})
+
+
+@query
+def page_metrics(spark, d):
+    return quality.analyze(fixtures.mutated(spark, d)).drop("text", "lines", "doc_id16")
+
+
+@query
+def table_page_metrics(spark, d):
+    return quality.analyze(fixtures.order_tables(spark, d)).drop("text", "lines", "doc_id16")
+
+
+@query
+def junk_flags(spark, d):
+    rows = quality.analyze(fixtures.mutated(spark, d))
+    return rows.agg(*[F.count_if(f).alias(k) for k, f in quality.junk_flags().items()])
+
+
+@query
+def quality_class_counts(spark, d):
+    return quality.analyze(fixtures.mutated(spark, d)).groupBy("quality_class", "junk_score").agg(F.count("*").alias("n"))
+
+
+@query
+def quality_stats(spark, d):
+    return quality.quality_stats(quality.analyze(fixtures.mutated(spark, d)))
+
+
+@query
+def compact_lines(spark, d):
+    """Line entries in the compact form and back."""
+    there = quality.compact(quality.analyze(fixtures.mutated(spark, d)))
+    return quality.expand(there).select("doc_id", F.explode_outer("lines").alias("x")).where("x is not null").select("doc_id", "x.line_no", "x.has_digit", "x.line_class", "x.text_len")
+
+
+@query
+def normalize_line(spark, d):
+    lines = fixtures.mutated(spark, d).select("doc_id", F.posexplode_outer(cleaning.raw_lines(F.col("text"))).alias("i", "s"))
+    return lines.select("doc_id", "i", cleaning.normalize_line(F.col("s")).alias("line"))
+
+
+@query
+def table_line_filter(spark, d):
+    lines = fixtures.coded(spark, d).select("doc_id", F.posexplode_outer(cleaning.raw_lines(F.col("text"))).alias("i", "s")).withColumn("line", cleaning.normalize_line(F.col("s")))
+    return lines.select("doc_id", "i", cleaning.keep_tokens(F.col("line"), 3).alias("x")).select("doc_id", "i", "x.*")
+
+
+@query
+def tab_page_clean(spark, d):
+    rows = fixtures.order_tables(spark, d).unionByName(fixtures.mutated(spark, d))
+    return rows.select("doc_id", cleaning.clean_tab(F.col("text")).alias("x")).select("doc_id", "x.*")
+
+
+def _cleaned(spark, d):
+    return cleaning.clean_all(quality.analyze(_pages(fixtures.mutated(spark, d))))
+
+
+@query
+def line_decisions(spark, d):
+    return _cleaned(spark, d).where("not is_tab").select("doc_id", F.explode_outer("decisions").alias("x")).select("doc_id", "x.*")
+
+
+@query
+def removal_reasons(spark, d):
+    return _cleaned(spark, d).where("not is_tab").select("quality_class", F.explode_outer("decisions").alias("x")).groupBy("quality_class", "x.action", "x.reason").agg(F.count("*").alias("n"))
+
+
+@query
+def clean_pages(spark, d):
+    rows = cleaning.clean_pages(quality.analyze(_pages(fixtures.mutated(spark, d))))
+    return rows.select("doc_id", "clean_mode", "text_before_clean_len", "text_after_clean_len", "chunk_changed", F.sha1(F.col("text").cast("binary")).alias("sha1"))
+
+
+@query
+def clean_summary(spark, d):
+    return cleaning.clean_summary(_cleaned(spark, d))
+
+
+@query
+def subchunk_texts(spark, d):
+    rows = fixtures.documents(spark, d).select(F.col("doc_id").cast("string").alias("doc_id"), "text", F.lit(1).alias("page_start"), F.lit("1999").alias("year"), F.lit("x").alias("txt_rel"))
+    return subchunks.split_pages(rows)
+
+
+@query
+def subchunk_stats(spark, d):
+    return subchunks.split_stats(fixtures.documents(spark, d))
+
+
+@query
+def token_report(spark, d):
+    rel = F.col("txt_rel")
+    rows = fixtures.files(spark, d).withColumns({"doc_id": identity.doc_id(rel), "sid": identity.doc_id(rel), "uid": identity.uid(rel), "src_kind": identity.src_kind(rel), "src_rel": F.lit("")})
+    return sizes.token_report(rows, sizes.whitespace_tokenizer).select("txt_rel", "size_bytes", "token_count_e5", "is_searchable_e5", "error", F.sha1(F.col("text_for_report").cast("binary")).alias("report_sha1"))
+
+
+@query
+def manifest_summary(spark, d):
+    """Rows only: the whole manifest stage over texts with codes."""
+    rows = fixtures.files(spark, d).drop("text").join(fixtures.coded(spark, d).withColumnRenamed("doc_id", "id"), "id").drop("id")
+    return reports.manifest_summary(manifest.build(rows))
+
+
+@query
+def pipeline_end_to_end(spark, d):
+    """All five stages: documents as files, to the final chunks."""
+    rows = manifest.build(fixtures.files(spark, d).drop("id"))
+    return pipeline.chunks(rows)

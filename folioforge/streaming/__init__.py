@@ -1 +1 @@
-
+"""The page stages over a stream of manifest rows."""
