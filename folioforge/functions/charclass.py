@@ -34,9 +34,10 @@ def squeeze(s: Column) -> Column:
     return F.regexp_replace(s, f"[{SPACE}]+", " ")
 
 
-def count(s: Column, inside: str) -> Column:
-    """How many characters are in a class."""
-    return F.length(F.regexp_replace(s, f"[^{inside}]+", ""))
+def count(s: Column, inside: str, others: str = "") -> Column:
+    """How many characters are in a class. `others`: a simple class outside it that most characters are in, to pass over them fast."""
+    pattern = f"[{others}]+|[^{inside}{others}]+" if others else f"[^{inside}]+"
+    return F.length(F.regexp_replace(s, pattern, ""))
 
 
 def count_outside(s: Column, outside: str) -> Column:

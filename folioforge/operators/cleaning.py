@@ -44,7 +44,7 @@ def line_metrics(s: Column) -> Column:
         letters = count(s, r"\p{L}")
         chars = F.aggregate(tokens, F.lit(0), lambda a, t: a + F.length(t))
         return F.struct(
-            part(count(s, DIGIT), n).alias("digit_ratio"), part(letters, n).alias("letter_ratio"), part(F.size(F.filter(tokens, lambda t: F.length(t) == 1)), k).alias("single_char_token_ratio"),
+            part(count(s, DIGIT, r"\p{L}\x20"), n).alias("digit_ratio"), part(letters, n).alias("letter_ratio"), part(F.size(F.filter(tokens, lambda t: F.length(t) == 1)), k).alias("single_char_token_ratio"),
             k.alias("token_count"), part(chars, k).alias("avg_token_len"), (letters > 0).alias("has_letter"), F.length(strip(s)).alias("text_len_stripped"),
         )
 

@@ -6,20 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import QualityConfig
-from ..functions.charclass import LINE_BREAK, SPACE, WORD, count, count_outside, let, ratio, strip
-from ..functions.charclass import DIGIT as _DIGITS
+from ..functions.charclass import DIGIT, LINE_BREAK, SPACE, WORD, count, count_outside, let, ratio, strip
 from ..schemas import LINE_FIELDS, METRICS, names
 
 TOKEN = f"[{WORD}]+"
-ONE_CHAR_TOKEN = f"(?<![{WORD}])[{WORD}](?![{WORD}])"
 #: A page gets a point for each threshold that it crosses.
 THRESHOLDS = {"min_letter_ratio": 0.35, "max_digit_ratio": 0.30, "max_punct_ratio": 0.25, "max_single_char_token_ratio": 0.30, "max_non_letter_line_ratio": 0.40, "min_avg_token_len": 3.0, "max_short_line_ratio": 0.30, "max_duplicate_line_ratio": 0.20, "short_line_chars": 3, "junk_score": 5, "suspicious_score": 3}
 LINE_CLASSES = {"text_line": 0, "short_text": 1, "table_like": 2, "non_letter": 3}
 
 
-def token_numbers(s: Column) -> dict[str, Column]:
-    """Number of tokens, of one-character tokens, and of characters in tokens."""
-    return {"tokens": F.regexp_count(s, F.lit(TOKEN)), "ones": F.regexp_count(s, F.lit(ONE_CHAR_TOKEN)), "chars": count(s, WORD)}
+def numbers(s: Column) -> Column:
+    """Counts over a text: characters in all and by kind, tokens, one-character tokens and characters in tokens; each regular expression runs once."""
+
+    def counted(tokens: Column) -> Column:
+        return F.struct(
+            F.length(s).alias("n"), count(s, r"\p{L}").alias("letters"), count(s, DIGIT, r"\p{L}\x20").alias("digits"), count(s, SPACE, r"\p{L}\p{N}").alias("spaces"), count_outside(s, rf"\p{{L}}\p{{N}}{SPACE}").alias("puncts"),
+            F.size(tokens).alias("tokens"), F.size(F.filter(tokens, lambda t: F.length(t) == 1)).alias("ones"), F.length(F.array_join(tokens, "")).alias("chars"),
+        )
+
+    return let(F.regexp_extract_all(s, F.lit(f"({TOKEN})"), F.lit(1)), counted)
 
 
 def lines(text: Column) -> Column:
@@ -34,16 +39,14 @@ def repeated(items: Column) -> Column:
 
 
 def line_struct(x: Column, twice: Column) -> Column:
-    s = x["text"]
-    n = F.length(s)
-    tokens = token_numbers(s)
-    letters, digits, spaces = count(s, r"\p{L}"), count(s, _DIGITS), count(s, SPACE)
-    first = F.struct(
-        x["line_no"].cast("int").alias("line_no"), s.alias("text"), n.alias("text_len"), F.length(x["stripped"]).alias("text_len_stripped"), tokens["tokens"].alias("token_count_simple"),
-        ratio(letters, n).alias("letter_ratio"), ratio(digits, n).alias("digit_ratio"), ratio(count_outside(s, rf"\p{{L}}\p{{N}}{SPACE}"), n).alias("punct_ratio"), ratio(spaces, n).alias("space_ratio"),
-        ratio(tokens["ones"], tokens["tokens"]).alias("single_char_token_ratio"), ratio(tokens["chars"], tokens["tokens"]).alias("avg_token_len"),
-        (letters > 0).alias("has_letter"), (digits > 0).alias("has_digit"), F.array_contains(twice, x["stripped"]).alias("is_duplicate_in_chunk"),
-    )
+    def measured(c: Column) -> Column:
+        first = F.struct(
+            x["line_no"].cast("int").alias("line_no"), x["text"].alias("text"), c["n"].alias("text_len"), F.length(x["stripped"]).alias("text_len_stripped"), c["tokens"].alias("token_count_simple"),
+            *[ratio(c[k], c["n"]).alias(f"{name}_ratio") for name, k in (("letter", "letters"), ("digit", "digits"), ("punct", "puncts"), ("space", "spaces"))],
+            ratio(c["ones"], c["tokens"]).alias("single_char_token_ratio"), ratio(c["chars"], c["tokens"]).alias("avg_token_len"),
+            (c["letters"] > 0).alias("has_letter"), (c["digits"] > 0).alias("has_digit"), F.array_contains(twice, x["stripped"]).alias("is_duplicate_in_chunk"),
+        )
+        return let(first, graded)
 
     def graded(m: Column) -> Column:
         flags = [m["digit_ratio"] >= 0.30, m["letter_ratio"] <= 0.50, (m["single_char_token_ratio"] >= 0.40) & (m["token_count_simple"] >= 4), ~m["has_letter"], (m["avg_token_len"] > 0) & (m["avg_token_len"] < 3.0)]
@@ -51,7 +54,7 @@ def line_struct(x: Column, twice: Column) -> Column:
         kind = F.when(~m["has_letter"], "non_letter").when(score >= 2, "table_like").when(m["text_len_stripped"] <= 3, "short_text").otherwise("text_line")
         return F.struct(*[m[f].alias(f) for f in LINE_FIELDS[:-2]], score.alias("table_like_score_line"), kind.alias("line_class"))
 
-    return let(first, graded)
+    return let(numbers(x["text"]), measured)
 
 
 def line_entries(text: Column) -> Column:
@@ -59,15 +62,13 @@ def line_entries(text: Column) -> Column:
     return let(lines(text), lambda items: let(repeated(items), lambda twice: F.transform(items, lambda x: line_struct(x, twice))))
 
 
-def page_metrics(text: Column, items: Column) -> dict[str, Column]:
-    """Metrics of a page and of its line entries, up to its quality class; a dict of named columns over `m`."""
-    n, rows = F.length(text), F.size(items)
-    tokens = token_numbers(text)
+def page_metrics(c: Column, items: Column) -> dict[str, Column]:
+    """Metrics of a page from its counts (`numbers`) and its line entries, up to its quality class."""
+    rows = F.size(items)
     some = lambda f: F.size(F.filter(items, f))
     return {
-        "text_len": n, "line_count": rows, "token_count": tokens["tokens"], "letter_ratio": ratio(count(text, r"\p{L}"), n), "digit_ratio": ratio(count(text, _DIGITS), n),
-        "punct_ratio": ratio(count_outside(text, rf"\p{{L}}\p{{N}}{SPACE}"), n), "single_char_token_ratio": ratio(tokens["ones"], tokens["tokens"]),
-        "non_letter_line_ratio": ratio(some(lambda x: ~x["has_letter"]), rows), "avg_token_len": ratio(tokens["chars"], tokens["tokens"]),
+        "text_len": c["n"], "line_count": rows, "token_count": c["tokens"], **{f"{name}_ratio": ratio(c[k], c["n"]) for name, k in (("letter", "letters"), ("digit", "digits"), ("punct", "puncts"))},
+        "single_char_token_ratio": ratio(c["ones"], c["tokens"]), "non_letter_line_ratio": ratio(some(lambda x: ~x["has_letter"]), rows), "avg_token_len": ratio(c["chars"], c["tokens"]),
         "short_line_ratio": ratio(some(lambda x: x["text_len_stripped"] <= 3), rows), "duplicate_line_ratio": ratio(some(lambda x: x["is_duplicate_in_chunk"]), rows),
     }
 
@@ -87,7 +88,8 @@ def analyze(pages: DataFrame, config: QualityConfig = QualityConfig()) -> DataFr
     if "doc_id16" not in pages.columns:
         pages = pages.withColumn("doc_id16", F.lit(None).cast("string"))
     rows = pages.withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "^\ufeff+", "")).withColumn("lines", line_entries(F.col("text")))
-    rows = rows.withColumns(page_metrics(F.col("text"), F.col("lines")))
+    rows = rows.withColumn("_numbers", numbers(F.col("text")))
+    rows = rows.withColumns(page_metrics(F.col("_numbers"), F.col("lines")))
     rows = rows.withColumn("junk_score", sum((f.cast("int") for f in junk_flags().values()), F.lit(0)))
     kind = F.when(F.col("junk_score") >= THRESHOLDS["junk_score"], "junk_candidate").when(F.col("junk_score") >= THRESHOLDS["suspicious_score"], "suspicious").otherwise("ok")
     rows = rows.withColumn("quality_class", kind)

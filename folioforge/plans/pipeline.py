@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
+from ..functions.parallel import spread
 from ..operators import cleaning, pages, quality, subchunks
 from ..sources import text_files
 from . import manifest
@@ -20,7 +21,7 @@ def chunks(manifest_rows: DataFrame, config: PipelineConfig = PipelineConfig())
 
 def run(spark: SparkSession, lib_root: str, config: PipelineConfig = PipelineConfig()) -> DataFrame:  # noqa: B008
     """The final chunks of all text files below lib_root."""
-    files = text_files.scan(spark, lib_root)
+    files = spread(text_files.scan(spark, lib_root))
     rows = manifest.build(files.withColumn("text", text_files.decoded(F.col("content"))), config.manifest)
     # pages keep the byte order mark that the manifest drops
     return chunks(rows.withColumn("text", text_files.decoded(F.col("content"), for_pages=True)), config)

@@ -64,3 +64,20 @@ def test_jsonl(spark, tmp_path):
     jsonl.write(rows, str(tmp_path / "y"), "b")
     lines = [json.loads(x) for p in sorted((tmp_path / "y").glob("part-*.json")) for x in p.read_text().splitlines()]
     assert {"a": None, "b": None} in lines
+
+
+def test_command_line_stages(spark, tmp_path):
+    from folioforge import cli
+
+    lib, at = tree(tmp_path), lambda n: str(tmp_path / n)
+    cli.main(["manifest", "--lib-root", lib, "--out", at("m1"), "--stats", at("s1")])
+    cli.main(["pages", "--lib-root", lib, "--input", at("m1"), "--out", at("p1")])
+    cli.main(["analyze", "--input", at("p1"), "--out", at("a1"), "--stats", at("s2")])
+    cli.main(["clean", "--input", at("a1"), "--out", at("c1")])
+    cli.main(["split", "--input", at("c1"), "--out", at("k1"), "--max-words", "50"])
+    cli.main(["run", "--lib-root", lib, "--out", at("k2"), "--max-words", "50"])
+    cli.main(["duplicates", "--lib-root", lib, "--out", at("d1")])
+    cli.main(["sizes", "--lib-root", lib, "--out", at("z1")])
+    read = lambda n: sorted(map(tuple, spark.read.schema(CHUNKS).json(at(n)).collect()), key=str)
+    assert read("k1") == read("k2") and len(read("k1")) > 10
+    assert spark.read.json(at("z1")).count() == 18
