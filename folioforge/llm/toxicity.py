@@ -30,8 +30,12 @@ from .shared import annotate, held_out, keep_rows, slices
 SAMPLE_ROWS = 16_000
 #: Terms a lexicon has at most, those in most toxic texts first.
 MOST_TERMS = 4096
-#: Share of a term's texts that must be toxic.
-PURE = 0.9
+#: Share of a term's texts that must be toxic, and share of the toxic texts that must have it (else it may be one passage's word).
+PURE, COMMON = 0.9, 0.02
+#: Clean texts in which a word close to a term must stand to be a word of its own.
+ORDINARY = 2
+#: What a misspelled hit weighs at least, of an exact one.
+MISSPELLED = 0.8
 #: Letters from which on a word may be misspelled; characters within which quotation marks must close.
 FUZZY, QUOTE = 5, 60
 THRESHOLD = 0.3
@@ -46,6 +50,7 @@ class Lexicon:
     words: list[str] = field(default_factory=list)
     beginnings: list[str] = field(default_factory=list)
     weights: np.ndarray = field(default_factory=lambda: PRIOR.copy())
+    ordinary: frozenset[str] = frozenset()  # words of clean texts that happen to be one edit from a term
 
     def __post_init__(self) -> None:
         self.trie: dict = {}
@@ -86,7 +91,7 @@ class Lexicon:
                 break
         if node is not None and "" in node:
             return 1
-        return 2 if len(word) >= FUZZY - 1 and near(self.trie, word) else 0
+        return 2 if len(word) >= FUZZY - 1 and word not in self.ordinary and near(self.trie, word) else 0
 
 
 def near(trie: dict, word: str) -> str | None:
@@ -199,7 +204,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     base = total[1] / total[0]
     counted = rows.mapInArrow(_terms, "term string, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     # so often toxic that none of a million terms would be by chance
-    least = max(3, math.ceil(math.log(1e7) / -math.log(max(base, 1e-3))))
+    least = max(3, math.ceil(math.log(1e7) / -math.log(max(base, 1e-3))), math.ceil(COMMON * total[1]))
     best = counted.where((F.col("bad") >= least) & (F.col("bad") >= PURE * F.col("n"))).orderBy(F.desc("bad"), "term").limit(MOST_TERMS).collect()
     beginnings = [r.term[:-1] for r in best if r.term[-1] == "*"]
     whole = [r.term for r in best if r.term[-1] != "*"]
@@ -208,6 +213,18 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     beginnings = [b for b in beginnings if not any(w.startswith(b) and frequent[w] >= 0.9 * frequent[b + "*"] for w in whole)]
     beginnings = [b for b in beginnings if not any(len(a) < len(b) and b.startswith(a) for a in beginnings)]
     lexicon = Lexicon(whole, beginnings)
+    neighbours = spark.sparkContext.broadcast(lexicon)
+
+    def beside(batches):
+        for batch in batches:
+            n = Counter()
+            for text in batch.column(0).to_pylist():
+                n.update(w for w in set(_WORDS.findall(text.lower())) if neighbours.value.grade(w) == 2)
+            yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
+
+    # the most frequent ones are enough: the model's size is bounded like the lexicon's
+    plain = rows.where("toxic = 0").select("text").mapInArrow(beside, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= ORDINARY)
+    lexicon = Lexicon(whole, beginnings, ordinary=frozenset(r["word"] for r in plain.orderBy(F.desc("n"), "word").limit(10 * MOST_TERMS).collect()))
     shared = spark.sparkContext.broadcast(lexicon)
 
     def seen(batches):
@@ -232,6 +249,7 @@ def fit(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
         w = w - np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-6:
             break
+    w[1] = max(w[1], MISSPELLED * w[0])  # labelled texts may show no misspelling at all
     w[2:4] = np.minimum(w[2:4], w[:2] / 2)  # a quotation never weighs more than half of what it quotes
     return w
 
