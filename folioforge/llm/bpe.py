@@ -32,9 +32,9 @@ from .shared import annotate
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPLIT = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 #: Words kept in a task's table before it starts anew; longer words than this aren't kept.
-KEPT_WORDS, KEPT_LENGTH = 600_000, 40
+KEPT_WORDS, KEPT_LENGTH = 400_000, 40
 #: Arcs tabulated at most before the table starts anew; above every token id.
-KEPT_ARCS, SHIFT = 2_000_000, 1 << 20
+KEPT_ARCS, SHIFT = 500_000, 1 << 20
 
 
 def byte_letters() -> dict[str, int]:

@@ -71,7 +71,7 @@ class Lexicon:
         """0: no term, 1: a term, 2: one edit from a term."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) >= 500_000:
+            if len(self.known) >= 200_000:
                 self.known.clear()
             found = self.known[word] = self._grade(word)
         return found
