@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, langid, licenses, multiset, packing, simhash, toxicity, urls, winnow
+from . import bpe, html, langid, licenses, multiset, oracles, packing, simhash, toxicity, urls, winnow
 from .shared import held_out, table
 
 
@@ -84,4 +84,4 @@ def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_licenses, op3_multiset, op4_urls, op5_langid, op6_bpe, op7_html, op8_toxicity, op9_packing, op10_winnow)}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_licenses": oracles.licensed(), "op4_urls": oracles.site_verdicts(SITE_RULES), "op10_winnow": oracles.contaminated()}
