@@ -53,6 +53,20 @@ def all_pages(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(*others, F.posexplode_outer(split_text(normalize(F.col(text)))).alias("page_no", text)).where("page_no is not null").withColumn("page_no", F.col("page_no") + 1)
 
 
+def with_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """Manifest rows whose file is among `files` (txt_abs, txt_rel, text), with its text: by absolute path, else by relative path."""
+    by_abs = files.select(F.col("txt_abs").alias("_abs"), F.col("text").alias("_t1"))
+    by_rel = files.select(F.col("txt_rel").alias("_rel"), F.col("text").alias("_t2"))
+    rows = manifest.join(by_abs, slashes(F.col("txt_abs")) == F.col("_abs"), "left").join(by_rel, slashes(F.col("txt_rel")) == F.col("_rel"), "left")
+    return rows.withColumn("text", F.coalesce("_t1", "_t2")).where("text is not null").drop("_abs", "_rel", "_t1", "_t2")
+
+
+def missing_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
+    """Manifest rows whose file is under neither path."""
+    rows = manifest.join(files.select(F.col("txt_abs").alias("_abs")), slashes(F.col("txt_abs")) == F.col("_abs"), "left_anti")
+    return rows.join(files.select(F.col("txt_rel").alias("_rel")), slashes(F.col("txt_rel")) == F.col("_rel"), "left_anti")
+
+
 def chunk_pages(manifest: DataFrame, config: PagesConfig = PagesConfig()) -> DataFrame:  # noqa: B008
     """The page table of a manifest with a text column. Pages under min_chars characters are left out but keep their numbers."""
     have = set(manifest.columns)

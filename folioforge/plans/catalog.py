@@ -73,6 +73,52 @@ def name_fields(spark, d):
     return names.parse_names(fixtures.file_names(spark))
 
 
+@query
+def path_scalars(spark, d):
+    raw = F.when(F.col("doc_id") % 4 == 0, F.concat(F.lit("  a\\b"), F.col("doc_id").cast("string"), F.lit("\t"))).when(F.col("doc_id") % 4 == 1, " \u00a0 ").when(F.col("doc_id") % 4 == 2, "x\\y/z")
+    rows = fixtures.documents(spark, d).select("doc_id", raw.alias("raw"))
+    return rows.select("doc_id", pages.slashes(F.col("raw")).alias("slashes"), pages.clean_scalar(F.col("raw")).alias("scalar"), identity.norm(F.col("raw")).alias("norm"))
+
+
+@query
+def manifest_rows(spark, d):
+    return manifest.table(manifest.build(fixtures.files(spark, d).drop("id")))
+
+
+@query
+def page_rows(spark, d):
+    rows = manifest.build(fixtures.files(spark, d).drop("id"))
+    return pages.chunk_pages(rows).withColumn("text", F.sha1(F.col("text").cast("binary")))
+
+
+@query
+def missing_files(spark, d):
+    """Files of every tenth document are gone; every third manifest row has only its relative path."""
+    rows = fixtures.files(spark, d)
+    listed = rows.drop("text").withColumn("txt_abs", F.when(F.col("id") % 3 > 0, F.col("txt_abs")))
+    there = rows.where("id % 10 > 0")
+    missing = pages.missing_files(listed, there).select("id", F.lit("missing").alias("state"))
+    return missing.unionByName(pages.with_files(listed, there).select("id", F.lit("read").alias("state")))
+
+
+@query
+def consistency(spark, d):
+    rows = fixtures.files(spark, d).withColumn("doc_id", F.when(F.col("id") % 9 == 0, "wrong").otherwise(identity.doc_id(F.col("txt_rel"))))
+    return identity.consistency(rows).select("id", "doc_id_ok", "txt_abs_ok", "txt_rel_ok")
+
+
+@query
+def small_files(spark, d):
+    return sizes.small_files(fixtures.files(spark, d))
+
+
+@query
+def duplicate_report(spark, d):
+    rel = F.col("txt_rel")
+    rows = fixtures.files(spark, d).withColumns({"doc_id": identity.doc_id(rel), "sid": identity.doc_id(rel), "uid": identity.uid(rel)})
+    return reports.duplicate_lines(duplicates.same_size_same_content(rows, "text"))
+
+
 def _coded(spark, d):
     return codes.code_columns(fixtures.coded(spark, d))
 
@@ -82,6 +128,26 @@ def udc_codes(spark, d):
     return _coded(spark, d).select("doc_id", "udc", "udc_zone", "udc_status", F.size("udc_hits").alias("hits"), F.get("udc_hits", F.lit(0))["pos_from_start"].alias("first_pos"))
 
 
+@query
+def udc_hit_rows(spark, d):
+    return fixtures.coded(spark, d).select("doc_id", F.explode_outer(codes.udc_hits(F.col("text"), 80)).alias("x")).where("x is not null").select("doc_id", "x.*")
+
+
+@query
+def code_frequencies(spark, d):
+    return reports.frequencies(_coded(spark, d), "udc_zone", "udc_status")
+
+
+@query
+def hit_counts(spark, d):
+    return reports.hit_counts(_coded(spark, d), "udc_hits")
+
+
+@query
+def hit_listing(spark, d):
+    return reports.debug_lines(_coded(spark, d).withColumn("txt_rel", F.col("doc_id").cast("string")))
+
+
 @query
 def bbk_codes(spark, d):
     return _coded(spark, d).select("doc_id", "bbk", "bbk_zone", "bbk_status", F.size("bbk_hits").alias("hits"))
@@ -246,6 +312,13 @@ def token_report(spark, d):
     return sizes.token_report(rows, sizes.whitespace_tokenizer).select("txt_rel", "size_bytes", "token_count_e5", "is_searchable_e5", "error", F.sha1(F.col("text_for_report").cast("binary")).alias("report_sha1"))
 
 
+@query
+def token_report_control(spark, d):
+    rel = F.col("txt_rel")
+    rows = fixtures.files(spark, d).withColumns({"doc_id": identity.doc_id(rel), "sid": identity.doc_id(rel), "uid": identity.uid(rel), "src_kind": identity.src_kind(rel), "src_rel": F.lit("")})
+    return sizes.token_report_control(sizes.token_report(rows, sizes.whitespace_tokenizer))
+
+
 @query
 def manifest_summary(spark, d):
     """Rows only: the whole manifest stage over texts with codes."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from ..functions import charclass
+from .fixtures import NAMES
 
 
 def _re2(java: str) -> str:
@@ -163,7 +164,7 @@ _BLOCK = lambda raw: f"regexp_replace(regexp_replace({strip(raw)}, '[{SPACE}]+',
 
 
 def hits(label: str, width: int, tag: str) -> str:
-    return rf"""SELECT doc_id, p0 - {width} AS pos, {_BLOCK(_UDC_AFTER)} AS value, '{tag}' AS tag FROM (SELECT doc_id, text, unnest(list_filter(range(1, length(text) + 1), lambda i: regexp_matches(substr(text, i, {width}), '^{label}'))) + {width - 1} AS p0 FROM coded) WHERE {n_of(_BLOCK(_UDC_AFTER), '0-9')} >= 3"""
+    return rf"""SELECT doc_id, text, p0 - {width} AS pos, {width} AS width, length({_UDC_AFTER}) AS used, {_BLOCK(_UDC_AFTER)} AS value, '{tag}' AS tag FROM (SELECT doc_id, text, unnest(list_filter(range(1, length(text) + 1), lambda i: regexp_matches(substr(text, i, {width}), '^{label}'))) + {width - 1} AS p0 FROM coded) WHERE {n_of(_BLOCK(_UDC_AFTER), '0-9')} >= 3"""
 
 
 _UDC = f"""exact AS ({hits('УДК', 3, 'exact')}), marked AS ({hits('УДК[:.-]', 4, 'group1')}),
@@ -181,7 +182,29 @@ scored AS (SELECT doc_id, i, year, greatest(0, 2001 - i) / 2000.0::DOUBLE + CASE
   + CASE WHEN regexp_matches(before, '(^|[^\p{L}\p{N}_])([гГ]\.?|год|ГОД|т\.)[SP]*$') THEN 1.5 ELSE 0 END + CASE WHEN regexp_matches(near, '(?i)изд|издание|выпуск|тираж|печать|подписано') THEN 0.7 ELSE 0 END AS score FROM around),
 years AS (SELECT c.doc_id, coalesce(arg_max(year, struct_pack(score := score, p := -i)), '') AS year FROM coded c LEFT JOIN scored s ON c.doc_id = s.doc_id GROUP BY 1)""".replace("[SP]", f"[{SPACE}]")
 
+_BBK = "v AS (SELECT doc_id, text, CASE WHEN doc_id % 4 = 0 THEN (doc_id % 80 + 20) || '.' || (doc_id % 9 + 1) || 'я' || (doc_id % 90 + 10) WHEN doc_id % 12 = 1 THEN substr((doc_id % 100 + 1900)::VARCHAR, 1, 3) ELSE '' END AS bbk FROM coded)"
+_GROUPS = "sized AS (SELECT *, count(*) OVER (PARTITION BY size_bytes) AS c FROM files), nums AS (SELECT *, dense_rank() OVER (ORDER BY size_bytes) AS sg, sha1(text) AS h FROM sized WHERE c > 1), g AS (SELECT *, count(*) OVER (PARTITION BY size_bytes, h) AS n FROM nums), gg AS (SELECT *, dense_rank() OVER (ORDER BY size_bytes, h) AS rg, row_number() OVER (PARTITION BY size_bytes, h ORDER BY lower(txt_rel)) AS k FROM g WHERE n > 1)"
+# a name like doc1987 is a year and a title
+_FIELDS = "substr(sha1(txt_rel), 1, 16) AS sid, substr(sha1(txt_rel), 1, 16) AS doc_id, sha1(txt_rel) AS uid, txt_rel, txt_abs, CASE WHEN contains(txt_rel, 'pdf_OCR_TXT') THEN 'pdf' WHEN contains(txt_rel, 'djvu_OCR_TXT') THEN 'djvu' END AS src_kind, false AS src_exists, txt_rel AS rel_path_stg1, CASE WHEN id BETWEEN 1500 AND 2030 THEN 'doc' ELSE 'doc' || id END AS title, CASE WHEN id BETWEEN 1500 AND 2030 THEN id::VARCHAR END AS year"
+
 ORACLES: dict[str, str] = {
+    "path_scalars": with_(DOCS, "r AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '  a\\b' || doc_id || chr(9) WHEN 1 THEN ' ' || chr(160) || ' ' WHEN 2 THEN 'x\\y/z' END AS raw FROM docs)")
+    + f"SELECT doc_id, nullif({strip("replace(raw, chr(92), '/')")}, '') AS slashes, nullif({strip('raw')}, '') AS scalar, coalesce({strip("replace(raw, chr(92), '/')")}, '') AS norm FROM r",
+    "manifest_rows": with_(DOCS, FILES) + f"SELECT {_FIELDS}, '' AS src_rel, size_bytes, '' AS authors, '' AS udc, '' AS bbk FROM files",
+    "page_rows": with_(DOCS, FILES, f"n AS (SELECT *, {_NORMAL} AS body FROM files)")
+    + f"SELECT printf('%s::p%05d', substr(sha1(txt_rel), 1, 16), 1) AS chunk_id, {_FIELDS}, NULL::VARCHAR AS topic, NULL::VARCHAR AS txt_sha1, NULL::VARCHAR AS src_rel, 1::BIGINT AS page_start, 1::BIGINT AS page_end, sha1(body) AS text, NULL::VARCHAR AS authors, NULL::VARCHAR AS udc, NULL::VARCHAR AS bbk, size_bytes AS size_bytes_txt, 'make_manifest' AS manifest_generator_program, '1.0' AS manifest_generator_version, '2026-04-04 v4.0' AS manifest_schema_version, 'make_chunks_full' AS chunk_generator_program, '1.0' AS chunk_generator_version FROM n WHERE length(body) >= 20",
+    "missing_files": with_(DOCS, FILES) + "SELECT id, CASE WHEN id % 10 = 0 THEN 'missing' ELSE 'read' END AS state FROM files",
+    "consistency": with_(DOCS, FILES) + "SELECT id, false AS doc_id_ok, true AS txt_abs_ok, true AS txt_rel_ok FROM files WHERE id % 9 = 0",
+    "small_files": with_(DOCS, FILES) + "SELECT count(*) AS rows_total, count(*) FILTER (size_bytes <= 65536) AS small_file_count FROM files",
+    "duplicate_report": with_(DOCS, FILES, _GROUPS)
+    + "SELECT '[GROUP ' || rg || '] size_group_no=' || sg || ' size_bytes=' || size_bytes || ' files=' || n || ' | content_sha1=' || h AS value FROM gg WHERE k = 1 UNION ALL SELECT '  - #' || k || ' | size_group_no=' || sg || ' | size_bytes=' || size_bytes || ' | content_sha1=' || h || ' | doc_id=' || substr(sha1(txt_rel), 1, 16) || ' | sid=' || substr(sha1(txt_rel), 1, 16) || ' | txt_abs=' || txt_abs FROM gg",
+    "udc_hit_rows": with_(DOCS, CODED, _UDC)
+    + f"SELECT doc_id, value, {strip(f"regexp_replace(substr(text, greatest(pos - 80, 0) + 1, least(length(text), pos + width + used + 80) - greatest(pos - 80, 0)), '[{SPACE}]+', ' ', 'g')")} AS context, pos AS pos_from_start, length(text) - pos AS pos_from_end, tag AS source_tag FROM found",
+    "code_frequencies": with_(DOCS, CODED, _UDC) + "SELECT 'udc_zone' AS name, udc_zone AS value, count(*) AS n FROM udc GROUP BY 2 UNION ALL SELECT 'udc_status', udc_status, count(*) FROM udc GROUP BY 2",
+    "hit_counts": with_(DOCS, CODED, _UDC) + "SELECT least(hits, 4) AS hits, count(*) AS n FROM udc GROUP BY 1",
+    "hit_listing": with_(DOCS, CODED, _UDC, _BBK) + "SELECT 'UDK | ' || doc_id || ' | ' || value || ' | ' || pos AS value FROM found UNION ALL SELECT 'BBK | ' || doc_id || ' | ' || bbk || ' | ' || (strpos(text, 'ББК') - 1) FROM v WHERE bbk <> ''",
+    "token_report_control": with_(DOCS, FILES, f"t AS (SELECT size_bytes AS s, len({words('text')}) >= 20 AS ok FROM files WHERE size_bytes <= 512)")
+    + "SELECT count(*) AS candidate_file_count, count(*) FILTER (NOT ok) AS not_searchable_file_count, count(*) FILTER (ok) AS searchable_file_count, max(s) FILTER (NOT ok) AS max_size_bytes_not_searchable, min(s) FILTER (ok) AS min_size_bytes_searchable, '' AS tokenizer_error, coalesce(max(s) FILTER (NOT ok) >= 512, false) OR coalesce(min(s) FILTER (ok) >= 512, false) AS threshold_may_need_review FROM t",
     "doc_ids": with_(DOCS, FILES) + "SELECT id, txt_rel, sha1(txt_rel) AS uid, substr(sha1(txt_rel), 1, 16) AS doc_id, CASE WHEN contains(lower(txt_rel), 'pdf_ocr_txt') THEN 'pdf' WHEN contains(lower(txt_rel), 'djvu_ocr_txt') THEN 'djvu' END AS src_kind, 'doc' || id AS stem, 'doc' || id || '.txt' AS file_name FROM files",
     "src_kind_counts": with_(DOCS, FILES) + "SELECT 'src_kind' AS name, CASE WHEN contains(txt_rel, 'pdf_OCR_TXT') THEN 'pdf' WHEN contains(txt_rel, 'djvu_OCR_TXT') THEN 'djvu' END AS value, count(*) AS n FROM files GROUP BY 2",
     "human_sizes": with_(DOCS, FILES) + f"SELECT id, {human('size_bytes')} AS size, {human('(size_bytes * 5000)')} AS larger FROM files",
@@ -193,7 +216,7 @@ ORACLES: dict[str, str] = {
     "stem_join": with_(DOCS, COLLIDING) + "SELECT c.id, c.txt_rel, f.txt_rel AS text_rel, sha1(f.text) AS text_sha1 FROM colliding c JOIN (SELECT * FROM colliding QUALIFY row_number() OVER (PARTITION BY stem ORDER BY txt_rel) = 1) f ON c.stem = f.stem",
     "udc_codes": with_(DOCS, CODED, _UDC) + "SELECT * FROM udc",
     # a label before a year takes its first three digits for a code
-    "bbk_codes": with_(DOCS, CODED, "v AS (SELECT doc_id, text, CASE WHEN doc_id % 4 = 0 THEN (doc_id % 80 + 20) || '.' || (doc_id % 9 + 1) || 'я' || (doc_id % 90 + 10) WHEN doc_id % 12 = 1 THEN substr((doc_id % 100 + 1900)::VARCHAR, 1, 3) ELSE '' END AS bbk FROM coded)")
+    "bbk_codes": with_(DOCS, CODED, _BBK)
     + "SELECT doc_id, bbk, CASE WHEN bbk = '' THEN 'not_found' WHEN strpos(text, 'ББК') - 1 <= 500 THEN 'early' ELSE 'late' END AS bbk_zone, CASE WHEN bbk <> '' THEN 'ok' ELSE 'not_found' END AS bbk_status, (bbk <> '')::BIGINT AS hits FROM v",
     "text_year": with_(DOCS, CODED, _YEARS) + "SELECT * FROM years",
     "merged_year": with_(DOCS, CODED, _YEARS) + "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '1955' WHEN year <> '' AND year <> '1111' THEN year WHEN doc_id % 3 = 1 THEN '1111' END AS year FROM years",
@@ -234,3 +257,6 @@ ORACLES["pipeline_end_to_end"] = (
     with_(DOCS, FILES, _E2E, lines("source"), metrics("source"), tab_clean("source"), decided("source"), f"kept AS (SELECT doc_id, after AS text FROM cleaned_source WHERE {strip('after')} <> '')", split_sql("kept").replace("parts AS", "cut AS"))
     + "SELECT printf('%s::p%05d::w%02dof%02d', substr(sha1(f.txt_rel), 1, 16), 1, i + 1, k) AS chunk_id, substr(sha1(f.txt_rel), 1, 16) AS doc_id, array_to_string(ws[a - back + 1 : b], ' ') AS text, 1::BIGINT AS page_start, CASE WHEN c.doc_id BETWEEN 1500 AND 2030 THEN c.doc_id::VARCHAR END AS year, f.txt_rel FROM cut c JOIN files f ON c.doc_id = f.id"
 )
+# names have no SQL form (the rules scan with lookahead): the results worked out by hand
+_sql = lambda v: "NULL" if v is None else f"'{v}'"
+ORACLES["name_fields"] = "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_sql, row)) + ")" for row in NAMES) + ") AS t(name, year, authors, title, parse_mode)"
