@@ -2,40 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .identity import file_name
 
 COLUMNS = ["report_group_no", "size_group_no", "group_size", "group_index", "size_bytes", "content_sha1", "doc_id", "sid", "txt_rel", "txt_abs", "uid", "file_name"]
+#: Copies up to which one task orders a group; larger groups are cut at SAMPLED paths drawn from all files.
+ONE_TASK, SAMPLED = 1_000_000, 2000
 
 
 def same_size_same_content(files: DataFrame, content: str = "content") -> DataFrame:
     """Members of every group of files with equal size and content, numbered by size, then by hash.
 
-    Only files that share their size with another are hashed. The content itself is never shuffled: sizes are counted
-    from size_bytes alone and the hash is taken before rows are grouped. Group numbers come from the few distinct
-    groups, so no window runs over all files, and members are counted by window only within their own group.
+    Only files that share their size with another are hashed. The content itself is never shuffled by group: sizes are
+    counted from size_bytes alone and the hash is taken before rows are grouped. Numbers are sums of offsets: of the
+    sizes before (distinct sizes are few, whatever the number of files), of the hash beginnings before, and of the place
+    within those; so no task orders all files, and none a large group of copies.
     """
     sizes = files.where("size_bytes is not null").groupBy("size_bytes").agg(F.count("*").alias("_n")).where("_n > 1")
-    numbers = _dense(sizes.select("size_bytes"), ["size_bytes"], "size_group_no")
-    hashed = files.join(numbers, "size_bytes").withColumn("content_sha1", F.sha1(F.col(content).cast("binary"))).where("content_sha1 is not null").drop(content)
+    shared = sizes.select("size_bytes", F.row_number().over(Window.orderBy("size_bytes")).alias("size_group_no"))
+    hashed = files.join(shared, "size_bytes").withColumn("content_sha1", F.sha1(F.col(content).cast("binary"))).where("content_sha1 is not null").drop(content)
     groups = hashed.groupBy("size_bytes", "content_sha1").agg(F.count("*").alias("group_size")).where("group_size > 1")
-    numbered = _dense(groups, ["size_bytes", "content_sha1"], "report_group_no")
-    place = Window.partitionBy("size_bytes", "content_sha1").orderBy(F.lower("txt_rel"), F.lower("txt_abs"), "txt_rel")
-    rows = hashed.join(numbered, ["size_bytes", "content_sha1"]).withColumn("group_index", F.row_number().over(place)).withColumn("file_name", file_name(F.col("txt_abs")))
-    return rows.select(*COLUMNS)
-
-
-def _dense(groups: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Distinct key rows numbered from 1 in key order, without a single task: offsets of sorted partitions are added."""
-    ranged = groups.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    counts = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_count"))
-    before = counts.select("_part", (F.sum("_count").over(Window.orderBy("_part")) - F.col("_count")).alias("_before"))
-    placed = ranged.withColumn("_part", part).join(before, "_part")
-    return placed.withColumn(name, (F.col("_before") + F.col("_id").bitwiseAND((1 << 33) - 1) + 1).cast("int")).drop("_id", "_part", "_before", "_n")
+    rows = hashed.join(numbered(groups), ["size_bytes", "content_sha1"])
+    return placed(rows, groups).withColumn("file_name", file_name(F.col("txt_abs"))).select(*COLUMNS)
+
+
+def before(*partition: str, order: str, count: str = "_c") -> Column:
+    """The sum of the counts before a row."""
+    w = Window.partitionBy(*partition).orderBy(order) if partition else Window.orderBy(order)
+    return F.coalesce(F.sum(count).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
+def numbered(groups: DataFrame) -> DataFrame:
+    """groups with report_group_no: their number by size and hash."""
+    keyed = groups.withColumn("_head", F.substring("content_sha1", 1, 2))
+    sizes = groups.groupBy("size_bytes").agg(F.count("*").alias("_c")).select("size_bytes", before(order="size_bytes").alias("_sizes"))
+    heads = keyed.groupBy("size_bytes", "_head").agg(F.count("*").alias("_c")).select("size_bytes", "_head", before("size_bytes", order="_head").alias("_heads"))
+    place = F.row_number().over(Window.partitionBy("size_bytes", "_head").orderBy("content_sha1"))
+    rows = keyed.withColumn("_place", place).join(heads, ["size_bytes", "_head"]).join(sizes, "size_bytes")
+    return rows.withColumn("report_group_no", (F.col("_sizes") + F.col("_heads") + F.col("_place")).cast("int")).select(*groups.columns, "report_group_no")
+
+
+def placed(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """rows with group_index: their number in their group by lower-cased path."""
+    keys = ["size_bytes", "content_sha1"]
+    order = [F.lower("txt_rel"), F.lower("txt_abs"), F.col("txt_rel")]
+    if (groups.agg(F.max("group_size")).first()[0] or 0) <= ONE_TASK:
+        return rows.withColumn("group_index", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    # borders drawn by a hash of the path: the same whenever a task runs again
+    total = rows.count()
+    drawn = rows.where(F.pmod(F.xxhash64("txt_rel"), F.lit(1 << 30)) < (1 << 30) * SAMPLED / total).select(F.lower("txt_rel").alias("p")).distinct().orderBy("p")
+    borders = F.array(*[F.lit(r["p"]) for r in drawn.limit(2 * SAMPLED).collect()])
+    cut = rows.withColumn("_cut", F.size(F.filter(borders, lambda b: b <= F.lower("txt_rel"))))
+    counts = cut.groupBy(*keys, "_cut").agg(F.count("*").alias("_c")).select(*keys, "_cut", before(*keys, order="_cut").alias("_before"))
+    own = cut.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_cut").orderBy(*order)))
+    return own.join(counts, [*keys, "_cut"]).withColumn("group_index", (F.col("_before") + F.col("_place")).cast("int")).drop("_cut", "_place", "_before")
 
 
 def size_totals(files: DataFrame) -> DataFrame:

@@ -213,3 +213,24 @@ def test_empty_tables(spark):
     assert pipeline.chunks(rows).columns == field_names(CHUNKS)
     assert pipeline.chunks(rows).count() == 0
     assert ANALYSED
+
+
+@pytest.mark.parametrize("one_task", [1_000_000, 0])
+def test_duplicates_of_a_large_group(spark, monkeypatch, one_task):
+    from folioforge.operators import duplicates
+
+    monkeypatch.setattr(duplicates, "ONE_TASK", one_task)
+    monkeypatch.setattr(duplicates, "SAMPLED", 20)
+    rng = random.Random(2)
+    data = [(f"d/{rng.randrange(10**6)}X{i}", rng.choice(["aa", "bb", "cc", "ddd", "eeee" + str(i)])) for i in range(200)]
+    rows = spark.createDataFrame([(r, "/" + r, len(c), c, "i", "s", "u") for r, c in data], "txt_rel string, txt_abs string, size_bytes long, content string, doc_id string, sid string, uid string").repartition(5)
+    import hashlib
+
+    groups = {}
+    for r, c in data:
+        groups.setdefault((len(c), hashlib.sha1(c.encode()).hexdigest()), []).append(r)
+    shared = sorted({k[0] for k in groups if sum(len(v) for g, v in groups.items() if g[0] == k[0]) > 1})
+    large = sorted(k for k, v in groups.items() if len(v) > 1)
+    want = sorted((n + 1, shared.index(k[0]) + 1, i + 1, r) for n, k in enumerate(large) for i, r in enumerate(sorted(groups[k], key=str.lower)))
+    got = sorted((r.report_group_no, r.size_group_no, r.group_index, r.txt_rel) for r in duplicates.same_size_same_content(rows).collect())
+    assert got == want
