@@ -312,6 +312,12 @@ def test_copies_are_not_template():
     assert html.extract([copy] * 30 + other)[0] == "Same\nSame text"
 
 
+def test_deep_and_wide_pages():
+    deep, wide = "<div>" * 5000 + "end" + "</div>" * 5000 + "<p>after", "<table>" + "<tr><td>a<td>b" * 3000
+    got = html.extract([deep, wide, *(f"<p>page {i}" for i in range(6))])
+    assert got[0] == "end\nafter" and got[1].split("\n") == ["a", "b"] * 3000
+
+
 def test_references_decode():
     assert html.extract(["<p>a &amp b &#233; &unknown; &am</p>"]) == [html_lib.unescape("a &amp b &#233; &unknown; &am")]
 
