@@ -62,8 +62,7 @@ def coded(spark: SparkSession, sf_dir: str) -> DataFrame:
     udc = F.when(n % 5 == 0, F.lit("")).when(n % 5 == 1, F.concat(F.lit("\nУДК "), s(n % 900 + 100), F.lit("."), s(n % 7), F.lit(" Основы"))).when(n % 5 == 2, F.concat(F.lit("\nУДК: "), s(n % 90 + 610), F.lit(".3 "))).when(n % 5 == 3, F.lit("\nУДК 51 Курс")).otherwise(F.concat(F.lit("УДК 004."), s(n % 10), F.lit(" и УДК 004."), s(n % 10), F.lit(" УДК 621.3 ")))
     bbk = F.when(n % 4 == 0, F.concat(F.lit("\nББК "), s(n % 80 + 20), F.lit("."), s(n % 9 + 1), F.lit("я"), s(n % 90 + 10), F.lit(". Авторы"))).when(n % 4 == 1, F.lit("\nББК нет")).otherwise("")
     year = F.when(n % 6 == 0, F.concat(F.lit(" М., "), s(n % 160 + 1862), F.lit(" г. изд."))).when(n % 6 == 1, F.concat(F.lit(" "), s(n % 100 + 1900), F.lit(" и 1987 год "))).otherwise("")
-    head = F.substring("text", 1, 700)
-    return documents(spark, sf_dir).select("doc_id", F.when(n % 2 == 0, F.concat(udc, bbk, year, F.lit(" "), head)).otherwise(F.concat(head, F.lit(" "), udc, bbk, year)).alias("text"))
+    return documents(spark, sf_dir).select("doc_id", F.when(n % 2 == 0, F.concat(udc, bbk, year, F.lit(" "), "text")).otherwise(F.concat("text", F.lit(" "), udc, bbk, year)).alias("text"))
 
 
 #: File names with the year, authors, title and mode that the rules give them, worked out by hand.

@@ -37,7 +37,7 @@ MUTATED = r"""mutated AS (SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN regexp_repl
   WHEN 3 THEN text || chr(10) || '12' || chr(10) || '12' || chr(10) || '3 4' || chr(10) || '-- 5 --' ELSE text END AS text FROM docs)"""
 BOOKS = "books AS (SELECT doc_id // 20 AS book, string_agg(text, chr(12) ORDER BY doc_id) AS text FROM docs GROUP BY 1)"
 TABLES = "tables AS (SELECT l_orderkey AS doc_id, string_agg(l_orderkey || ' | ' || l_partkey || ' | ' || l_suppkey || ' | ' || l_linenumber, chr(10) ORDER BY l_linenumber, l_partkey, l_suppkey) AS text FROM lineitem GROUP BY 1)"
-CODED = """parts AS (SELECT doc_id AS n, substr(text, 1, 700) AS head,
+CODED = """parts AS (SELECT doc_id AS n, text AS head,
   CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN chr(10) || 'УДК ' || (doc_id % 900 + 100) || '.' || (doc_id % 7) || ' Основы' WHEN 2 THEN chr(10) || 'УДК: ' || (doc_id % 90 + 610) || '.3 ' WHEN 3 THEN chr(10) || 'УДК 51 Курс'
     ELSE 'УДК 004.' || (doc_id % 10) || ' и УДК 004.' || (doc_id % 10) || ' УДК 621.3 ' END AS udc,
   CASE doc_id % 4 WHEN 0 THEN chr(10) || 'ББК ' || (doc_id % 80 + 20) || '.' || (doc_id % 9 + 1) || 'я' || (doc_id % 90 + 10) || '. Авторы' WHEN 1 THEN chr(10) || 'ББК нет' ELSE '' END AS bbk,
@@ -164,7 +164,7 @@ _BLOCK = lambda raw: f"regexp_replace(regexp_replace({strip(raw)}, '[{SPACE}]+',
 
 
 def hits(label: str, width: int, tag: str) -> str:
-    return rf"""SELECT doc_id, text, p0 - {width} AS pos, {width} AS width, length({_UDC_AFTER}) AS used, {_BLOCK(_UDC_AFTER)} AS value, '{tag}' AS tag FROM (SELECT doc_id, text, unnest(list_filter(range(1, length(text) + 1), lambda i: regexp_matches(substr(text, i, {width}), '^{label}'))) + {width - 1} AS p0 FROM coded) WHERE {n_of(_BLOCK(_UDC_AFTER), '0-9')} >= 3"""
+    return rf"""SELECT doc_id, text, p0 - {width} AS pos, {width} AS width, length({_UDC_AFTER}) AS used, {_BLOCK(_UDC_AFTER)} AS value, '{tag}' AS tag FROM (SELECT doc_id, text, unnest(list_transform(range(1, len(cut)), lambda i: list_sum(list_transform(cut[1:i], lambda p: length(p))) + {width} * i))::BIGINT AS p0 FROM (SELECT *, string_split_regex(text, '{label}') AS cut FROM coded)) WHERE {n_of(_BLOCK(_UDC_AFTER), '0-9')} >= 3"""
 
 
 _UDC = f"""exact AS ({hits('УДК', 3, 'exact')}), marked AS ({hits('УДК[:.-]', 4, 'group1')}),
@@ -175,8 +175,8 @@ counted AS (SELECT doc_id, value, count(*) AS n, min(pos) AS first, any_value(an
 best AS (SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) = 1),
 udc AS (SELECT c.doc_id, coalesce(b.value, '') AS udc, CASE WHEN b.doc_id IS NULL THEN 'not_found' WHEN b.early THEN 'early' ELSE 'late' END AS udc_zone, CASE WHEN b.doc_id IS NULL THEN 'not_found' WHEN f.tag = 'group1' THEN 'found_group1' ELSE 'ok' END AS udc_status, coalesce(f.hits, 0) AS hits, f.first_pos
   FROM coded c LEFT JOIN best b ON c.doc_id = b.doc_id LEFT JOIN (SELECT doc_id, count(*) AS hits, min(pos) AS first_pos, any_value(tag) AS tag FROM found GROUP BY 1) f ON c.doc_id = f.doc_id)"""
-_YEARS = r"""heads AS (SELECT doc_id, substr(text, 1, 5000) AS h FROM coded),
-spots AS (SELECT doc_id, h, unnest(list_filter(range(1, length(h) - 2), lambda i: regexp_matches(substr(h, i, 4), '^(18[6-9]\p{Nd}|19\p{Nd}\p{Nd}|20[0-1]\p{Nd}|202[0-5])$') AND NOT regexp_matches(substr(h, i + 4, 1), '\p{Nd}') AND (i = 1 OR NOT regexp_matches(substr(h, i - 1, 1), '\p{Nd}')))) AS i FROM heads),
+_YEARS = r"""heads AS (SELECT doc_id, substr(text, 1, 5000) AS h, regexp_extract_all(substr(text, 1, 5000), '[^\p{Nd}]+|\p{Nd}+') AS runs FROM coded),
+spots AS (SELECT doc_id, h, unnest(list_transform(list_filter(range(1, len(runs) + 1), lambda k: regexp_matches(runs[k], '^(18[6-9]\p{Nd}|19\p{Nd}\p{Nd}|20[0-1]\p{Nd}|202[0-5])$')), lambda k: coalesce(list_sum(list_transform(runs[1 : k - 1], lambda p: length(p))), 0) + 1))::BIGINT AS i FROM heads),
 around AS (SELECT doc_id, i, substr(h, i, 4) AS year, substr(h, i + 4, 12) AS after, substr(h, greatest(i - 12, 1), i - greatest(i - 12, 1)) AS before, substr(h, greatest(i - 40, 1), i + 44 - greatest(i - 40, 1)) AS near FROM spots),
 scored AS (SELECT doc_id, i, year, greatest(0, 2001 - i) / 2000.0::DOUBLE + CASE WHEN regexp_matches(after, '^[SP]*(([гГ]|год|ГОД)([^\p{L}\p{N}_]|$)|([гГ]|т)\.[\p{L}\p{N}_])') THEN 3.0 ELSE 0 END
   + CASE WHEN regexp_matches(before, '(^|[^\p{L}\p{N}_])([гГ]\.?|год|ГОД|т\.)[SP]*$') THEN 1.5 ELSE 0 END + CASE WHEN regexp_matches(near, '(?i)изд|издание|выпуск|тираж|печать|подписано') THEN 0.7 ELSE 0 END AS score FROM around),
