@@ -162,9 +162,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
     """One row of each component: that with the smallest id (a group without ids keeps one of its rows)."""
+    return keep_one(docs, near_duplicates(docs, id_col, text, shingle), lambda: _fp_maker(shingle), id_col, text)
+
+
+def keep_one(docs: DataFrame, groups: DataFrame, make, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of docs for each component of groups (id, fp, component); `make` gives a function from texts to fp."""
     columns = docs.columns
     scratch = Scratch(docs.sparkSession)
-    groups = scratch.write(near_duplicates(docs, id_col, text, shingle))
+    groups = scratch.write(groups)
     counts = groups.groupBy("id").agg(F.count("*").alias("n"), F.min("component").alias("component"))
     gone = scratch.write(counts.where("id <> component").select(F.col("id").alias("__gone")))
     twice = counts.where("n > 1 and id = component").select(F.col("id").alias("__twice"))
@@ -178,7 +183,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
         # rows without an id stay if nothing with an id is in their group, one for each fingerprint
         free = kept.where(F.col(id_col).isNull())
         seen = groups.where("component is not null").select("fp").distinct()
-        own = annotate(free.withColumn("__row", F.struct(*columns)), text, ["__row"], [T.StructField("__fp", T.LongType(), False)], lambda: _fp_maker(shingle))
+        own = annotate(free.withColumn("__row", F.struct(*columns)), text, ["__row"], [T.StructField("__fp", T.LongType(), False)], make)
         free = own.join(seen, F.col("__fp") == F.col("fp"), "left_anti").dropDuplicates(["__fp"]).select("__row.*")
         kept = kept.where(F.col(id_col).isNotNull()).unionByName(free)
     return kept.select(*columns)
