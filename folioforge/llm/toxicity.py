@@ -1,7 +1,8 @@
 """Toxicity scores from a learned lexicon, spelled approximately.
 
 The lexicon comes from labelled rows that aren't held out: words (and, marked with a star, word beginnings of 4 to 6
-letters) that toxic texts contain and others hardly do. It's a trie. The Levenshtein automaton of a word, run over the
+letters) that toxic texts contain and others hardly do, and that don't always stand between the same two words, as those
+of one passage do. It's a trie. The Levenshtein automaton of a word, run over the
 trie, finds the terms at most one edit away (two adjacent letters swapped count as one edit, too); words of under
 FUZZY letters and beginnings must match exactly. A hit counts as quoted if quotation marks open before it and close
 after it within QUOTE characters. A logistic model over the counts of hits, exact or misspelled, quoted or not,
@@ -20,6 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +32,8 @@ from .shared import annotate, held_out, keep_rows, slices
 SAMPLE_ROWS = 16_000
 #: Terms a lexicon has at most, those in most toxic texts first.
 MOST_TERMS = 4096
-#: Share of a term's texts that must be toxic, and share of the toxic texts that must have it (else it may be one passage's word).
-PURE, COMMON = 0.9, 0.02
+#: Share of a term's texts that must be toxic.
+PURE = 0.9
 #: Clean texts in which a word close to a term must stand to be a word of its own.
 ORDINARY = 2
 #: What a misspelled hit weighs at least, of an exact one.
@@ -185,6 +187,21 @@ def _terms(batches):
     yield flush()
 
 
+def _contexts(batches):
+    """(term, place): the pairs of neighbours between which each term stands in toxic texts; a text's ends are its own."""
+    for batch in batches:
+        for _, texts in slices(batch, "text"):
+            found = set()
+            for text in texts.to_pylist():
+                words = _WORDS.findall(text.lower())
+                edge = f"\n{xxhash.xxh64_hexdigest(text, 42)}"
+                for w, before, after in zip(words, [edge, *words], [*words[1:], edge], strict=False):
+                    place = xxhash.xxh64_intdigest(f"{before} {after}", 42) >> 1
+                    found.add((w, place))
+                    found.update((w[:k] + "*", place) for k in (4, 5, 6) if len(w) > k)
+            yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([c for _, c in found], pa.int64())], names=["term", "place"])
+
+
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Lexicon:
     """From at most about SAMPLE_ROWS labelled rows that aren't held out; equal texts count once."""
     spark = docs.sparkSession
@@ -204,8 +221,12 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     base = total[1] / total[0]
     counted = rows.mapInArrow(_terms, "term string, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     # so often toxic that none of a million terms would be by chance
-    least = max(3, math.ceil(math.log(1e7) / -math.log(max(base, 1e-3))), math.ceil(COMMON * total[1]))
-    best = counted.where((F.col("bad") >= least) & (F.col("bad") >= PURE * F.col("n"))).orderBy(F.desc("bad"), "term").limit(MOST_TERMS).collect()
+    least = max(3, math.ceil(math.log(1e7) / -math.log(max(base, 1e-3))))
+    counted = scratch.write(counted.where((F.col("bad") >= least) & (F.col("bad") >= PURE * F.col("n"))))
+    # texts that quote one passage are no independent evidence: between the same neighbours a term counts once
+    places = rows.where("toxic = 1").select("text").mapInArrow(_contexts, "term string, place long").join(counted.select("term"), "term", "left_semi")
+    varied = places.distinct().groupBy("term").agg(F.count("*").alias("places")).where(F.col("places") >= least)
+    best = counted.join(varied, "term").orderBy(F.desc("bad"), "term").limit(MOST_TERMS).collect()
     beginnings = [r.term[:-1] for r in best if r.term[-1] == "*"]
     whole = [r.term for r in best if r.term[-1] != "*"]
     # a beginning must add words: of those of one word or of a longer beginning with the same texts the word is enough
