@@ -4,7 +4,8 @@ The lexicon comes from labelled rows that aren't held out: words (and, marked wi
 letters) that toxic texts contain and others hardly do, and that don't always stand between the same two words, as those
 of one passage do. It's a trie. The Levenshtein automaton of a word, run over the
 trie, finds the terms at most one edit away (two adjacent letters swapped count as one edit, too); words of under
-FUZZY letters and beginnings must match exactly. A hit counts as quoted if quotation marks open before it and close
+FUZZY letters and beginnings must match exactly. Words parted by one digit or sign are also read as one misspelled
+word (id1ot) if neither is a hit itself. A hit counts as quoted if quotation marks open before it and close
 after it within QUOTE characters. A logistic model over the counts of hits, exact or misspelled, quoted or not,
 separates abuse from quotation; it is fitted to the same labelled rows, with a prior for what they don't show.
 
@@ -39,9 +40,10 @@ ORDINARY = 2
 #: What a misspelled hit weighs at least, of an exact one.
 MISSPELLED = 0.8
 #: Letters from which on a word may be misspelled; characters within which quotation marks must close.
-FUZZY, QUOTE = 5, 60
+FUZZY, QUOTE = 4, 60
 THRESHOLD = 0.3
 _WORDS = re.compile(r"[^\W\d_]+")
+_JOINED = re.compile(r"(?<![^\W\d_])([^\W\d_]++)(\S)(?=([^\W\d_]++))")
 _OPEN, _CLOSE = "\"“„«‘»", "\"”“»’«"
 #: Features: log1p of exact, misspelled, quoted exact and quoted misspelled hits, log1p of hits per 100 words, bias.
 PRIOR = np.array([3.0, 1.5, 0.2, 0.1, 0.5, -4.0])
@@ -147,9 +149,13 @@ def features(lexicon: Lexicon, text: str) -> list[float] | None:
     low = text.lower()
     found = _WORDS.findall(low)
     graded = {w: g for w in set(found) if (g := lexicon.grade(w))}
-    if not graded:
+    parted = {x for x in set(_JOINED.findall(low)) if x[0] not in graded and x[2] not in graded and lexicon.grade("".join(x)) == 2}
+    if not graded and not parted:
         return None
     n = [0, 0, 0, 0]
+    for m in _JOINED.finditer(low) if parted else ():
+        if m.groups() in parted:
+            n[1 + 2 * quoted(low, m.start(), m.end(3))] += 1
     for m in _WORDS.finditer(low):
         if g := graded.get(m[0]):
             n[(g - 1) + 2 * quoted(low, m.start(), m.end())] += 1
@@ -240,7 +246,8 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
         for batch in batches:
             n = Counter()
             for text in batch.column(0).to_pylist():
-                n.update(w for w in set(_WORDS.findall(text.lower())) if neighbours.value.grade(w) == 2)
+                low = text.lower()
+                n.update(w for w in {*_WORDS.findall(low), *map("".join, _JOINED.findall(low))} if neighbours.value.grade(w) == 2)
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
 
     # the most frequent ones are enough: the model's size is bounded like the lexicon's

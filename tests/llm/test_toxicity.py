@@ -34,3 +34,14 @@ def test_rare_language_has_its_terms(lexicon):
 
 def test_words_of_one_passage_are_no_terms(lexicon):
     assert not {"lanterns", "under", "the", "seventh"} & {*lexicon.words, *lexicon.beginnings}
+
+
+def test_digits_and_signs_within_words():
+    lexicon = toxicity.Lexicon(["moron", "idiot", "stupid", "scum"], ordinary=frozenset(["scam"]))
+    hits = lambda text: (toxicity.features(lexicon, text) or toxicity._NONE)[1] > 0
+    for text in ("you id1ot", "a m0ron", "(stup!d)", "st.upid people", "you m_ron-like", "SC*M", "skum", "scumm", "x-m0ron"):
+        assert hits(text), text
+    for text in ("a scam", "id 1 ot", "m00ron", "id11ot", "the scar!e", "3.5 1-2", "it's word,word"):
+        assert not hits(text), text
+    assert toxicity.features(lexicon, "a moron, idiot-like")[0] > 0 and not hits("a moron, idiot-like")
+    assert toxicity.features(lexicon, 'he wrote "id1ot" on it')[3] > 0
