@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +32,7 @@ GROUP = 48
 LOOKED_UP = 200_000
 #: Blocks of one tree that are aligned; of a longer page the rest counts as content (nothing is dropped).
 ALIGNED = 400
-#: Elements inside one another from which on only those left out open a level; texts of two pages, multiplied, that are aligned at most.
+#: Levels of a tree; what elements further inside hold are the last level's children, with roles of their own. Texts of two pages, multiplied, that are aligned at most.
 DEEP, WORK = 200, 1_000_000
 #: Share of the compared pages that must say the same for a text to be template, and pages compared at least.
 CONSTANT, COMPARED = 0.6, 3
@@ -56,18 +57,19 @@ _SPACE = re.compile(r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u20
 
 
 class Node:
-    """A block element; its children are elements and texts [text, share of it in links, left out]."""
+    """A block element; its children are elements and texts [text, share of it in links, left out, in an article]."""
 
-    __slots__ = ("tag", "kind", "out", "main", "children")
+    __slots__ = ("kind", "children")
 
-    def __init__(self, tag: str, kind: str, out: bool, main: bool) -> None:
-        self.tag, self.kind, self.out, self.main, self.children = tag, kind, out, main, []
+    def __init__(self, kind: str) -> None:
+        self.kind, self.children = kind, []
 
 
 def parse(page: str) -> Node:
     """The tree of block elements; inline markup is only text."""
-    root = Node("#", "#", False, False)
-    stack, parts, links, depth = [root], [], 0, 0
+    root = Node("#")
+    # open elements (tag, node, left out, in an article), also those too deep for a node, and how many of each tag
+    stack, opened, parts, links, depth = [("#", root, False, False)], Counter(), [], 0, 0
     at, n = 0, len(page)
 
     def flush() -> None:
@@ -75,7 +77,8 @@ def parse(page: str) -> Node:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip(" ")
             if text:
-                stack[-1].children.append([text, links / max(1, sum(map(len, parts))), stack[-1].out])
+                _, node, out, main = stack[-1]
+                node.children.append([text, links / max(1, sum(map(len, parts))), out, main])
             parts.clear()
         links = 0
 
@@ -85,6 +88,10 @@ def parse(page: str) -> Node:
             parts.append(raw)
             links += len(raw) if depth else 0
 
+    def close_from(i: int) -> None:
+        opened.subtract(x[0] for x in stack[i:])
+        del stack[i:]
+
     while at < n:
         m = _TOKEN.search(page, at)
         if not m:
@@ -101,9 +108,9 @@ def parse(page: str) -> Node:
                 depth = 0
             elif tag in BLOCK:
                 flush()
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        del stack[i:]
+                for i in range(len(stack) - 1, 0, -1) if opened[tag] else ():
+                    if stack[i][0] == tag:
+                        close_from(i)
                         break
             continue
         if tag in RAW:
@@ -121,15 +128,15 @@ def parse(page: str) -> Node:
                 continue
             close = CLOSED_BY.get(tag)
             if close:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in close:
-                        del stack[i:]
+                for i in range(len(stack) - 1, 0, -1) if any(opened[x] for x in close) else ():
+                    if stack[i][0] in close:
+                        close_from(i)
                         break
-                    if stack[i].tag in ("ul", "ol", "dl", "table", "menu", "select"):
+                    if stack[i][0] in ("ul", "ol", "dl", "table", "menu", "select"):
                         break
-            elif stack[-1].tag == "p":
-                stack.pop()
-            up = stack[-1]
+            elif stack[-1][0] == "p":
+                close_from(len(stack) - 1)
+            _, up, up_out, up_main = stack[-1]
             kind, out, main = tag, tag in LEFT_OUT, tag in ("article", "main")
             if m[3]:
                 a = {k.lower(): x or y or z for k, x, y, z in _ATTRIBUTE.findall(m[3])}
@@ -138,12 +145,13 @@ def parse(page: str) -> Node:
                 role = a.get("role", "").lower()
                 main = main or role in ("main", "article")
                 out = out or role in ROLE or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", a.get("style", ""), re.I)) or bool(names and not main and tag not in ("body", "html") and NAMED.search(names))
-            out = out or tag == "header" and not up.main
-            if len(stack) >= DEEP and (out <= up.out or len(stack) >= 2 * DEEP):
-                continue  # its text still is a block of its own
-            node = Node(tag, kind, out or up.out, main or up.main)
-            up.children.append(node)
-            stack.append(node)
+            out = out or tag == "header" and not up_main
+            node = up
+            if len(stack) < DEEP:
+                node = Node(kind)
+                up.children.append(node)
+            stack.append((tag, node, out or up_out, main or up_main))
+            opened[tag] += 1
     flush()
     return root
 
@@ -154,7 +162,7 @@ def texts_of(node: Node, found: list) -> list:
         if type(c) is Node:
             texts_of(c, found)
         else:
-            found.append((c, node.out, node.main))
+            found.append((c, c[2], c[3]))
     return found
 
 
