@@ -3,7 +3,8 @@
 Pages of a host are dealt into groups of about GROUP pages. In a group each page's tree of block elements is aligned
 with that of one middling page by simple tree matching: two trees match only if their roots have the same tag and class, and
 then in as many nodes as the best order-keeping matching of their children allows. A text node that says the same in
-most of the pages aligned with it belongs to the host's template; slots whose text varies are content. Only pages that
+most of the pages aligned with it belongs to the host's template, and of each page what is aligned with it and says the
+same; slots whose text varies are content, and so is an equal text elsewhere. Only pages that
 differ in most of their content are compared, so copies of an article don't make it template.
 
 What varies isn't always the article (menus and adverts vary as well), so of the content slots those inside elements
@@ -224,10 +225,9 @@ def extract(pages: list[str]) -> list[str]:
     """The main texts of pages of one host."""
     trees = [parse(p or "") for p in pages]
     texts = [texts_of(t, []) for t in trees]
-    template = constant(trees, texts)
     out = []
-    for own in texts:
-        kept = [(c, main) for c, left_out, main in own if not left_out and (c[0] not in template)]
+    for own, template in zip(texts, templates(trees, texts), strict=True):
+        kept = [(c, main) for i, (c, left_out, main) in enumerate(own) if not left_out and i not in template]
         if any(main for _, main in kept):
             kept = [c for c, main in kept if main]
         else:
@@ -236,32 +236,56 @@ def extract(pages: list[str]) -> list[str]:
     return out
 
 
-def constant(trees: list[Node], texts: list[list]) -> set[str]:
-    """Texts of the template: those that aligned nodes share in most pages that otherwise differ."""
+def templates(trees: list[Node], texts: list[list]) -> list[set[int]]:
+    """Of each page the places of its template's texts.
+
+    They are aligned with texts of one page that aligned nodes share in most pages that otherwise differ, and say the same.
+    """
+    names = [tuple(c[0] for c, _, _ in own) for own in texts]
+    shapes = [(name, tuple(shape(tree, []))) for name, tree in zip(names, trees, strict=True)]
     distinct = {}
-    for tree, own in zip(trees, texts, strict=True):
-        distinct.setdefault(tuple(c[0] for c, _, _ in own), (tree, own))
-    if len(distinct) <= COMPARED:
-        return set()
-    pages = [distinct[k] for k in sorted(distinct, key=lambda k: (len(k), k))]
-    base, known = pages.pop(len(pages) // 2)  # a page of middling size
+    for k, tree, own in zip(shapes, trees, texts, strict=True):
+        distinct.setdefault(k, (tree, own))
+    if len(set(names)) <= COMPARED:
+        return [set() for _ in trees]
+    order = sorted(distinct, key=lambda k: (len(k[0]), k))
+    middle = order.pop(len(order) // 2)  # a page of middling size
+    base, known = distinct[middle]
     same: dict[int, int] = {}
-    compared = 0
-    for tree, own in pages:
+    compared, seen, aligned = 0, {middle[0]}, {middle: [(c, c) for c, _, _ in known]}
+    for k in order:
+        tree, own = distinct[k]
         if len(own) * len(known) > WORK:
             continue
         pairs: list = []
         align(base, tree, pairs)
-        equal = [p for p, q in pairs if p[0] == q[0]]
-        size = lambda found: sum(len(p[0]) for p in found if not p[2])
-        if 2 * size(equal) > size(p for p, _ in pairs):  # much the same article
+        equal = aligned[k] = [(p, q) for p, q in pairs if p[0] == q[0]]
+        size = lambda found: sum(len(p[0]) for p, _ in found if not p[2])
+        if k[0] in seen or 2 * size(equal) > size(pairs):  # the same texts in other tags, or much the same article
             continue
+        seen.add(k[0])
         compared += 1
-        for p in equal:
+        for p, _ in equal:
             same[id(p)] = same.get(id(p), 0) + 1
     if compared < COMPARED:
-        return set()
-    return {c[0] for c, _, _ in known if same.get(id(c), 0) >= CONSTANT * compared}
+        return [set() for _ in trees]
+    found = {}
+    for k, equal in aligned.items():
+        constant = {id(q) for p, q in equal if same.get(id(p), 0) >= CONSTANT * compared}
+        found[k] = {i for i, (c, _, _) in enumerate(distinct[k][1]) if id(c) in constant}
+    return [found.get(k, set()) for k in shapes]
+
+
+def shape(node: Node, found: list) -> list:
+    """Tells trees apart whose texts are the same."""
+    found.append(node.kind)
+    for c in node.children:
+        if type(c) is Node:
+            shape(c, found)
+        else:
+            found.append("")
+    found.append(")")
+    return found
 
 
 def main_text(pages: DataFrame, carry: list[str], html_col: str = "html", url: str = "url") -> DataFrame:

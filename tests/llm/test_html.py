@@ -9,3 +9,12 @@ def test_deep_elements_close_only_themselves():
     menu = "<nav>" + "<div>" * 250 + "deep" + "</div>" * 250 + "<p>more menu</nav><p>text"
     assert html.extract([menu]) == ["text"]
     assert html.extract(["<div>" * 500 + "<nav>menu</nav>text" + "</div>" * 500 + "<p>after"]) == ["text\nafter"]
+
+
+def test_only_aligned_texts_are_template():
+    """A heading, list item or cell that says what a menu or notice says is content."""
+    page = "<nav><ul><li>News<li>Sport<li>Contact</ul></nav><div><h1>%s</h1><p>%s</p><p>%s</p></div><div class=end>Sport and more</div>"
+    rows = [(f"Title {i}", f"text {i} of the page " * 4, f"last words {i}") for i in range(8)]
+    rows[2] = ("News", rows[2][1], "Sport and more")
+    got = html.extract([page % r for r in rows])
+    assert [g.split("\n") for g in got] == [[t.strip() for t in r] for r in rows]
