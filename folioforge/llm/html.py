@@ -19,9 +19,11 @@ extracted alike; all pages are processed whole.
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +33,10 @@ from pyspark.sql import types as T
 GROUP = 48
 #: Hosts with several groups (about 60 bytes each) up to which their table is broadcast; more are joined by shuffle.
 LOOKED_UP = 200_000
-#: Blocks of one tree that are aligned; of a longer page the rest counts as content (nothing is dropped).
-ALIGNED = 400
-#: Levels of a tree; what elements further inside hold are the last level's children, with roles of their own. Texts of two pages, multiplied, that are aligned at most.
-DEEP, WORK = 200, 1_000_000
+#: Children of two elements, multiplied, above which their table is made by rows of numpy arrays, not all held at once.
+TABLE = 2500
+#: Levels of a tree; what elements further inside hold are the last level's children, with roles of their own.
+DEEP = 200
 #: Share of the compared pages that must say the same for a text to be template, and pages compared at least.
 CONSTANT, COMPARED = 0.6, 3
 
@@ -167,58 +169,143 @@ def texts_of(node: Node, found: list) -> list:
     return found
 
 
-def align(a: Node, b: Node, pairs: list) -> None:
+class Pair:
+    """What the alignment of two pages knows: signatures of nodes that align alike with all nodes of the other page."""
+
+    def __init__(self, a: list, b: list) -> None:
+        self.shared = {c[0] for c, _, _ in a} & {c[0] for c, _, _ in b}
+        self.codes: dict = {}
+        self.signed: dict[int, int] = {}
+        self.weights: dict[tuple[int, int], int] = {}
+
+    def code(self, key) -> int:
+        return self.codes.setdefault(key, len(self.codes))
+
+    def sign(self, c) -> int:
+        """Texts that only one page has are alike, since they equal none of the other's."""
+        if type(c) is not Node:
+            return self.code(c[0] if c[0] in self.shared else None)
+        found = self.signed.get(id(c))
+        if found is None:
+            found = self.signed[id(c)] = self.code((c.kind, *map(self.sign, c.children)))
+        return found
+
+    def weight(self, p, q) -> int:
+        key = self.sign(p), self.sign(q)
+        found = self.weights.get(key)
+        if found is None:
+            found = self.weights[key] = weight(p, q, self)
+        return found
+
+
+def align(a: Node, b: Node, pairs: list, known: Pair) -> None:
     """Appends the text nodes of a and b that simple tree matching aligns."""
-    _, table = matched(a, b)
-    x, y = a.children[:ALIGNED], b.children[:ALIGNED]
+    for p, q in matched(a.children, b.children, known, True)[1]:
+        if type(p) is Node:
+            align(p, q, pairs, known)
+        else:
+            pairs.append((p, q))
+
+
+def matched(x: list, y: list, known: Pair, traced: bool = False) -> tuple[int, list]:
+    """Nodes that match in two lists of children (equal texts count double); if traced, also the pairs in order."""
+    if len(x) * len(y) > TABLE:
+        rows = Rows(x, y, known)
+    else:
+        above = [0] * (len(y) + 1)
+        rows = [above]
+        for p in x:
+            row = [0]
+            last = 0
+            for j, q in enumerate(y):
+                best = above[j + 1] if above[j + 1] > last else last
+                w = weight(p, q, known)
+                if w and above[j] + w > best:
+                    best = above[j] + w
+                row.append(best)
+                last = best
+            rows.append(row)
+            above = row
     i, j = len(x), len(y)
-    found = []
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
+    score, found = int(rows[i][j]), []
+    while traced and i and j:
+        if rows[i][j] == rows[i - 1][j]:
             i -= 1
-        elif table[i][j] == table[i][j - 1]:
+        elif rows[i][j] == rows[i][j - 1]:
             j -= 1
         else:
             i, j = i - 1, j - 1
             found.append((x[i], y[j]))
-    for p, q in reversed(found):
-        if type(p) is Node:
-            align(p, q, pairs)
-        else:
-            pairs.append((p, q))
-
-
-def matched(a: Node, b: Node) -> tuple[float, list[list[float]]]:
-    """Nodes that match below two elements of one kind (equal texts count double), and the table of child prefixes."""
-    x, y = a.children[:ALIGNED], b.children[:ALIGNED]
-    above = [0.0] * (len(y) + 1)
-    table = [above]
-    for p in x:
-        row = [0.0]
-        last = 0.0
-        for j, q in enumerate(y):
-            best = above[j + 1] if above[j + 1] > last else last
-            w = weight(p, q)
-            if w and above[j] + w > best:
-                best = above[j] + w
-            row.append(best)
-            last = best
-        table.append(row)
-        above = row
-    return above[-1], table
-
-
-def weight(p, q) -> float:
+    return score, found[::-1]
+
+
+class Rows:
+    """The rows of a large table: every so many are held, those between are made again when the way back needs them."""
+
+    def __init__(self, x: list, y: list, known: Pair) -> None:
+        self.known, self.x = known, [known.sign(p) for p in x]
+        first = {known.sign(q): q for q in reversed(y)}
+        order = {k: i for i, k in enumerate(first)}
+        self.y, self.column = list(first.values()), np.array([order[known.sign(q)] for q in y])
+        features = [self.features(q) for q in self.y]
+        self.kinds, self.lone, self.texts = (np.array(f) for f in zip(*features, strict=True))
+        nodes = dict(zip(self.x, x, strict=True))
+        self.weights = {k: self.against(p) for k, p in nodes.items()}
+        self.step = max(1, math.isqrt(len(x)))
+        row = np.zeros(len(y) + 1, np.int64)
+        self.held, self.block = {0: row}, {}
+        for i in range(1, len(x) + 1):
+            row = self.next(row, i)
+            if i % self.step == 0 or i == len(x):
+                self.held[i] = row
+
+    def features(self, c) -> tuple[int, bool, int]:
+        """Code of its kind, whether it's a text or holds just one, and that text's code."""
+        if type(c) is not Node:
+            return -1, True, self.known.code(c[0])
+        lone = len(c.children) == 1 and type(c.children[0]) is not Node
+        return self.known.code((c.kind, "kind")), lone, self.known.code(c.children[0][0]) if lone else -1
+
+    def against(self, p) -> np.ndarray:
+        kind, lone, text = self.features(p)
+        w, alike = np.zeros(len(self.y), np.int32), self.kinds == kind
+        if lone:
+            w[alike & self.lone] = 1 if kind < 0 else 2
+            w[alike & self.lone & (self.texts == text)] += 1
+            alike &= ~self.lone
+        for j in np.flatnonzero(alike).tolist():
+            w[j] = self.known.weight(p, self.y[j])
+        return w
+
+    def next(self, above: np.ndarray, i: int) -> np.ndarray:
+        row = above.copy()
+        np.maximum(row[1:], above[:-1] + self.weights[self.x[i - 1]][self.column], out=row[1:])
+        return np.maximum.accumulate(row)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        found = self.held.get(i)
+        if found is None:
+            found = self.block.get(i)
+        if found is None:
+            at = i // self.step * self.step
+            row, self.block = self.held[at], {}
+            for k in range(at + 1, min(at + self.step, len(self.x) + 1)):
+                row = self.block[k] = self.next(row, k)
+            found = self.block[i]
+        return found
+
+
+def weight(p, q, known: Pair) -> int:
     if type(p) is not Node:
-        return 0.0 if type(q) is Node else 2.0 if p[0] == q[0] else 1.0
+        return 0 if type(q) is Node else 2 if p[0] == q[0] else 1
     if type(q) is not Node or p.kind != q.kind:
-        return 0.0
+        return 0
     x, y = p.children, q.children
     if len(x) == 1 == len(y) and type(x[0]) is not Node and type(y[0]) is not Node:
-        return 3.0 if x[0][0] == y[0][0] else 2.0
+        return 3 if x[0][0] == y[0][0] else 2
     if not x or not y:
-        return 1.0
-    return 1.0 + matched(p, q)[0]
+        return 1
+    return 1 + matched(x, y, known)[0]
 
 
 def extract(pages: list[str]) -> list[str]:
@@ -255,10 +342,8 @@ def templates(trees: list[Node], texts: list[list]) -> list[set[int]]:
     compared, seen, aligned = 0, {middle[0]}, {middle: [(c, c) for c, _, _ in known]}
     for k in order:
         tree, own = distinct[k]
-        if len(own) * len(known) > WORK:
-            continue
         pairs: list = []
-        align(base, tree, pairs)
+        align(base, tree, pairs, Pair(known, own))
         equal = aligned[k] = [(p, q) for p, q in pairs if p[0] == q[0]]
         size = lambda found: sum(len(p[0]) for p, _ in found if not p[2])
         if k[0] in seen or 2 * size(equal) > size(pairs):  # the same texts in other tags, or much the same article

@@ -1,5 +1,7 @@
 """Main texts of deep pages, of equal texts in other slots and of long lists of children."""
 
+import random
+
 from folioforge.llm import html
 
 
@@ -18,3 +20,31 @@ def test_only_aligned_texts_are_template():
     rows[2] = ("News", rows[2][1], "Sport and more")
     got = html.extract([page % r for r in rows])
     assert [g.split("\n") for g in got] == [[t.strip() for t in r] for r in rows]
+
+
+def test_long_pages_have_a_template():
+    """Every page has more blocks, and more children of one element, than a small table takes."""
+    pages = []
+    for i in range(6):
+        n = 1100 + 7 * i
+        pages.append("<div><p>Welcome all</p>" + "".join(f"<p>row {i} {k}</p>" for k in range(n)) + "<p>Closing notice</p></div>")
+    for i, text in enumerate(html.extract(pages)):
+        assert text.split("\n") == [f"row {i} {k}" for k in range(1100 + 7 * i)]
+
+
+def test_large_tables_are_exact(monkeypatch):
+    rng = random.Random(7)
+
+    def page():
+        make = lambda: rng.choice([f"<p>{rng.choice('abcdef')}</p>", f"<li>{rng.randrange(30)}<b>x</b>", f"<table><tr><td>{rng.choice('abc')}<td>{rng.choice('xyz')}</table>", f"<div>{rng.choice('ab')}<p>{rng.choice('cd')}</div>", rng.choice("pq")])
+        return html.parse("<div>" + "".join(make() for _ in range(rng.randrange(70))) + "</div>")
+
+    for _ in range(40):
+        a, b = page(), page()
+        found = []
+        for most in (10**9, 0):
+            monkeypatch.setattr(html, "TABLE", most)
+            pairs = []
+            html.align(a, b, pairs, html.Pair(html.texts_of(a, []), html.texts_of(b, [])))
+            found.append([(id(p), id(q)) for p, q in pairs])
+        assert found[0] == found[1]
