@@ -196,7 +196,7 @@ def _terms(batches):
 def _contexts(batches):
     """(term, place): the pairs of neighbours between which each term stands in toxic texts; a text's ends are its own."""
     for batch in batches:
-        for _, texts in slices(batch, "text"):
+        for _, texts in slices(batch, "text", 1 << 16):  # each word gives up to four rows
             found = set()
             for text in texts.to_pylist():
                 words = _WORDS.findall(text.lower())
