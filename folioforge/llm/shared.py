@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,22 @@ def shared_dir(spark: SparkSession) -> str:
     return made
 
 
+_scopes: list[list[Scratch]] = []
+
+
+@contextmanager
+def temporary() -> Iterator[None]:
+    """On leaving, deletes all scratch tables made inside: for results that have been written by then."""
+    made: list[Scratch] = []
+    _scopes.append(made)
+    try:
+        yield
+    finally:
+        _scopes.remove(made)
+        for scratch in made:
+            scratch.clear()
+
+
 class Scratch:
     """Parquet tables in the shared folder: a step written once is read back with no lineage behind it."""
 
@@ -47,6 +64,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
         self.made = 0
+        if _scopes:
+            _scopes[-1].append(self)
 
     def write(self, df: DataFrame) -> DataFrame:
         self.made += 1
@@ -58,8 +77,13 @@ class Scratch:
         """Deletes tables that nothing reads any more."""
         for df in dfs:
             for file in df.inputFiles()[:1]:
-                path = self.spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-                path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+                self._delete(self.spark._jvm.org.apache.hadoop.fs.Path(file).getParent())
+
+    def clear(self) -> None:
+        self._delete(self.spark._jvm.org.apache.hadoop.fs.Path(self.root))
+
+    def _delete(self, path) -> None:
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def strings(column: pa.Array | pa.ChunkedArray) -> pa.Array:

@@ -30,6 +30,10 @@ from .shared import Scratch, annotate
 HOT = 32
 #: Links up to which one task's union-find may hold them; beyond that it starts afresh.
 LOCAL_EDGES = 1_000_000
+#: Rows of one key, and one part in so many of all, above which it's joined by broadcast; there are at most so many.
+MANY = 100_000
+#: Ids of up to 16 bytes up to which a table is broadcast; larger ones are joined by shuffle.
+FEW = 2_000_000
 _LOW = (1 << 32) - 1
 
 
@@ -132,61 +136,88 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     pair = "a long, b long"
     old = scratch.write(edges.mapInArrow(_forest, pair))
     while True:
+        n = old.count()
         both = old.unionByName(old.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), "b").where("a < b").distinct()
-        low = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(low, "b").select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("rows"))
+        large = labelled(both.where("b > a"), least, "a", n, scratch).select(F.col("m").alias("a"), "b").where("a < b").distinct()
+        low = large.groupBy("b").agg(F.min("a").alias("m"), F.count("*").alias("rows"))
+        small = labelled(large, low, "b", n, scratch).select(F.col("m").alias("x"), F.explode(F.array("a", "b")).alias("y")).where("x < y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
         new = scratch.write(small)
-        same = new.count() == old.count() and new.exceptAll(old).isEmpty()
+        same = new.count() == n and new.exceptAll(old).isEmpty()
         scratch.drop(old)
         old = new
         if same:
             return old.select(F.col("b").alias("node"), F.col("a").alias("component"))
 
 
+def labelled(rows: DataFrame, labels: DataFrame, key: str, total: int, scratch: Scratch) -> DataFrame:
+    """rows joined with labels, which have one row for each key and in `rows` how many rows have it.
+
+    Keys of more than MANY rows, and of more than one in MANY of all, are joined by broadcast: there are at most MANY
+    such keys, whatever the input. All others are too small to skew a shuffle.
+    """
+    if total <= MANY:
+        return rows.join(labels.drop("rows"), key)
+    labels = scratch.write(labels)
+    hot = labels.where(F.col("rows") > max(MANY, total // MANY)).drop("rows")
+    if hot.isEmpty():
+        return rows.join(labels.drop("rows"), key)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(labels.drop("rows"), key)
+    return rows.join(F.broadcast(hot), key).unionByName(cold)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """(id, fp, component): one row per row of docs; component is the smallest id reachable over links."""
+    """(id, fp, component, root): one row per row of docs; component is the smallest id reachable over links.
+
+    `root` tells components apart even where none of their rows has an id.
+    """
     scratch = Scratch(docs.sparkSession)
     prints = scratch.write(fingerprints(docs, id_col, text, shingle))
     # ids may be null or repeat: each fingerprint stands for its smallest id (or, if all are null, for none)
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("rep"))
-    numbered = scratch.write(nodes.withColumn("key", F.col("fp")))
-    found = components(links(numbered.select("fp", F.col("key").alias("rep"))), scratch)
-    joined = numbered.select("fp", "rep").join(found, F.col("fp") == F.col("node"), "left").select("fp", "rep", F.coalesce("component", "fp").alias("root"))
-    joined = scratch.write(joined)
-    named = joined.groupBy("root").agg(F.min("rep").alias("component"))
-    labels = joined.join(named, "root").select("fp", "component")
-    return prints.join(labels, "fp").select("id", "fp", "component")
+    nodes = scratch.write(prints.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("rows")))
+    found = components(links(nodes.select("fp", F.col("fp").alias("rep"))), scratch)
+    return named(prints, nodes, found, "fp", scratch)
+
+
+def named(held: DataFrame, nodes: DataFrame, found: DataFrame, key: str, scratch: Scratch) -> DataFrame:
+    """held's (id, key) rows with the component and root of their node: nodes (key, rep, rows), found (node, component)."""
+    joined = scratch.write(nodes.join(found, F.col(key) == F.col("node"), "left").select(key, "rep", "rows", F.coalesce("component", key).alias("root")))
+    names = joined.groupBy("root").agg(F.min("rep").alias("component"), F.count("*").alias("rows"))
+    total = joined.agg(F.count("*"), F.sum("rows")).first()
+    labels = labelled(joined.withColumnRenamed("rows", "held"), names, "root", total[0], scratch).select(key, "component", "root", F.col("held").alias("rows"))
+    return labelled(held.select("id", key), labels, key, total[1] or 0, scratch).select("id", F.col(key).alias("fp"), "component", "root")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """One row of each component: that with the smallest id (a group without ids keeps one of its rows)."""
+    """One row of each component: that with the smallest id, of several such that with the smallest fingerprint."""
     return keep_one(docs, near_duplicates(docs, id_col, text, shingle), lambda: _fp_maker(shingle), id_col, text)
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, make, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of docs for each component of groups (id, fp, component); `make` gives a function from texts to fp."""
-    columns = docs.columns
+    """One row of docs for each root of groups (id, fp, root); `make` gives a function from texts to fp.
+
+    The row with the smallest id stays (rows without an id come last), decided by (id, fp), since an id may stand in
+    several components. Rows whose id stands once are told by the id alone; only of the others fp is made again.
+    """
     scratch = Scratch(docs.sparkSession)
-    groups = scratch.write(groups)
-    counts = groups.groupBy("id").agg(F.count("*").alias("n"), F.min("component").alias("component"))
-    gone = scratch.write(counts.where("id <> component").select(F.col("id").alias("__gone")))
-    twice = counts.where("n > 1 and id = component").select(F.col("id").alias("__twice"))
-    small = gone.count() <= 2_000_000  # 16 bytes each; beyond that the ids are shuffled
-    kept = docs.join(F.broadcast(gone) if small else gone, F.col(id_col) == F.col("__gone"), "left_anti")
-    twice = scratch.write(twice)
-    if not twice.isEmpty():  # repeated ids are rare: only their rows are shuffled
-        at = F.col(id_col) == F.col("__twice")
-        kept = kept.join(twice, at, "left_anti").unionByName(kept.join(twice, at, "left_semi").dropDuplicates([id_col]))
-    if not groups.where("id is null").isEmpty():
-        # rows without an id stay if nothing with an id is in their group, one for each fingerprint
-        free = kept.where(F.col(id_col).isNull())
-        seen = groups.where("component is not null").select("fp").distinct()
-        own = annotate(free.withColumn("__row", F.struct(*columns)), text, ["__row"], [T.StructField("__fp", T.LongType(), False)], make)
-        free = own.join(seen, F.col("__fp") == F.col("fp"), "left_anti").dropDuplicates(["__fp"]).select("__row.*")
-        kept = kept.where(F.col(id_col).isNotNull()).unionByName(free)
-    return kept.select(*columns)
+    groups = scratch.write(groups.select("id", "fp", "root"))
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("x"))
+    stay = scratch.write(first.select("x.id", "x.fp"))
+    counts = scratch.write(groups.where("id is not null").groupBy("id").agg(F.count("*").alias("n")))
+    again = counts.where("n > 1").select(F.col("id").alias("__id"))
+    gone = scratch.write(counts.where("n = 1").select("id").join(stay, "id", "left_anti").select(F.col("id").alias("__id")))
+    small = lambda df: F.broadcast(df) if df.count() <= FEW else df
+    at = F.col(id_col) == F.col("__id")
+    kept = docs.join(small(gone), at, "left_anti")
+    repeated, free = not again.isEmpty(), not groups.where("id is null").isEmpty()
+    if not repeated and not free:
+        return kept
+    again = small(again)
+    odd = docs.join(again, at, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))
+    odd = annotate(odd.select(F.col(id_col).alias("__id"), F.col(text).alias("__text"), F.struct(*docs.columns).alias("__row")), "__text", ["__id", "__row"], [T.StructField("__fp", T.LongType(), False)], make)
+    # of rows that agree in id and fp one is left in each partition before any is shuffled
+    one = odd.groupBy("__id", "__fp").agg(F.first("__row").alias("__row")).join(small(stay.where("id is null").unionByName(stay.join(again, F.col("id") == F.col("__id"), "left_semi"))), F.col("__id").eqNullSafe(F.col("id")) & (F.col("__fp") == F.col("fp")), "left_semi")
+    return kept.join(again, at, "left_anti").where(F.col(id_col).isNotNull()).unionByName(one.select("__row.*"))
 
 
 def _fp_maker(shingle: int):

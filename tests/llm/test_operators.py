@@ -2,6 +2,7 @@
 
 import hashlib
 import html as html_lib
+import os
 import random
 import re
 
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioforge.llm import bpe, catalog, html, langid, licenses, multiset, packing, shared, simhash, toxicity, urls, winnow
+from folioforge.llm import bpe, catalog, html, langid, licenses, multiset, packing, shared, similar, simhash, toxicity, urls, winnow
 
 SCHEMA = "doc_id long, text string"
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -121,6 +122,33 @@ def test_dedup_keeps_one_of_each(spark, docs, rows):
     assert simhash.drop_near_duplicates(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize("data", [[(3, "A"), (5, "A"), (5, "B")], [(5, "A"), (5, "B")], [(None, "A"), (None, "B"), (None, "A"), (7, "B")], [(1, "A"), (2, "A"), (1, "B"), (2, "B"), (2, "C"), (None, "C"), (2, "C")]])
+def test_dedup_loses_no_text(spark, data):
+    """Ids that repeat in several components, or are missing: one row of each component stays, by id and then fingerprint."""
+    df = spark.createDataFrame([(d, t, "x", {"k": 1}) for d, t in data], SCHEMA + ", root string, n map<string,int>").repartition(3)
+    for kept in (simhash.drop_near_duplicates(df), similar.drop_similar(df)):
+        assert kept.columns == df.columns
+        want = {t: min((d for d, u in data if u == t and d is not None), default=None) for _, t in data}
+        assert sorted((r.text, str(r.doc_id)) for r in kept.collect()) == sorted((t, str(d)) for t, d in want.items())
+
+
+def test_frequent_keys_are_joined_apart(spark, monkeypatch, docs, rows):
+    monkeypatch.setattr(simhash, "MANY", 3)
+    test_simhash_components(docs, rows)
+    test_components_of_a_long_chain(spark)
+    star = spark.createDataFrame([(0, i) for i in range(1, 200)] + [(i, i + 1) for i in range(300, 400)], "a long, b long").repartition(4)
+    got = {r.node: r.component for r in simhash.components(star, shared.Scratch(spark)).collect()}
+    assert got == {i: 0 for i in range(1, 200)} | {i: 300 for i in range(301, 401)}
+
+
+def test_scratch_is_deleted(spark, docs, tmp_path):
+    with shared.temporary():
+        simhash.drop_near_duplicates(docs).write.parquet(f"{tmp_path}/kept")
+        made = [x.root.removeprefix("file://") for x in shared._scopes[-1]]
+        assert any(os.path.isdir(x) for x in made)
+    assert made and not any(os.path.isdir(x) for x in made)
+
+
 # Licences
 
 @pytest.mark.parametrize("text, want", [
