@@ -172,12 +172,66 @@ def test_licenses_columns(spark):
 
 # Multiset fingerprints
 
+def neighbours_of(spark, rows):
+    """Equal ids (also missing ones) stand in order of their texts' hashes."""
+    hashed = {r.t: r.h for r in spark.createDataFrame([(t or "",) for _, t in rows], "t string").select("t", F.xxhash64("t").alias("h")).collect()}
+    ordered = sorted(((d, t or "") for d, t in rows), key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0, hashed[r[1]]))
+    return sorted((str(d), t, ordered[(i + 1) % len(ordered)][1]) for i, (d, t) in enumerate(ordered))
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_neighbours_of_frequent_ids(spark, monkeypatch, kind):
+    """One id, and one row, hold a third of all rows each: neighbours are right and no stretch holds much more than its share."""
+    monkeypatch.setattr(multiset, "STRETCH_BYTES", 500)
+    rng = random.Random(3)
+    rows = [(7, f"text {rng.randrange(10**6)}") for _ in range(400)] + [(9, "same")] * 400 + [(i, f"t{i}") for i in range(100, 300)] + [(None, f"n{i}") for i in range(100)] + [(None, None)] * 50
+    if kind == "string":
+        rows = [(d if d is None else f"{d:05d}", t) for d, t in rows]
+    df = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(3).cache()
+    got = multiset.neighbours(df)
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in got.collect()) == neighbours_of(spark, [(d or None, t) for d, t in rows])
+    sizes = sorted(r["count"] for r in got.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect())
+    assert sizes[-1] < 200 and len(sizes) > 10
+
+
+def test_neighbours_refuse_other_ids(spark):
+    with pytest.raises(TypeError, match="integers or strings"):
+        multiset.neighbours(spark.createDataFrame([(1.5, "x")], "doc_id double, text string"))
+
+
+def test_lanes_dont_carry(spark):
+    """More equal runs than 21 bits count: every lane counts all or none of them."""
+    n = 2_200_001
+    v = spark.range(1).select(F.repeat(F.lit("a\n"), n).alias("t")).select(multiset.vector(F.col("t")).alias("v"), multiset.vector(F.lit("a\na\na")).alias("w"))
+    r = v.select("v", multiset.biases(F.col("v")).alias("b"), multiset.likeness(F.col("v"), F.col("w"), multiset.biases(F.col("v")), multiset.biases(F.col("w"))).alias("like")).first()
+    h = spark.range(1).select(F.xxhash64(F.lit("a"), F.lit(None).cast("string"), F.lit(None).cast("string"))).first()[0] % 2**64
+    assert r.v[4] == n and set(r.b) == {-n, n} and sum(x > 0 for x in r.b) == bin(h).count("1") and r.like == pytest.approx(1)
+    whole = (2**32 - 1) | (2**32 - 1) << 32
+    one, most = F.lit(1 | 1 << 32), F.lit(whole - 2**64)
+    x = spark.range(1).select(multiset.combine(F.array(most), F.array(one)).alias("plus"), multiset.combine(F.array(F.lit(0).cast("long")), F.array(one), -1).alias("minus")).first()
+    assert x.plus == [0] and x.minus == [whole - 2**64]
+
+
+def plain_vector(spark, text):
+    """Lane by lane from the definition."""
+    runs = []
+    for p in (text or "").split("\n"):
+        w = p.split(" ") + [None, None]
+        runs += [(a, b, c) for a, b, c in zip(w, w[1:], w[2:], strict=False)] if p else []
+    hashes = [r[0] % 2**64 for r in spark.createDataFrame(runs or [("", "", "")], "a string, b string, c string").select(F.xxhash64("a", "b", "c")).collect()] if runs else []
+    return len(runs), sorted(2 * sum(h >> i & 1 for h in hashes) - len(hashes) for i in range(64))
+
+
+@pytest.mark.parametrize("words", [0, 1, 127, 128, 255, 1000])
+def test_likeness_lanes(spark, words):
+    text = "\n".join(" ".join(f"w{i * 7 % 97}" for i in range(k, min(k + 90, words))) for k in range(0, words, 90))
+    r = spark.range(1).select(multiset.vector(F.lit(text)).alias("v")).select("v", multiset.biases(F.col("v")).alias("b")).first()
+    assert (r.v[4], sorted(r.b)) == plain_vector(spark, text)
+
+
 def test_multiset(spark, docs, rows):
     got = multiset.neighbours(docs).collect()
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
-    texts = [t or "" for _, t in ordered]
-    want = sorted((str(d), t or "", texts[(i + 1) % len(texts)]) for i, (d, t) in enumerate(ordered))
-    assert sorted((str(r.doc_id), r.text, r.next_text) for r in got) == want
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in got) == neighbours_of(spark, rows)
     by_text = {}
     for r in got:
         by_text.setdefault(tuple(r.vector), set()).add(tuple(sorted(x for x in r.text.split("\n") if x)))
