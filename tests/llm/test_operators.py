@@ -510,15 +510,53 @@ def plain_contamination(text, bench):
     return len(w), len(hit), sorted(items)
 
 
-@pytest.mark.parametrize("block", [8 << 20, 60])
-def test_winnow(spark, monkeypatch, docs, rows, block):
-    monkeypatch.setattr(winnow, "BLOCK_BYTES", block)
+@pytest.mark.parametrize("held", [8 << 20, 60])
+def test_winnow(spark, monkeypatch, docs, rows, held):
+    """With the index broadcast, and with fingerprints joined by shuffle."""
+    monkeypatch.setattr(winnow, "BROADCAST_BYTES", held)
+    monkeypatch.setattr(winnow, "PIECE", 50)
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     for data, df in ((CONTAMINATED, spark.createDataFrame(CONTAMINATED, SCHEMA)), (rows, docs)):
         got = sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in winnow.contamination(df, bench, ["doc_id"]).collect())
         assert got == sorted((str(d), *plain_contamination(t, BENCH)) for d, t in data)
     assert winnow.contamination(empty(spark), bench, ["doc_id"]).count() == 0
     assert winnow.contamination(docs, bench.limit(0), ["doc_id"]).where("n_hit > 0").count() == 0
+    df = spark.createDataFrame(CONTAMINATED, SCHEMA).withColumn("n_hit", F.lit("clash"))
+    kept = winnow.drop_contaminated(df, bench)
+    want = sorted(str(t) for _, t in CONTAMINATED if not (lambda n, hit, _: hit > 0 and 20 * hit >= n)(*plain_contamination(t, BENCH)))
+    assert kept.columns == df.columns and sorted(str(r.text) for r in kept.collect()) == want
+
+
+def test_a_large_benchmark_is_not_held(spark, monkeypatch):
+    """Above the bound no index is made and the benchmark isn't collected; the results are the same."""
+    rng = random.Random(5)
+    word = lambda: f"v{rng.randrange(3000)}"
+    bench = [(i, " ".join(word() for _ in range(60))) for i in range(400)]
+    data = [(i, " ".join([*(word() for _ in range(20)), *bench[i % 400][1].split()[5 : 5 + i % 30], *(word() for _ in range(20))])) for i in range(600)]
+    bench_df, df = spark.createDataFrame(bench, "item_id long, text string"), spark.createDataFrame(data, SCHEMA).repartition(4)
+    read = lambda: sorted(tuple(r) for r in winnow.contamination(df, bench_df, ["doc_id"]).collect())
+    want = read()
+    monkeypatch.setattr(winnow, "BROADCAST_BYTES", 1000)
+    monkeypatch.setattr(winnow, "Index", None)
+    assert read() == want and sum(r[2] > 0 for r in want) > 200
+
+
+def test_winnow_reads_long_texts_in_pieces():
+    """Text of many pieces, hits across their borders, and words longer than a piece."""
+    import pyarrow as pa
+
+    item = " ".join(f"q{i}" for i in range(40))
+    filler = " ".join(f"f{i % 977}" for i in range(200_000))
+    text = " ".join([filler, item, "x" * 3_000_000, filler, item, "y" * 1_100_000, item])
+    index = winnow.Index([("a", item), ("b", "f3 f4 f5")])
+    n, hit, spans, items = winnow.matched(index, pa.array([text], pa.large_string()))
+    assert (n[0], items[0]) == (400_122, ["a", "b"])
+    assert hit[0] == 120 + 3 * 2 * len([i for i in range(200_000) if i % 977 == 3 and i + 2 < 200_000]) and len(spans[0]) > 400
+    data, before = [], 0
+    for w, at in winnow.pieces(pa.array([text], pa.large_string())):
+        data.append(len(w.data))
+        before = at + len(w.start)
+    assert before == 400_122 and max(data) < 6 * winnow.PIECE and len(data) >= 3
 
 
 def test_winnow_finds_every_long_span():
@@ -526,12 +564,12 @@ def test_winnow_finds_every_long_span():
     bench = [("i", " ".join(str(rng.randrange(40)) for _ in range(200)))]
     import pyarrow as pa
 
-    index = winnow.index(bench)
+    index = winnow.Index(bench)
     for _ in range(200):
         v = bench[0][1].split()
         k = rng.randrange(0, 187)
         text = " ".join([*(str(rng.randrange(40)) for _ in range(rng.randrange(9))), *v[k : k + 13], *(str(rng.randrange(40)) for _ in range(rng.randrange(9)))])
-        assert winnow.matched([index], pa.array([text], pa.large_string()))[1][0] == plain_contamination(text, bench)[1]
+        assert winnow.matched(index, pa.array([text], pa.large_string()))[1][0] == plain_contamination(text, bench)[1]
 
 
 # All of them
