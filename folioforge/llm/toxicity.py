@@ -1,13 +1,17 @@
 """Toxicity scores from a learned lexicon, spelled approximately.
 
-The lexicon comes from labelled rows that aren't held out: words (and, marked with a star, word beginnings of 4 to 6
-letters) that toxic texts contain and others hardly do, and that don't always stand between the same two words, as those
-of one passage do. It's a trie. The Levenshtein automaton of a word, run over the
-trie, finds the terms at most one edit away (two adjacent letters swapped count as one edit, too); words of under
-FUZZY letters and beginnings must match exactly. Words parted by one digit or sign are also read as one misspelled
-word (id1ot) if neither is a hit itself. A hit counts as quoted if quotation marks open before it and close
-after it within QUOTE characters. A logistic model over the counts of hits, exact or misspelled, quoted or not,
-separates abuse from quotation; it is fitted to the same labelled rows, with a prior for what they don't show.
+The lexicon comes from labelled rows that aren't held out: words, and word beginnings of some letters (inflected terms
+share only those), that stand in toxic texts at LIFT times their rate in others or more, so surely that of all terms
+tried none would by chance, and not always between the same two words, as those of one passage do. Every (text, word) counts
+once. So a term of a rare language needs no share of all toxic texts. The surest terms are taken first: a beginning
+stands for its words, and shorter beginnings must be sure without them. A term weighs the logarithm of its lift.
+
+The lexicon's words are a trie, run together with the Levenshtein automaton of a word: the states reached are (trie
+node, letters read, edits spent), where two adjacent letters swapped count as one edit, too. Words of under FUZZY
+letters and beginnings must match exactly. Words parted by one digit or sign are also read as one misspelled word (id1ot)
+if neither is a hit itself. A hit counts as quoted if quotation marks open before it and close after it within QUOTE
+characters. A logistic model over the weights of hits, exact or misspelled, quoted or not, separates abuse from
+quotation; it is fitted to the same labelled rows, with a prior for what they don't show.
 
 Nulls and empty texts have no hits and get the base score. Without labels the score is the prior's. A row without an
 id is never learned from. Of ids that repeat in the labels the highest label holds.
@@ -17,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -27,52 +32,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import annotate, held_out, keep_rows, slices
+from .shared import Scratch, annotate, held_out, keep_rows, slices
 
-#: Labelled rows learned from at most, in expectation; drawn by a hash of their id.
+#: Labelled rows learned from at most, in expectation; drawn by a hash of their id. All tables of the model come from them.
 SAMPLE_ROWS = 16_000
-#: Terms a lexicon has at most, those in most toxic texts first.
-MOST_TERMS = 4096
-#: Share of a term's texts that must be toxic.
-PURE = 0.9
+#: Letters of word beginnings.
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: A term's rate in toxic texts against that in others, at least; toxic texts it must stand in; terms that would seem sure by chance.
+LIFT, TEXTS, CHANCE = 8.0, 3, 0.1
+#: The lift, as a logarithm, from which on a term weighs 1.
+WHOLE = 6.0
 #: Clean texts in which a word close to a term must stand to be a word of its own.
 ORDINARY = 2
 #: What a misspelled hit weighs at least, of an exact one.
 MISSPELLED = 0.8
-#: Letters from which on a word may be misspelled; characters within which quotation marks must close.
-FUZZY, QUOTE = 4, 60
+#: Edits that make a misspelling; letters from which on a word may have them; characters within which quotation marks must close.
+EDITS, FUZZY, QUOTE = 1, 4, 60
 THRESHOLD = 0.3
 _WORDS = re.compile(r"[^\W\d_]+")
 _JOINED = re.compile(r"(?<![^\W\d_])([^\W\d_]++)(\S)(?=([^\W\d_]++))")
 _OPEN, _CLOSE = "\"“„«‘»", "\"”“»’«"
-#: Features: log1p of exact, misspelled, quoted exact and quoted misspelled hits, log1p of hits per 100 words, bias.
+#: Features: log1p of the weights of exact, misspelled, quoted exact and quoted misspelled hits, log1p of weight per 100 words, bias.
 PRIOR = np.array([3.0, 1.5, 0.2, 0.1, 0.5, -4.0])
 
 
+def trie_of(terms) -> dict:
+    root: dict = {}
+    for term in terms:
+        node = root
+        for c in term:
+            node = node.setdefault(c, {})
+        node[""] = term
+    return root
+
+
 @dataclass
 class Lexicon:
-    words: list[str] = field(default_factory=list)
-    beginnings: list[str] = field(default_factory=list)
+    words: dict[str, float] = field(default_factory=dict)  # weights
+    beginnings: dict[str, float] = field(default_factory=dict)
     weights: np.ndarray = field(default_factory=lambda: PRIOR.copy())
     ordinary: frozenset[str] = frozenset()  # words of clean texts that happen to be one edit from a term
 
     def __post_init__(self) -> None:
-        self.trie: dict = {}
-        for term in self.words:
-            node = self.trie
-            for c in term:
-                node = node.setdefault(c, {})
-            node[""] = term
-        self.starts: dict = {}
-        for term in self.beginnings:
-            node = self.starts
-            for c in term:
-                node = node.setdefault(c, {})
-            node[""] = term
-        self.known: dict[str, int] = {}
-
-    def grade(self, word: str) -> int:
-        """0: no term, 1: a term, 2: one edit from a term."""
+        self.trie, self.starts = trie_of(self.words), trie_of(self.beginnings)
+        self.known: dict[str, float] = {}
+
+    def grade(self, word: str) -> float:
+        """0: no term; the weight of a term, negative if misspelled."""
         found = self.known.get(word)
         if found is None:
             if len(self.known) >= 200_000:
@@ -80,68 +86,78 @@ class Lexicon:
             found = self.known[word] = self._grade(word)
         return found
 
-    def _grade(self, word: str) -> int:
-        node = self.starts
-        for c in word:
-            node = node.get(c)
-            if node is None:
-                break
-            if "" in node:
-                return 1
-        node = self.trie
+    def _grade(self, word: str) -> float:
+        if word in self.words:
+            return self.words[word]
+        node, longest = self.starts, None
         for c in word:
             node = node.get(c)
             if node is None:
                 break
-        if node is not None and "" in node:
-            return 1
-        return 2 if len(word) >= FUZZY - 1 and word not in self.ordinary and near(self.trie, word) else 0
+            longest = node.get("", longest)
+        if longest is not None:
+            return self.beginnings[longest]
+        if len(word) < FUZZY - EDITS or word in self.ordinary:
+            return 0.0
+        return -max((self.words[t] for t in near(self.trie, word)), default=0.0)
 
 
-def near(trie: dict, word: str) -> str | None:
-    """A term of at least FUZZY letters one edit from the word.
+def near(trie: dict, word: str, edits: int = EDITS) -> set[str]:
+    """The terms of at least FUZZY letters that are 1 to `edits` edits from the word.
 
-    The states of the word's Levenshtein automaton are (letters read, edits spent); walking the trie moves all of them
-    at once, and with one edit there are at most three behind each node: on time, one ahead or one behind.
+    A state is a node of the trie with how many letters of the word have been read and how many edits spent. A state is
+    left by the word's next letter for free, or by an edit; with none left only the word's own letters lead on.
     """
-    n = len(word)
-    # edits 0 up to letter i of the word at `node`; each step spends the edit once, and the rest must then match exactly
-    def rest(node: dict, i: int) -> str | None:
-        while i < n:
+    n, found, seen = len(word), set(), set()
+    states = [(trie, 0, edits)]
+    while states:
+        node, i, left = states.pop()
+        while True:
+            if left:
+                if (key := (id(node), i, left)) in seen:
+                    break
+                seen.add(key)
+                if i < n:
+                    states.append((node, i + 1, left - 1))  # a letter too many
+                    if i + 1 < n and word[i] != word[i + 1] and (step := node.get(word[i + 1])) and (step := step.get(word[i])):
+                        states.append((step, i + 2, left - 1))  # two swapped
+                for c, after in node.items():
+                    if c:
+                        states.append((after, i, left - 1))  # one too few
+                        if i < n and c != word[i]:
+                            states.append((after, i + 1, left - 1))  # another
+            if i == n:
+                term = node.get("")
+                if term and len(term) >= FUZZY and term != word:
+                    found.add(term)
+                break
             node = node.get(word[i])
             if node is None:
-                return None
+                break
             i += 1
-        return node.get("")
-
-    node = trie
-    for i in range(n + 1):
-        if i < n and (term := rest(node, i + 1)) and len(term) >= FUZZY:  # the word has a letter too many
-            return term
-        for c, after in node.items():
-            if not c:
-                continue
-            if (term := rest(after, i)) and len(term) >= FUZZY:  # one too few
-                return term
-            if i < n and c != word[i] and (term := rest(after, i + 1)) and len(term) >= FUZZY:  # another
-                return term
-        if i + 1 < n and word[i] != word[i + 1] and (step := node.get(word[i + 1])) and (step := step.get(word[i])) and (term := rest(step, i + 2)) and len(term) >= FUZZY:
-            return term
-        if i < n:
-            node = node.get(word[i])
-            if node is None:
-                return None
-    return None
+    return found
+
+
+class Marks:
+    """Where a text's straight quotation marks and line ends stand."""
 
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.marks = [m.start() for m in re.finditer('"', text)]
 
-def quoted(text: str, at: int, to: int) -> bool:
+    def open_at(self, at: int) -> bool:
+        """Whether an odd number of marks stands between the line's start and this place."""
+        return (bisect_left(self.marks, at) - bisect_left(self.marks, self.text.rfind("\n", 0, at) + 1)) % 2 == 1
+
+
+def quoted(marks: Marks, at: int, to: int) -> bool:
     """Whether quotation marks open before text[at:to] and close after it, close by and on the same line."""
+    text = marks.text
     before, after = text[max(0, at - QUOTE) : at].rpartition("\n")[2], text[to : to + QUOTE].partition("\n")[0]
     opened = max((before.rfind(c) for c in _OPEN), default=-1)
     if opened < 0 or not any(c in after for c in _CLOSE):
         return False
-    mark = before[opened]
-    return mark not in '"' or text.count('"', text.rfind("\n", 0, at) + 1, at) % 2 == 1
+    return before[opened] != '"' or marks.open_at(at)
 
 
 def features(lexicon: Lexicon, text: str) -> list[float] | None:
@@ -149,16 +165,16 @@ def features(lexicon: Lexicon, text: str) -> list[float] | None:
     low = text.lower()
     found = _WORDS.findall(low)
     graded = {w: g for w in set(found) if (g := lexicon.grade(w))}
-    parted = {x for x in set(_JOINED.findall(low)) if x[0] not in graded and x[2] not in graded and lexicon.grade("".join(x)) == 2}
+    parted = {x: -g for x in set(_JOINED.findall(low)) if x[0] not in graded and x[2] not in graded and (g := lexicon.grade("".join(x))) < 0}
     if not graded and not parted:
         return None
-    n = [0, 0, 0, 0]
+    n, marks = [0.0, 0.0, 0.0, 0.0], Marks(low)
     for m in _JOINED.finditer(low) if parted else ():
-        if m.groups() in parted:
-            n[1 + 2 * quoted(low, m.start(), m.end(3))] += 1
+        if g := parted.get(m.groups()):
+            n[1 + 2 * quoted(marks, m.start(), m.end(3))] += g
     for m in _WORDS.finditer(low):
         if g := graded.get(m[0]):
-            n[(g - 1) + 2 * quoted(low, m.start(), m.end())] += 1
+            n[(g < 0) + 2 * quoted(marks, m.start(), m.end())] += abs(g)
     return [*map(math.log1p, n), math.log1p(100 * (n[0] + n[1]) / len(found)), 1.0]
 
 
@@ -170,26 +186,35 @@ def scores(lexicon: Lexicon, texts: list[str]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ lexicon.weights, -30, 30)))
 
 
+def _beginnings(word: str) -> list[str]:
+    return [word[:k] + "*" for k in BEGINNINGS if len(word) > k]
+
+
 def _terms(batches):
-    """Of each partition: in how many texts each term stands, and in how many toxic ones."""
-    n, bad = Counter(), Counter()
+    """Of each partition: in how many texts, and in how many toxic ones, each term stands, and with how many words (once a text)."""
+    held: dict[str, list[int]] = {}
 
     def flush():
-        names = list(n)
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([n[x] for x in names], pa.int64()), pa.array([bad[x] for x in names], pa.int64())], names=["term", "n", "bad"])
+        columns = zip(*held.values(), strict=True) if held else [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), *(pa.array(x, pa.int64()) for x in columns)], names=["term", "texts", "bad_texts", "n", "bad"])
 
     for batch in batches:
         for part, texts in slices(batch, "text"):
             for text, toxic in zip(texts.to_pylist(), part.column(part.schema.get_field_index("toxic")).to_pylist(), strict=True):
                 own = set(_WORDS.findall(text.lower()))
-                own |= {w[:k] + "*" for w in own for k in (4, 5, 6) if len(w) > k}
-                n.update(own)
-                if toxic:
-                    bad.update(own)
-            if len(n) > 1_000_000:
+                counts = Counter(own)
+                for w in own:
+                    counts.update(_beginnings(w))
+                for term, n in counts.items():
+                    x = held.setdefault(term, [0, 0, 0, 0])
+                    x[0] += 1
+                    x[2] += n
+                    if toxic:
+                        x[1] += 1
+                        x[3] += n
+            if len(held) > 1_000_000:
                 yield flush()
-                n.clear()
-                bad.clear()
+                held.clear()
     yield flush()
 
 
@@ -204,10 +229,49 @@ def _contexts(batches):
                 for w, before, after in zip(words, [edge, *words], [*words[1:], edge], strict=False):
                     place = xxhash.xxh64_intdigest(f"{before} {after}", 42) >> 1
                     found.add((w, place))
-                    found.update((w[:k] + "*", place) for k in (4, 5, 6) if len(w) > k)
+                    found.update((b, place) for b in _beginnings(w))
             yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.string()), pa.array([c for _, c in found], pa.int64())], names=["term", "place"])
 
 
+def evidence(n, bad, base: float, log=F.log):
+    """The lift of a term with n words, `bad` of them in toxic texts, and how sure it is (log likelihood ratio); numbers or columns."""
+    k, good = bad + 0.5, n - bad + 0.5
+    share = k / (n + 1)
+    return k / good * ((1 - base) / base), bad * log(share / base) + (n - bad) * log((1 - share) / (1 - base))
+
+
+def chosen(terms: list[tuple[str, int, int]], base: float, least: float) -> tuple[dict[str, float], dict[str, float]]:
+    """Words and beginnings with their weights: the surest first, without what one already chosen stands for.
+
+    Of equally sure terms a whole word comes before a beginning, and a longer beginning before a shorter one.
+    """
+    counts = {t: [n, bad] for t, n, bad in terms}
+    within: dict[str, list[str]] = {}
+    for t in counts:
+        for b in _beginnings(t.rstrip("*")):
+            if b in counts:
+                within.setdefault(b, []).append(t)
+    parts = {}
+    rank = lambda t: (-round(evidence(*counts[t], base, math.log)[1], 6), t[-1] == "*", -len(t), t)
+    left = sorted(counts, key=rank)
+    while left:
+        t = left.pop(0)
+        n, bad = counts.pop(t)
+        lift, sure = evidence(n, bad, base, math.log)
+        if lift < LIFT or sure < least:
+            continue
+        parts[t] = min(1.0, math.log(lift) / WHOLE)
+        for own in within.get(t, ()):
+            counts.pop(own, None)
+        changed = [b for b in _beginnings(t.rstrip("*")) if b in counts]
+        for b in changed:
+            counts[b] = [counts[b][0] - n, counts[b][1] - bad]
+        left = [x for x in left if x in counts]
+        if changed:
+            left.sort(key=rank)
+    return {t: w for t, w in parts.items() if t[-1] != "*"}, {t[:-1]: w for t, w in parts.items() if t[-1] == "*"}
+
+
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Lexicon:
     """From at most about SAMPLE_ROWS labelled rows that aren't held out; equal texts count once."""
     spark = docs.sparkSession
@@ -217,28 +281,25 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     # the draw is about SAMPLE_ROWS ids of 12 bytes, whatever the labels' size
     rows = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("text")).where("text is not null").join(F.broadcast(drawn), "__id").groupBy("text").agg(F.max("toxic").alias("toxic"))
     rows = rows.select("text", F.col("toxic").cast("int").alias("toxic"))
-    from .shared import Scratch
-
     scratch = Scratch(spark)
     rows = scratch.write(rows)
     total = rows.agg(F.count("*"), F.sum("toxic")).first()
     if not total[1] or total[1] == total[0]:
         return Lexicon()
-    base = total[1] / total[0]
-    counted = rows.mapInArrow(_terms, "term string, n long, bad long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    # so often toxic that none of a million terms would be by chance
-    least = max(3, math.ceil(math.log(1e7) / -math.log(max(base, 1e-3))))
-    counted = scratch.write(counted.where((F.col("bad") >= least) & (F.col("bad") >= PURE * F.col("n"))))
+    counted = scratch.write(rows.mapInArrow(_terms, "term string, texts long, bad_texts long, n long, bad long").groupBy("term").agg(*[F.sum(x).alias(x) for x in ("texts", "bad_texts", "n", "bad")]))
+    words = counted.where(~F.col("term").endswith("*")).agg(F.sum("n"), F.sum("bad")).first()
+    if not words[1] or words[0] == words[1]:
+        return Lexicon()
+    base = words[1] / words[0]
+    tried = counted.where(F.col("bad_texts") >= TEXTS)
+    least = math.log(max(tried.count(), 1) / CHANCE)
+    lift, sure = evidence(F.col("n"), F.col("bad"), base)
+    likely = scratch.write(tried.where((lift >= LIFT) & (sure >= least)))
     # texts that quote one passage are no independent evidence: between the same neighbours a term counts once
-    places = rows.where("toxic = 1").select("text").mapInArrow(_contexts, "term string, place long").join(counted.select("term"), "term", "left_semi")
-    varied = places.distinct().groupBy("term").agg(F.count("*").alias("places")).where(F.col("places") >= least)
-    best = counted.join(varied, "term").orderBy(F.desc("bad"), "term").limit(MOST_TERMS).collect()
-    beginnings = [r.term[:-1] for r in best if r.term[-1] == "*"]
-    whole = [r.term for r in best if r.term[-1] != "*"]
-    # a beginning must add words: of those of one word or of a longer beginning with the same texts the word is enough
-    frequent = {r.term: r.bad for r in best}
-    beginnings = [b for b in beginnings if not any(w.startswith(b) and frequent[w] >= 0.9 * frequent[b + "*"] for w in whole)]
-    beginnings = [b for b in beginnings if not any(len(a) < len(b) and b.startswith(a) for a in beginnings)]
+    places = rows.where("toxic = 1").select("text").mapInArrow(_contexts, "term string, place long").join(likely.select("term"), "term", "left_semi")
+    varied = places.distinct().groupBy("term").agg(F.count("*").alias("places")).where(F.col("places") >= max(TEXTS, math.ceil(least / -math.log(base))))
+    # each stands in some of the sample's texts, so the sample bounds how many there are
+    whole, beginnings = chosen([(r.term, r.n, r.bad) for r in likely.join(varied, "term").collect()], base, least)
     lexicon = Lexicon(whole, beginnings)
     neighbours = spark.sparkContext.broadcast(lexicon)
 
@@ -247,12 +308,11 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
             n = Counter()
             for text in batch.column(0).to_pylist():
                 low = text.lower()
-                n.update(w for w in {*_WORDS.findall(low), *map("".join, _JOINED.findall(low))} if neighbours.value.grade(w) == 2)
+                n.update(w for w in {*_WORDS.findall(low), *map("".join, _JOINED.findall(low))} if neighbours.value.grade(w) < 0)
             yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], names=["word", "n"])
 
-    # the most frequent ones are enough: the model's size is bounded like the lexicon's
     plain = rows.where("toxic = 0").select("text").mapInArrow(beside, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= ORDINARY)
-    lexicon = Lexicon(whole, beginnings, ordinary=frozenset(r["word"] for r in plain.orderBy(F.desc("n"), "word").limit(10 * MOST_TERMS).collect()))
+    lexicon = Lexicon(whole, beginnings, ordinary=frozenset(r["word"] for r in plain.select("word").collect()))
     shared = spark.sparkContext.broadcast(lexicon)
 
     def seen(batches):

@@ -421,32 +421,108 @@ def test_toxicity(spark):
     assert toxicity.scores(lexicon, [abuse])[0] > toxicity.THRESHOLD > toxicity.scores(lexicon, [quote])[0]
     kept = toxicity.drop_toxic(docs.withColumn("score", F.lit("clash")), labels)
     assert kept.columns == ["doc_id", "text", "score"] and kept.where("doc_id % 3 = 0 and doc_id < 240").count() == 0 and kept.where("doc_id % 3 > 0 and doc_id < 240").count() == 160
-    assert toxicity.learn(docs, labels.limit(0)).words == []
+    assert toxicity.learn(docs, labels.limit(0)).words == {}
     assert toxicity.score(empty(spark), lexicon, ["doc_id"]).count() == 0
 
 
-def test_levenshtein_against_brute_force():
-    rng = random.Random(1)
-    terms = ["blargon", "vilewretch", "abcde", "abcdf", "xyz"]
-    trie = toxicity.Lexicon(terms).trie
+def distance(a, b):
+    """Edits with swaps of adjacent letters, each letter edited once (optimal string alignment)."""
+    d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
+    for i in range(len(a)):
+        for j in range(len(b)):
+            d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i] != b[j]))
+            if i and j and a[i] == b[j - 1] and a[i - 1] == b[j]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a) - 1, len(b) - 1]
 
-    def distance(a, b):
-        d = {(i, -1): i + 1 for i in range(-1, len(a))} | {(-1, j): j + 1 for j in range(-1, len(b))}
-        for i in range(len(a)):
-            for j in range(len(b)):
-                d[i, j] = min(d[i - 1, j] + 1, d[i, j - 1] + 1, d[i - 1, j - 1] + (a[i] != b[j]))
-                if i and j and a[i] == b[j - 1] and a[i - 1] == b[j]:
-                    d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
-        return d[len(a) - 1, len(b) - 1]
 
-    for _ in range(3000):
+@pytest.mark.parametrize("edits", [1, 2, 3])
+def test_levenshtein_against_brute_force(edits):
+    rng = random.Random(edits)
+    terms = ["blargon", "vilewretch", "abcde", "abcdf", "abab", "aabb", "xyz"]
+    trie = toxicity.trie_of(terms)
+    for _ in range(1500):
         word = list(rng.choice(terms))
-        for _ in range(rng.randrange(0, 3)):
+        for _ in range(rng.randrange(0, 5)):
             k = rng.randrange(0, len(word) + 1)
-            word[k : k + rng.randrange(0, 2)] = rng.choice(["", "a", "g", "x"])
+            word[k : k + rng.randrange(0, 2)] = rng.choice(["", "a", "b", "g", "x"])
+            if rng.random() < 0.3 and k + 1 < len(word):
+                word[k], word[k + 1] = word[k + 1], word[k]
         word = "".join(word)
-        if word not in terms:
-            assert bool(toxicity.near(trie, word)) == any(len(t) >= toxicity.FUZZY and distance(t, word) == 1 for t in terms), word
+        assert toxicity.near(trie, word, edits) == {t for t in terms if len(t) >= toxicity.FUZZY and 1 <= distance(t, word) <= edits}, word
+
+
+def plain_score(lexicon, text):
+    """The definition, hit by hit: whole words, else their longest beginning, else the heaviest term one edit away."""
+    low = (text or "").lower()
+    words = [(m[0], m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", low)]
+
+    def grade(w):
+        if w in lexicon.words:
+            return lexicon.words[w], False
+        starts = [b for b in lexicon.beginnings if w.startswith(b)]
+        if starts:
+            return lexicon.beginnings[max(starts, key=len)], False
+        near = [] if w in lexicon.ordinary else [g for t, g in lexicon.words.items() if len(t) >= 4 and distance(t, w) == 1]
+        return max(near, default=0), True
+
+    def quoted(a, b):
+        line = low[:a].rpartition("\n")[2]
+        before, after = line[-60:], low[b : b + 60].partition("\n")[0]
+        marks = [(before.rfind(c), c) for c in '"“„«‘»' if c in before]
+        if not marks or not any(c in after for c in '"”“»’«'):
+            return False
+        return max(marks)[1] != '"' or line.count('"') % 2 == 1
+
+    n = [0, 0, 0, 0]
+    for w, a, b in words:
+        g, missed = grade(w)
+        n[missed + 2 * quoted(a, b)] += g
+    for (w, a, b), (v, c, d) in zip(words, words[1:], strict=False):
+        if c == b + 1 and not low[b].isspace() and not grade(w)[0] and not grade(v)[0]:
+            g, missed = grade(w + low[b] + v)
+            n[1 + 2 * quoted(a, d)] += g if missed else 0
+    x = [*np.log1p(n), np.log1p(100 * (n[0] + n[1]) / max(1, len(words))), 1]
+    return 1 / (1 + np.exp(-np.clip(np.dot(x, lexicon.weights), -30, 30)))
+
+
+def test_scores_against_brute_force():
+    rng = random.Random(2)
+    lexicon = toxicity.Lexicon({"blargon": 1.0, "vile": 0.7, "scum": 0.9}, {"wretch": 0.5, "wretched": 0.8}, np.array([2.0, 1.1, 0.4, 0.3, 0.6, -3.0]), frozenset({"vine", "blargons"}))
+    pool = ["blargon", "blarg0n", "blargn", "vile", "vine", "vole", "scvm", "sc.um", "wretches", "wretchedly", "wretc", "blargons", "tree", "a", '"', "“", "”", "«", "»", ".", "\n", "bla-rgon", "7", "vil e", "lbargon"]
+    texts = ["".join(rng.choice(pool) + rng.choice([" ", " ", "", "\n"]) for _ in range(rng.randrange(0, 60))) for _ in range(400)] + [""]
+    got = toxicity.scores(lexicon, texts)
+    assert np.allclose(got, [plain_score(lexicon, t) for t in texts]) and len(set(np.round(got, 6))) > 200
+
+
+def test_quotations_are_told_in_linear_time():
+    import time
+
+    lexicon, spent = toxicity.Lexicon({"blargon": 1.0}), []
+    for n in (20_000, 80_000):
+        text, start = 'he said "blargon" ' * n, time.perf_counter()
+        toxicity.features(lexicon, text)
+        spent.append(time.perf_counter() - start)
+    assert spent[1] < 10 * spent[0]
+
+
+def test_rare_terms_are_learned(spark):
+    """A language with few toxic texts, whose terms share only their beginning, among many toxic texts of another."""
+    rng = random.Random(7)
+    common, rare = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(10)], [f"z{chr(97 + i)}{chr(97 + j)}" for i in range(20) for j in range(10)]
+    data = []
+    for i in range(1500):
+        pool, stem = (common, ["blargon"]) if i % 15 else (rare, [f"zorgu{x}" for x in ("la", "mi", "ne", "po", "rit", "sak")])
+        toxic = i % 8 == 1
+        words = [rng.choice(pool) for _ in range(60)]
+        for _ in range(4 if toxic else 0):
+            words.insert(rng.randrange(60), rng.choice(stem))
+        data.append((i, " ".join(words), int(toxic)))
+    df = spark.createDataFrame(data, SCHEMA + ", toxic int")
+    lexicon = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert any("zorgu".startswith(b) or b.startswith("zorgu") for b in lexicon.beginnings) and "blargon" in lexicon.words
+    got = toxicity.score(df, lexicon, ["doc_id", "toxic"]).collect()
+    assert all((r.score >= toxicity.THRESHOLD) == r.toxic for r in got)
 
 
 # Packing

@@ -37,7 +37,7 @@ def test_words_of_one_passage_are_no_terms(lexicon):
 
 
 def test_digits_and_signs_within_words():
-    lexicon = toxicity.Lexicon(["moron", "idiot", "stupid", "scum"], ordinary=frozenset(["scam"]))
+    lexicon = toxicity.Lexicon(dict.fromkeys(["moron", "idiot", "stupid", "scum"], 1.0), ordinary=frozenset(["scam"]))
     hits = lambda text: (toxicity.features(lexicon, text) or toxicity._NONE)[1] > 0
     for text in ("you id1ot", "a m0ron", "(stup!d)", "st.upid people", "you m_ron-like", "SC*M", "skum", "scumm", "x-m0ron"):
         assert hits(text), text
