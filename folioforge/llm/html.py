@@ -1,19 +1,26 @@
 """Main text of web pages by wrapper induction.
 
 Pages of a host are dealt into groups of about GROUP pages. In a group each page's tree of block elements is aligned
-with that of one middling page by simple tree matching: two trees match only if their roots have the same tag and class, and
-then in as many nodes as the best order-keeping matching of their children allows. A text node that says the same in
-most of the pages aligned with it belongs to the host's template, and of each page what is aligned with it and says the
-same; slots whose text varies are content, and so is an equal text elsewhere. Only pages that
-differ in most of their content are compared, so copies of an article don't make it template.
-
-What varies isn't always the article (menus and adverts vary as well), so of the content slots those inside elements
-that name themselves menu, header, footer, sidebar, notice, advert, form or comment are left out, and if the page has an
-article or main element those outside it. Without such an element, blocks that are mostly links go too.
+with that of a middling page, and with the largest, by simple tree matching: two trees match only if their roots have the
+same tag and class, and then in as many nodes as the best order-keeping matching of their children allows. The wrapper
+comes from what is aligned:
+
+- A text that says the same in most of the pages aligned there belongs to the host's template, and so does what is
+  aligned with it and says the same; an equal text elsewhere doesn't. Only pages that differ in most of their content are
+  compared, so copies of an article don't make it template.
+- The rest varies, but menus and adverts vary as well. So the slot that holds the article is sought in the aligned tree:
+  from the root down into the element that holds most of the varying text outside links, summed over the group's pages,
+  as long as one does. Each page's content is what is aligned with that slot (and with headings right before it).
+- Names are only a prior: article and main elements count MAIN times, elements for menus, headers, footers, asides and
+  forms not at all. Elements whose class and id say just that (and hold neither article or main elements nor nearly all of the page) are
+  left out; where these say something else as well, only if the element recurs in most of the group's pages.
+
+A page without such a group, or that doesn't align with its slot, is judged by its own tree alone in the same way.
+Outside article and main elements, blocks that are mostly links go too.
 
 The text is the blocks' text in page order, one line each: character references decoded, white space as single
-spaces. A null or empty page has empty text. Pages without a host form groups like any others; rows that repeat are
-extracted alike; all pages are processed whole.
+spaces. A null or empty page has empty text. Pages without a host form groups like any others; equal pages are extracted
+once; all pages are processed whole.
 """
 
 from __future__ import annotations
@@ -29,16 +36,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Pages aligned together.
-GROUP = 48
-#: Hosts with several groups (about 60 bytes each) up to which their table is broadcast; more are joined by shuffle.
+from .shared import Scratch
+
+#: Pages aligned together, about, and their bytes.
+GROUP, GROUP_BYTES = 48, 16 << 20
+#: Hosts with several groups, and equal pages, (about 60 bytes each) up to which their table is broadcast; more are joined by shuffle.
 LOOKED_UP = 200_000
+#: Equal pages from which on only one goes to a group; of those, pages joined with one copy of the text.
+EQUAL, TOGETHER = 16, 50_000
 #: Children of two elements, multiplied, above which their table is made by rows of numpy arrays, not all held at once.
 TABLE = 2500
 #: Levels of a tree; what elements further inside hold are the last level's children, with roles of their own.
 DEEP = 200
 #: Share of the compared pages that must say the same for a text to be template, and pages compared at least.
-CONSTANT, COMPARED = 0.6, 3
+CONSTANT, COMPARED = 0.6, 2
+#: Share of an element's varying text that one inside must hold to be the content's slot; for tables, whose cells may be layout or content.
+MOST, MOST_OF_TABLE = 0.7, 0.95
+#: Share of a page's text from which on an element is the page, whatever its name.
+THE_PAGE = 0.95
+#: How much more text in article and main elements counts.
+MAIN = 3
 
 #: Elements by role.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object", "xmp", "noembed", "noframes"}
@@ -47,31 +64,44 @@ BLOCK = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul hr button".split()
 )
 LEFT_OUT = {"nav", "footer", "aside", "form", "menu", "dialog", "search", "head", "button", "select", "fieldset"}
+HOLDERS = {"#", "html", "body", "div", "section", "center", "article", "main"}
+TABLES = {"table", "tbody", "tr", "td"}
+HEADINGS = {"h1", "h2", "h3", "hgroup"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu|breadcrumbs?|sidebar|side|footer|foot|masthead|header|cookies?|consent|notices?|newsletter|subscribe|popup|modal|share|sharing|social|related|comments?|respond|disqus|login|signup|widget|toolbar|pagination|skip)(?:$|[\s_-])",
-    re.I,
+ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
+ASIDE = set(
+    "ad ads advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promotion banner nav navbar navigation menu menus breadcrumb breadcrumbs sidebar footer masthead header cookie cookies consent notice notices newsletter subscribe popup modal share sharing social related comment comments respond disqus login signup toolbar pagination skip".split()
 )
-ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar", "note"}
+PLAIN = set("area bar block bottom box button buttons container content global group holder inner item items left link links list outer page panel post posts primary right row secondary section site slot thread top unit widget wrap wrapper".split())
+MODIFIED = {"has", "with", "no", "without", "is", "hide", "show"}
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 class Node:
-    """A block element; its children are elements and texts [text, share of it in links, left out, in an article]."""
+    """A block element, left out by its tag or role (1) or hidden (2); its children are elements and texts [text, share of it in links, left out by elements too deep for a node]."""
+
+    __slots__ = ("tag", "kind", "out", "named", "main", "children")
 
-    __slots__ = ("kind", "children")
+    def __init__(self, tag: str, kind: str, out: int = 0, named: int = 0, main: bool = False) -> None:
+        self.tag, self.kind, self.out, self.named, self.main, self.children = tag, kind, out, named, main, []
 
-    def __init__(self, kind: str) -> None:
-        self.kind, self.children = kind, []
+
+def named(names: str) -> int:
+    """What a class and id say: 2 that the element is none of the article, 1 that and something else, 0 neither."""
+    words = [x.lower() for x in _WORD.findall(names)]
+    if not ASIDE.intersection(words) or MODIFIED.intersection(words):
+        return 0
+    return 2 if all(x in ASIDE or x in PLAIN for x in words) else 1
 
 
 def parse(page: str) -> Node:
     """The tree of block elements; inline markup is only text."""
-    root = Node("#")
-    # open elements (tag, node, left out, in an article), also those too deep for a node, and how many of each tag
+    root = Node("#", "#")
+    # open elements (tag, node, left out below the last node, in an article), also those too deep for a node, and how many of each tag
     stack, opened, parts, links, depth = [("#", root, False, False)], Counter(), [], 0, 0
     at, n = 0, len(page)
 
@@ -80,8 +110,8 @@ def parse(page: str) -> Node:
         if parts:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip(" ")
             if text:
-                _, node, out, main = stack[-1]
-                node.children.append([text, links / max(1, sum(map(len, parts))), out, main])
+                _, node, out, _ = stack[-1]
+                node.children.append([text, links / max(1, sum(map(len, parts))), out])
             parts.clear()
         links = 0
 
@@ -140,32 +170,33 @@ def parse(page: str) -> Node:
             elif stack[-1][0] == "p":
                 close_from(len(stack) - 1)
             _, up, up_out, up_main = stack[-1]
-            kind, out, main = tag, tag in LEFT_OUT, tag in ("article", "main")
+            kind, out, main, own, hidden = tag, tag in LEFT_OUT, tag in ("article", "main"), 0, False
             if m[3]:
                 a = {k.lower(): x or y or z for k, x, y, z in _ATTRIBUTE.findall(m[3])}
-                names = f"{a.get('class', '')} {a.get('id', '')}".strip()
                 kind = f"{tag}.{a.get('class', '')}"
                 role = a.get("role", "").lower()
                 main = main or role in ("main", "article")
-                out = out or role in ROLE or "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", a.get("style", ""), re.I)) or bool(names and not main and tag not in ("body", "html") and NAMED.search(names))
+                out = out or role in ROLE
+                hidden = "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", a.get("style", ""), re.I))
+                own = 0 if main or tag in ("body", "html") else named(f"{a.get('class', '')} {a.get('id', '')}")
             out = out or tag == "header" and not up_main
             node = up
             if len(stack) < DEEP:
-                node = Node(kind)
+                node = Node(tag, kind, 2 if hidden else int(out), own, main)
                 up.children.append(node)
-            stack.append((tag, node, out or up_out, main or up_main))
+            stack.append((tag, node, node is up and (up_out or out or hidden or own == 2), main or up_main))
             opened[tag] += 1
     flush()
     return root
 
 
 def texts_of(node: Node, found: list) -> list:
-    """(text, link share, left out, in an article) in page order; the text's list itself identifies it."""
+    """The texts in page order; the text's list itself identifies it."""
     for c in node.children:
         if type(c) is Node:
             texts_of(c, found)
         else:
-            found.append((c, c[2], c[3]))
+            found.append(c)
     return found
 
 
@@ -173,7 +204,7 @@ class Pair:
     """What the alignment of two pages knows: signatures of nodes that align alike with all nodes of the other page."""
 
     def __init__(self, a: list, b: list) -> None:
-        self.shared = {c[0] for c, _, _ in a} & {c[0] for c, _, _ in b}
+        self.shared = {c[0] for c in a} & {c[0] for c in b}
         self.codes: dict = {}
         self.signed: dict[int, int] = {}
         self.weights: dict[tuple[int, int], int] = {}
@@ -198,11 +229,12 @@ class Pair:
         return found
 
 
-def align(a: Node, b: Node, pairs: list, known: Pair) -> None:
-    """Appends the text nodes of a and b that simple tree matching aligns."""
+def align(a: Node, b: Node, pairs: list, elements: dict, known: Pair) -> None:
+    """Appends the text nodes of a and b that simple tree matching aligns, and adds to elements b's by a's id."""
+    elements[id(a)] = b
     for p, q in matched(a.children, b.children, known, True)[1]:
         if type(p) is Node:
-            align(p, q, pairs, known)
+            align(p, q, pairs, elements, known)
         else:
             pairs.append((p, q))
 
@@ -308,57 +340,165 @@ def weight(p, q, known: Pair) -> int:
     return 1 + matched(x, y, known)[0]
 
 
-def extract(pages: list[str]) -> list[str]:
+class Page:
+    """A tree, its texts, and what is known of them: template texts and elements that recur."""
+
+    def __init__(self, tree: Node) -> None:
+        self.tree, self.texts = tree, texts_of(tree, [])
+        self.constant: set[int] = set()
+        self.recurs: set[int] = set()
+
+    def weigh(self) -> None:
+        """Of each element the characters outside links that aren't template or left out, and whether it is left out."""
+        self.mass, self.out, self.holds_main, self.all = {}, {}, {}, {}
+        self._measure(self.tree)
+        self._weigh(self.tree, False)
+
+    def _measure(self, node: Node) -> tuple[int, bool]:
+        n, main = 0, node.main
+        for c in node.children:
+            if type(c) is Node:
+                k, inside = self._measure(c)
+                n, main = n + k, main or inside
+            else:
+                n += len(c[0])
+        self.all[id(node)], self.holds_main[id(node)] = n, main
+        return n, main
+
+    def _weigh(self, node: Node, out: bool) -> float:
+        if not out and node.out:
+            out = node.out == 2 or not self.holds_main[id(node)]
+        elif not out and node.named and not self.holds_main[id(node)]:
+            share = self.all[id(node)] / max(1, self.all[id(self.tree)])
+            out = share < THE_PAGE if node.named == 2 else 2 * share <= 1 and id(node) in self.recurs
+        self.out[id(node)] = out
+        n = 0.0
+        for c in node.children:
+            if type(c) is Node:
+                n += self._weigh(c, out)
+            elif not out and not c[2] and id(c) not in self.constant:
+                n += len(c[0]) * (1 - c[1])
+        self.mass[id(node)] = n
+        return n
+
+    def kept(self, slots: list[Node]) -> str:
+        found: list = []
+        for node in slots:
+            self._keep(node, node.main, found)
+        return "\n".join(found)
+
+    def _keep(self, node: Node, main: bool, found: list) -> None:
+        if self.out[id(node)]:
+            return
+        for c in node.children:
+            if type(c) is Node:
+                self._keep(c, main or c.main, found)
+            elif not c[2] and id(c) not in self.constant and (main or c[1] <= 0.5):
+                found.append(c[0])
+
+
+def slots(tree: Node, mass: dict[int, float], out: dict[int, bool]) -> list[Node]:
+    """The elements that hold the content, in page order, by the varying text in each element."""
+    mains = topmost(tree, out, [])
+    inside = sum(mass[id(x)] for x in mains)
+    if mains and MAIN * inside >= mass[id(tree)] - inside:
+        return mains
+    node, before = tree, []
+    while True:
+        inner = [c for c in node.children if type(c) is Node and not out[id(c)]]
+        best = max(inner, key=lambda c: mass[id(c)], default=None)
+        if best is None or best.tag not in HOLDERS | TABLES or mass[id(best)] < (MOST_OF_TABLE if best.tag in TABLES else MOST) * mass[id(node)] or not mass[id(best)]:
+            return [*before, node]
+        before += [c for c in inner[: inner.index(best)] if c.tag in HEADINGS]
+        node = best
+
+
+def topmost(node: Node, out: dict[int, bool], found: list) -> list[Node]:
+    """The outermost article and main elements that aren't left out."""
+    for c in node.children:
+        if type(c) is Node and not out[id(c)]:
+            if c.main:
+                found.append(c)
+            else:
+                topmost(c, out, found)
+    return found
+
+
+def extract(pages: list[str], induced: bool = True) -> list[str]:
     """The main texts of pages of one host."""
-    trees = [parse(p or "") for p in pages]
-    texts = [texts_of(t, []) for t in trees]
-    out = []
-    for own, template in zip(texts, templates(trees, texts), strict=True):
-        kept = [(c, main) for i, (c, left_out, main) in enumerate(own) if not left_out and i not in template]
-        if any(main for _, main in kept):
-            kept = [c for c, main in kept if main]
-        else:
-            kept = [c for c, _ in kept if c[1] <= 0.5]
-        out.append("\n".join(c[0] for c in kept))
-    return out
-
-
-def templates(trees: list[Node], texts: list[list]) -> list[set[int]]:
-    """Of each page the places of its template's texts.
-
-    They are aligned with texts of one page that aligned nodes share in most pages that otherwise differ, and say the same.
-    """
-    names = [tuple(c[0] for c, _, _ in own) for own in texts]
-    shapes = [(name, tuple(shape(tree, []))) for name, tree in zip(names, trees, strict=True)]
-    distinct = {}
-    for k, tree, own in zip(shapes, trees, texts, strict=True):
-        distinct.setdefault(k, (tree, own))
-    if len(set(names)) <= COMPARED:
-        return [set() for _ in trees]
+    distinct: dict = {}
+    names = []
+    for p in pages:
+        page = Page(parse(p or ""))
+        names.append((tuple(c[0] for c in page.texts), tuple(shape(page.tree, []))))
+        distinct.setdefault(names[-1], page)
+    slot = induce(distinct) if induced else {}
+    done = {}
+    for k, page in distinct.items():
+        if k not in slot:
+            page.weigh()
+        done[k] = page.kept(slot.get(k) or slots(page.tree, page.mass, page.out))
+    return [done[k] for k in names]
+
+
+def induce(distinct: dict[tuple, Page]) -> dict[tuple, list[Node]]:
+    """Marks the pages' template texts and recurring elements; of pages that align with the content's slot, the elements there."""
     order = sorted(distinct, key=lambda k: (len(k[0]), k))
-    middle = order.pop(len(order) // 2)  # a page of middling size
-    base, known = distinct[middle]
-    same: dict[int, int] = {}
-    compared, seen, aligned = 0, {middle[0]}, {middle: [(c, c) for c, _, _ in known]}
+    if len(order) <= COMPARED:
+        return {}
+    middle, largest = order[len(order) // 2], order[-1]
+    found = None
+    for base in dict.fromkeys((largest, middle)):
+        found = compare(distinct, order, base)
+    if found is None:
+        return {}
+    # the middling page's tree, with the pages' text summed over what is aligned
+    tree = distinct[middle].tree
+    total: Counter = Counter()
+    for k, elements in found.items():
+        page = distinct[k]
+        page.weigh()
+        for p, q in elements.items():
+            total[p] += page.mass[id(q)]
+    chosen = slots(tree, total, distinct[middle].out)
+    own = {k: [elements[id(x)] for x in chosen if id(x) in elements] for k, elements in found.items()}
+    return {k: x for k, x in own.items() if x and id(chosen[-1]) in found[k]}
+
+
+def compare(distinct: dict[tuple, Page], order: list[tuple], base: tuple) -> dict[tuple, dict] | None:
+    """Marks what alignment with one page shows; of each page its elements by the base's they are aligned with. None: too few pages differ."""
+    tree, known = distinct[base].tree, distinct[base].texts
+    same, there = Counter(), Counter()
+    compared, seen, aligned = 0, {base[0]}, {}
+    size = lambda pairs: sum(len(p[0]) for p, _ in pairs)
     for k in order:
-        tree, own = distinct[k]
-        pairs: list = []
-        align(base, tree, pairs, Pair(known, own))
-        equal = aligned[k] = [(p, q) for p, q in pairs if p[0] == q[0]]
-        size = lambda found: sum(len(p[0]) for p, _ in found if not p[2])
-        if k[0] in seen or 2 * size(equal) > size(pairs):  # the same texts in other tags, or much the same article
-            continue
+        pairs, elements = [], {}
+        if k == base:
+            pairs = [(c, c) for c in known]
+            own(tree, elements)
+        else:
+            align(tree, distinct[k].tree, pairs, elements, Pair(known, distinct[k].texts))
+        equal = [(p, q) for p, q in pairs if p[0] == q[0]]
+        aligned[k] = equal, elements
+        if k[0] in seen or 2 * size(equal) > max(size(pairs), min(size([(c, c) for c in known]), size([(c, c) for c in distinct[k].texts]))):
+            continue  # the same texts in other tags, or much the same article
         seen.add(k[0])
         compared += 1
-        for p, _ in equal:
-            same[id(p)] = same.get(id(p), 0) + 1
+        same.update(id(p) for p, _ in equal)
+        there.update(elements.keys())
     if compared < COMPARED:
-        return [set() for _ in trees]
-    found = {}
-    for k, equal in aligned.items():
-        constant = {id(q) for p, q in equal if same.get(id(p), 0) >= CONSTANT * compared}
-        found[k] = {i for i, (c, _, _) in enumerate(distinct[k][1]) if id(c) in constant}
-    return [found.get(k, set()) for k in shapes]
+        return None
+    for k, (equal, elements) in aligned.items():
+        distinct[k].constant |= {id(q) for p, q in equal if same[id(p)] >= CONSTANT * compared}
+        distinct[k].recurs |= {id(q) for p, q in elements.items() if there[p] >= CONSTANT * compared}
+    return {k: elements for k, (_, elements) in aligned.items()}
+
+
+def own(node: Node, elements: dict) -> None:
+    elements[id(node)] = node
+    for c in node.children:
+        if type(c) is Node:
+            own(c, elements)
 
 
 def shape(node: Node, found: list) -> list:
@@ -377,16 +517,42 @@ def main_text(pages: DataFrame, carry: list[str], html_col: str = "html", url: s
     """`carry` (any columns of pages but one named text) and text."""
     if "text" in carry:
         raise ValueError("pages' column text clashes with the result")
+    scratch = Scratch(pages.sparkSession)
     host = F.coalesce(F.regexp_extract(F.lower(F.col(url)), r"^[^:/?#]*://([^/?#]*)", 1), F.lit(""))
-    rows = pages.select(*[F.col(c) for c in dict.fromkeys(carry)], F.coalesce(F.col(html_col), F.lit("")).alias("__html"), host.alias("__host"))
+    content = F.coalesce(F.col(html_col), F.lit(""))
+    rows = pages.select(F.struct(*[F.col(c) for c in dict.fromkeys(carry)], F.lit(0).alias("__none")).alias("__row"), content.alias("__html"), host.alias("__host"))
+    # equal pages of a host: two hashes of 64 bits
+    key = F.struct(F.col("__host"), F.xxhash64("__html").alias("one"), F.xxhash64(F.lit(7), "__html").alias("two"))
+    rows = rows.withColumn("__key", key)
+    sizes = scratch.write(rows.select("__key", F.octet_length("__html").cast("long").alias("bytes")).groupBy("__key").agg(F.count("*").alias("n"), F.first("bytes").alias("bytes")))
+    small = lambda df: F.broadcast(df) if df.count() <= LOOKED_UP else df
     # a host's pages are spread over as many groups as it needs, by what they hold; only hosts that need several are looked up
-    large = pages.select(host.alias("__large")).groupBy("__large").agg(F.ceil(F.count("*") / GROUP).cast("long").alias("__groups")).where("__groups > 1")
-    large = F.broadcast(large) if large.count() <= LOOKED_UP else large
-    dealt = rows.join(large, F.col("__host") == F.col("__large"), "left").withColumn("__group", F.pmod(F.xxhash64("__html"), F.coalesce("__groups", F.lit(1))))
-    schema = T.StructType([*(f for name in carry for f in pages.schema.fields if f.name == name), T.StructField("text", T.StringType(), False)])
+    single = F.when(F.col("n") >= EQUAL, 1).otherwise(F.col("n"))
+    groups = F.ceil(F.greatest(F.count("*") / GROUP, F.sum(single * F.col("bytes")) / GROUP_BYTES)).cast("long")
+    large = scratch.write(sizes.groupBy(F.col("__key.__host").alias("__large")).agg(groups.alias("__groups")).where("__groups > 1"))
+    equal = scratch.write(sizes.where(F.col("n") >= EQUAL).select(F.col("__key").alias("__equal"), F.ceil(F.col("n") / TOGETHER).cast("long").alias("__copies")))
+    kind = rows.schema["__row"].dataType
+    none = F.lit(None).cast(kind)
+    one = None
+    if not equal.isEmpty():
+        few = small(equal)
+        same = F.col("__key") == F.col("__equal")
+        one = rows.join(few, same, "left_semi").groupBy("__key").agg(F.first("__html").alias("__html")).select(none.alias("__row"), "__html", F.col("__key.__host").alias("__host"), "__key")
+        copies = rows.drop("__html").join(few, same).withColumn("__copy", F.pmod(F.monotonically_increasing_id(), F.col("__copies"))).select("__row", "__equal", "__copy")
+        rows = rows.join(few, same, "left_anti").unionByName(one)
+    dealt = rows.join(small(large), F.col("__host") == F.col("__large"), "left").withColumn("__group", F.pmod(F.col("__key.one"), F.coalesce("__groups", F.lit(1))))
+    dealt = dealt.select("__row", "__html", "__host", "__group", *(["__key"] if one is not None else []))
+    names = [f.name for f in dealt.select("__row", *(["__key"] if one is not None else [])).schema]
+    schema = T.StructType([*(dealt.schema[x] for x in names), T.StructField("text", T.StringType(), False)])
 
     def run(group: pa.Table) -> pa.Table:
         found = extract(group.column("__html").to_pylist())
-        return pa.table([*(group.column(c) for c in carry), pa.array(found, pa.string())], names=[*carry, "text"])
-
-    return dealt.drop("__large", "__groups").groupBy("__host", "__group").applyInArrow(run, schema)
+        return pa.table([*(group.column(c) for c in names), pa.array(found, pa.string())], names=[*names, "text"])
+
+    done = dealt.groupBy("__host", "__group").applyInArrow(run, schema)
+    if one is not None:
+        # of equal pages the text goes back to all: so many copies of it that no task gets all pages of one
+        done = scratch.write(done)
+        texts = done.where(F.col("__row").isNull()).select(F.col("__key").alias("__equal"), "text").join(small(equal), "__equal").select("__equal", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__copies") - 1)).alias("__copy"))
+        done = done.where(F.col("__row").isNotNull()).select("__row", "text").unionByName(copies.join(texts, ["__equal", "__copy"]).select("__row", "text"))
+    return done.select(*[F.col("__row").getField(c).alias(c) for c in dict.fromkeys(carry)], "text")

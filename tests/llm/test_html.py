@@ -1,7 +1,11 @@
 """Main texts of deep pages, of equal texts in other slots and of long lists of children."""
 
+import itertools
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from folioforge.llm import html
 
 
@@ -45,6 +49,109 @@ def test_large_tables_are_exact(monkeypatch):
         for most in (10**9, 0):
             monkeypatch.setattr(html, "TABLE", most)
             pairs = []
-            html.align(a, b, pairs, html.Pair(html.texts_of(a, []), html.texts_of(b, [])))
+            html.align(a, b, pairs, {}, html.Pair(html.texts_of(a, []), html.texts_of(b, [])))
             found.append([(id(p), id(q)) for p, q in pairs])
         assert found[0] == found[1]
+
+
+def best(p, q):
+    """Simple tree matching by trying every order-keeping matching of the children."""
+    if type(p) is not html.Node or type(q) is not html.Node:
+        return 0 if type(p) is not type(q) else 2 if p[0] == q[0] else 1
+    if p.kind != q.kind:
+        return 0
+    x, y, most = p.children, q.children, 0
+    for k in range(min(len(x), len(y)) + 1):
+        for a in itertools.combinations(x, k):
+            for b in itertools.combinations(y, k):
+                values = [best(u, v) for u, v in zip(a, b, strict=True)]
+                if all(values):
+                    most = max(most, sum(values))
+    return 1 + most
+
+
+@pytest.mark.parametrize("table", [2500, 0])
+def test_tree_matching_against_brute_force(monkeypatch, table):
+    monkeypatch.setattr(html, "TABLE", table)
+    rng = random.Random(5)
+
+    def made(depth):
+        inner = "".join(made(depth - 1) if depth and rng.random() < 0.6 else f"<p>{rng.choice('abc')}</p>" for _ in range(rng.randrange(4)))
+        return f"<{(tag := rng.choice(['div', 'section']))}>{inner}</{tag}>"
+
+    for _ in range(150):
+        a, b = html.parse(made(2)), html.parse(made(2))
+        known = html.Pair(html.texts_of(a, []), html.texts_of(b, []))
+        assert html.weight(a, b, known) == best(a, b)
+        pairs, elements = [], {}
+        html.align(a, b, pairs, elements, known)
+        assert len(elements) + sum(2 if p[0] == q[0] else 1 for p, q in pairs) == best(a, b)
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+
+def plain_pages(rng, n):
+    """Pages whose tags and classes tell nothing: menu, notice, title and text, remarks; all of them vary."""
+    pages, texts = [], []
+    for _ in range(n):
+        title, body = words(rng, 6), [words(rng, rng.randrange(1, 120)) for _ in range(rng.randrange(1, 5))]
+        menu = "".join(f"<li><a href=/{i}>{words(rng, 1)}</a>" for i in range(rng.randrange(3, 8)))
+        inner = f"<h1>{title}</h1>" + "".join(f"<p>{x}</p>" for x in body) + "<p>Written for you</p>"
+        pages.append(f"<div><div class=a1><ul>{menu}</ul></div><div class=b2>{words(rng, 9)}</div><div class=c3>{inner}</div><div class=d4>{words(rng, 8)}</div></div>")
+        texts.append("\n".join([title, *body]))
+    return pages, texts
+
+
+def test_the_slot_is_induced_without_names():
+    pages, texts = plain_pages(random.Random(1), 30)
+    assert html.extract(pages) == texts
+    alone = html.extract(pages, induced=False)
+    assert sum(a != t for a, t in zip(alone, texts, strict=True)) == 30  # without induction what all pages say stays, too
+
+
+def test_headings_beside_the_slot_stay():
+    rng = random.Random(2)
+    rows = [(words(rng, 5), words(rng, 80), words(rng, 70), words(rng, 6)) for _ in range(12)]
+    pages = ["<body><div class=q>%s</div><h1>%s</h1><div class=r><p>%s</p><p>%s</p></div></body>" % (r[3], *r[:3]) for r in rows]
+    assert html.extract(pages) == ["\n".join(r[:3]) for r in rows]
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<div class="layout has-sidebar"><article><h1>T</h1><p>text</p></article></div>', "T\ntext"),
+    ('<div class="sidebar-wrapper"><main><p>text</p></main></div>', "text"),
+    ('<article><section class="promontory-walk"><p>one</p></section><p class="footnote note">two</p><div class="social history">three</div></article>', "one\ntwo\nthree"),
+    ('<article><p>text of some length here</p><div class="social-share">x</div><div id=comments><p>nice</p></div><section class="adRow">y</section></article>', "text of some length here"),
+    ('<article><header><h1>T</h1></header><p>text</p><nav>more</nav><aside>side</aside></article><header>site</header>', "T\ntext"),
+    ("<article hidden><p>no</p></article><p>yes</p>", "yes"),
+    ("<table><tr><td><ul><li><a href=x>one</a></ul><td><p>" + "long text " * 40 + "</table>", ("long text " * 40).strip()),
+    ('<div class=comment-list><p>a reader says a lot, more than the article</p></div><div><p>short article</p></div>', "short article"),
+    ('<div class=comment-list><p>' + "this is the page " * 20 + '</p></div><p>end</p>', ("this is the page " * 20).strip()),
+])
+def test_names_are_only_a_prior(page, want):
+    """On a page alone. An element that is nearly all of the page isn't left out for its name."""
+    assert html.extract([page]) == [want]
+
+
+def test_ambiguous_names_need_a_recurring_slot():
+    rng = random.Random(3)
+    page = '<article><h1>%s</h1><p>%s</p><p>%s</p>%s</article>'
+    rows = [(words(rng, 4), words(rng, 60), words(rng, 50)) for _ in range(10)]
+    every = [page % (*r, f'<div class="social bloom">{words(rng, 5)}</div>') for r in rows]
+    assert html.extract(every) == ["\n".join(r) for r in rows]
+    once = [page % (*r, '<div class="social bloom">on social life</div>' if i == 4 else "") for i, r in enumerate(rows)]
+    assert html.extract(once)[4].endswith("\non social life")
+
+
+def test_equal_pages_are_in_no_single_task(spark, monkeypatch):
+    """Of equal pages one goes to a group; the text comes back to all of them, in tasks of bounded size."""
+    monkeypatch.setattr(html, "TOGETHER", 50)
+    pages, texts = plain_pages(random.Random(4), 20)
+    rows = [(i, "http://h.org/x", pages[0] if i % 3 else pages[i % 20]) for i in range(900)] + [(None, None, None)] * 40
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("one", F.lit("clash")).repartition(4)
+    got = html.main_text(df, ["page_id", "url", "one"])
+    assert got.columns == ["page_id", "url", "one", "text"]
+    rows_got = got.collect()
+    assert len(rows_got) == 940 and all(r.text == ("" if r.page_id is None else texts[0 if r.page_id % 3 else r.page_id % 20]) for r in rows_got)
+    assert len({r.text for r in rows_got}) == 21
