@@ -151,19 +151,6 @@ def test_scratch_is_deleted(spark, docs, tmp_path):
 
 # Licences
 
-@pytest.mark.parametrize("text, want", [
-    ("Some words.\nLicensed under the Apache License, Version 2.0.", ["Apache-2.0"]),
-    ("Released under the MIT License.\nReleased under the MIT License.", ["MIT"]),
-    ("x. This work is licensed under the GNU General Public License, version 3. y", ["GPL-3.0-only"]),
-    ("Licensed under CC BY-NC 4.0.\nReleased under the MIT License.", ["MIT", "CC-BY-NC-4.0"]),
-    ("This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe free software foundation; either version 3 of the License, or\n(at your option) any later version.", ["GPL-3.0-or-later"]),
-    ("This program is free software; nothing else.", []), ("licensed under", []), (None, []), ("", []), ("a " * 100_000, []),
-])
-def test_licenses(spark, text, want):
-    got = licenses.scan(spark.createDataFrame([(1, text)], SCHEMA)).first()
-    assert got.licenses == want
-
-
 def test_licenses_columns(spark):
     assert licenses.scan(empty(spark)).count() == 0
     with pytest.raises(ValueError):
