@@ -292,10 +292,34 @@ def test_langid_held_out(spark, tongues):
     assert kept.where("lang is not null").count() == 200 and kept.where("doc_id = 3 and lang is null").count() == 0
 
 
-def test_code_lengths_are_exact():
-    """The flattened tables give what the recursive definition gives."""
+def test_langid_learns_every_language(spark, tongues, monkeypatch):
+    """A language of a few huge texts isn't drawn empty, and many languages' trees are kept as what they have seen."""
+    monkeypatch.setattr(langid, "SAMPLE_BYTES", 300)
+    huge = spark.createDataFrame([(10_000 + i, "wok zim " * 5000, "dd") for i in range(4)], SCHEMA + ", lang string")
+    docs = tongues.unionByName(huge)
+    assert langid.learn(docs).languages == ["aa", "bb", "cc", "dd"]
+    monkeypatch.undo()
+    read = lambda: sorted((r.doc_id, r.lang_pred, round(r.score, 6), round(r.bits_per_byte, 3)) for r in langid.predict(docs, langid.learn(docs), ["doc_id"]).collect())
+    want = read()
+    monkeypatch.setattr(langid, "TABLE_BYTES", 0)
+    assert isinstance(langid.learn(docs), langid.Trees) and read() == want
+
+
+def test_unlearned_languages_are_foreign(spark, tongues):
+    rng = random.Random(6)
+    other = spark.createDataFrame([(i, " ".join("".join(rng.choice("pqxwzgjhd") for _ in range(6)) for _ in range(40)), "ee") for i in range(20_000, 20_020)], SCHEMA + ", lang string")
+    kept = langid.drop_foreign(tongues.unionByName(other.withColumn("lang", F.lit(None).cast("string"))))
+    assert kept.where("doc_id >= 20000").count() == 0 and kept.count() == tongues.count()
+
+
+@pytest.mark.parametrize("most", [64 << 20, 0])
+@pytest.mark.parametrize("piece", [1 << 20, 4])
+def test_code_lengths_are_exact(monkeypatch, most, piece):
+    """The table, and the trees, give what the recursive definition gives, in pieces or not."""
     import pyarrow as pa
 
+    monkeypatch.setattr(langid, "TABLE_BYTES", most)
+    monkeypatch.setattr(langid, "PIECE", piece)
     sample = "abracadabra abrac"
     texts = pa.array([sample, "cab"], pa.large_string())
     key, n = langid._grams(texts)
