@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 #: Documents are handled in slices of about so many bytes, so that memory doesn't follow the batch.
 SLICE_BYTES = 1 << 20
+#: Rows that go to a Python worker at once.
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,6 +118,13 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
         at = to
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lets Arrow batches have BATCH_ROWS rows, unless the session's setting was changed: both sides hold a batch of texts at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def annotate(df: DataFrame, text: str, carry: list[str], fields: list[T.StructField], make: Callable[[], Callable]) -> DataFrame:
     """The `carry` columns and, computed from the text of each row, the new `fields`.
 
@@ -124,6 +133,7 @@ def annotate(df: DataFrame, text: str, carry: list[str], fields: list[T.StructFi
     """
     if len({*carry, *(f.name for f in fields)}) < len(carry) + len(fields):
         raise ValueError(f"columns clash: {carry} and {[f.name for f in fields]}")
+    small_batches(df.sparkSession)
     schema = T.StructType([*(f for name in carry for f in df.schema.fields if f.name == name), *fields])
     narrow = df.select(*dict.fromkeys([*carry, text]))
 
@@ -145,6 +155,7 @@ def annotate(df: DataFrame, text: str, carry: list[str], fields: list[T.StructFi
 
 def keep_rows(df: DataFrame, text: str, make: Callable[[], Callable]) -> DataFrame:
     """Rows, whole and with all their columns, whose text passes; `make()` gives a function from texts to booleans."""
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
