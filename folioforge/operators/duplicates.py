@@ -16,14 +16,14 @@ ONE_TASK, SAMPLED = 1_000_000, 2000
 def same_size_same_content(files: DataFrame, content: str = "content") -> DataFrame:
     """Members of every group of files with equal size and content, numbered by size, then by hash.
 
-    Only files that share their size with another are hashed. The content itself is never shuffled by group: sizes are
-    counted from size_bytes alone and the hash is taken before rows are grouped. Numbers are sums of offsets: of the
+    The content is never shuffled: each file is hashed where it is read, and only its hash goes on. Sizes are counted
+    from size_bytes alone. Numbers are sums of offsets: of the
     sizes before (distinct sizes are few, whatever the number of files), of the hash beginnings before, and of the place
     within those; so no task orders all files, and none a large group of copies.
     """
     sizes = files.where("size_bytes is not null").groupBy("size_bytes").agg(F.count("*").alias("_n")).where("_n > 1")
     shared = sizes.select("size_bytes", F.row_number().over(Window.orderBy("size_bytes")).alias("size_group_no"))
-    hashed = files.join(shared, "size_bytes").withColumn("content_sha1", F.sha1(F.col(content).cast("binary"))).where("content_sha1 is not null").drop(content)
+    hashed = files.withColumn("content_sha1", F.sha1(F.col(content).cast("binary"))).drop(content).where("content_sha1 is not null").join(shared, "size_bytes")
     groups = hashed.groupBy("size_bytes", "content_sha1").agg(F.count("*").alias("group_size")).where("group_size > 1")
     rows = hashed.join(numbered(groups), ["size_bytes", "content_sha1"])
     return placed(rows, groups).withColumn("file_name", file_name(F.col("txt_abs"))).select(*COLUMNS)
