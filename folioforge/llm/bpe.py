@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 from array import array as pack
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .shared import annotate
+from .shared import annotate, kept
 
 #: The byte-level split, with Unicode's white space written out.
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -160,10 +159,9 @@ class Automaton:
         return b"".join([labels[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-@lru_cache(1)
 def automaton(path: str) -> Automaton:
-    """One for each Python worker."""
-    return Automaton(path)
+    """One for each Python worker, until it gets other work."""
+    return kept(("bpe", path), lambda: Automaton(path))
 
 
 def encode(docs: DataFrame, vocabulary: str, carry: list[str], text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -125,6 +126,39 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+_kept: dict[object, object] = {}
+_asked = False
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What `make` gives, kept in this Python worker while its tasks ask for it; there is one such thing at a time."""
+    global _asked
+    _asked = True
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def started(make: Callable[[], Callable]) -> Callable:
+    """make()'s function; what earlier tasks of this worker kept goes unless it is asked for again."""
+    global _asked
+    _asked = False
+    work = make()
+    if not _asked:
+        _kept.clear()
+    give_back()
+    return work
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: workers live on, and other stages' tasks need it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def annotate(df: DataFrame, text: str, carry: list[str], fields: list[T.StructField], make: Callable[[], Callable]) -> DataFrame:
     """The `carry` columns and, computed from the text of each row, the new `fields`.
 
@@ -138,7 +172,7 @@ def annotate(df: DataFrame, text: str, carry: list[str], fields: list[T.StructFi
     narrow = df.select(*dict.fromkeys([*carry, text]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
+        work = started(make)
         target = None
         for batch in batches:
             for part, texts in slices(batch, text):
@@ -158,7 +192,7 @@ def keep_rows(df: DataFrame, text: str, make: Callable[[], Callable]) -> DataFra
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = make()
+        work = started(make)
         for batch in batches:
             for part, texts in slices(batch, text):
                 yield part.filter(pa.array(np.asarray(work(texts), bool)))
