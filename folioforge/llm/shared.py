@@ -17,8 +17,8 @@ from pyspark.sql import types as T
 
 #: Documents are handled in slices of about so many bytes, so that memory doesn't follow the batch.
 SLICE_BYTES = 1 << 20
-#: Rows that go to a Python worker at once.
-BATCH_ROWS = 1000
+#: Rows and bytes that go to a Python worker at once (a longer row goes alone).
+BATCH_ROWS, BATCH_BYTES = 1000, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -120,10 +120,15 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Lets Arrow batches have BATCH_ROWS rows, unless the session's setting was changed: both sides hold a batch of texts at once."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(name) == "10000":
-        spark.conf.set(name, str(BATCH_ROWS))
+    """Lets Arrow batches have BATCH_ROWS rows and about BATCH_BYTES bytes, unless the session's settings were changed.
+
+    Both sides hold a batch of texts at once, and the JVM keeps the memory of its largest batches, in a pool for each
+    of twice as many threads as there are cores.
+    """
+    for name, default, value in (("maxRecordsPerBatch", "10000", BATCH_ROWS), ("maxBytesPerBatch", "67108864b", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if spark.conf.get(name, None) == default:
+            spark.conf.set(name, str(value))
 
 
 _kept: dict[object, object] = {}
