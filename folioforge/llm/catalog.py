@@ -1,11 +1,11 @@
-"""The queries op1_ to op10_ over the standard tables, and the SQL that checks those that SQL can express."""
+"""The queries op1_ to op12_ over the standard tables, and the SQL that checks those that SQL can express."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, html, langid, licenses, multiset, oracles, packing, simhash, toxicity, urls, winnow
+from . import bpe, dialogues, html, langid, licenses, multiset, oracles, packing, quality, simhash, toxicity, urls, winnow
 from .shared import held_out, table
 
 
@@ -83,5 +83,29 @@ def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), winnow.is_contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_licenses, op3_multiset, op4_urls, op5_langid, op6_bpe, op7_html, op8_toxicity, op9_packing, op10_winnow)}
-ORACLES = {"op2_licenses": oracles.licensed(), "op4_urls": oracles.site_verdicts(SITE_RULES), "op10_winnow": oracles.contaminated()}
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with the faults that op11 mends, put in by a hash of id and turn."""
+    some = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = rows.select("conv_id", "turn", some("role").alias("role"), some("text").alias("text"), (F.crc32(F.concat_ws(":", some("conv_id"), some("turn")).cast("binary")) % 20).alias("d"))
+    text = F.when(F.col("d") == 1, "").when(F.col("d") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("d") == 4, "user").otherwise(F.col("role"))
+    return rows.where("d != 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(F.array_repeat(F.lit(0), F.when(F.col("d") == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
+def op11_dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = dialogues.repair(damaged(rows))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    all_ids = rows.select(F.col("conv_id").alias("conv")).distinct()
+    made = dialogues.same(dialogues.same(all_ids, found.audits, ["conv"], "left"), dialogues.digests(found.turns()), ["conv"], "left")
+    return made.select(F.col("conv").alias("conv_id"), *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers], F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels")), ["doc_id"])
+    return found.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_licenses, op3_multiset, op4_urls, op5_langid, op6_bpe, op7_html, op8_toxicity, op9_packing, op10_winnow, op11_dialogues, op12_quality)}
+ORACLES = {"op2_licenses": oracles.licensed(), "op4_urls": oracles.site_verdicts(SITE_RULES), "op10_winnow": oracles.contaminated(), "op11_dialogues": oracles.repaired()}

@@ -193,3 +193,35 @@ joined AS (SELECT doc_id, ids, array_to_string(list_transform(ids, lambda x: '<'
 chained AS (SELECT doc_id, ids, string_split(rtrim(split_part(list_reduce([{steps}], lambda acc, r: {step}, j0 || '#'), '#', 2), ','), ',') AS f FROM joined),
 named AS (SELECT doc_id, ids, array_to_string(list_filter(f, lambda x, i: list_position(f, x) = i), ',') AS licenses FROM chained)
 SELECT d.doc_id, coalesce(len(ids), 0) AS n_sentences, coalesce(array_to_string(ids, ','), '') AS sentence_ids, coalesce(licenses, '') AS licenses FROM documents d LEFT JOIN named n ON d.doc_id = n.doc_id"""
+
+
+def repaired() -> str:
+    """Conversations damaged, judged and repaired: a recursion over the turns keeps the best audit that ends in each state."""
+    bits = "list_reduce([xor(c, b) & 255] || [0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)"
+    crc = f"xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(key) + 1), lambda i: ord(key[i])::BIGINT), lambda c, b: xor(c >> 8, {bits})), 4294967295)"
+    return rf"""WITH RECURSIVE base AS (SELECT conv_id, coalesce(conv_id::VARCHAR, ' ') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+dealt AS (SELECT *, {crc} % 20 AS d FROM base),
+faulty AS (SELECT k, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role, CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE d WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM dealt WHERE d <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i, row_number() OVER (PARTITION BY k, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM faulty),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'fine' END AS fault,
+  lag(left(role, 1)) OVER (PARTITION BY k ORDER BY i) || left(role, 1) AS pair FROM placed),
+counted AS (SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM judged GROUP BY k),
+steps(s, letter, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+inserts(s, t, c, e) AS (VALUES (0, 0, 0, ''), (0, 2, 5, 'I'), (0, 3, 10, 'II'), (1, 1, 0, ''), (1, 2, 5, 'I'), (1, 3, 10, 'II'), (2, 2, 0, ''), (2, 3, 5, 'I'), (3, 3, 0, ''), (3, 2, 5, 'I')),
+kinds(initial, fault) AS (SELECT i.x, f.x FROM (VALUES ('s'), ('u'), ('a'), ('o')) AS i(x), (VALUES ('fine'), ('truncated'), ('gone')) AS f(x)),
+moves AS (SELECT n.s, k.initial, k.fault, n.t, n.c + 2 AS c, n.e || 'D' AS e FROM inserts n, kinds k
+  UNION ALL SELECT n.s, k.initial, k.fault, p.t, n.c + CASE k.fault WHEN 'truncated' THEN 5 ELSE 0 END, n.e || 'K' FROM inserts n JOIN steps p ON p.s = n.t JOIN kinds k ON k.initial = p.letter AND k.fault <> 'gone'
+  UNION ALL SELECT n.s, k.initial, k.fault, p.t, n.c + 1 + CASE k.fault WHEN 'truncated' THEN 5 ELSE 0 END, n.e || 'R' FROM inserts n JOIN steps p ON p.s = n.t AND p.letter <> 's' JOIN kinds k ON k.fault <> 'gone'),
+signs AS (SELECT k, i, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS initial, CASE WHEN fault IN ('blank', 'duplicate') THEN 'gone' ELSE fault END AS fault FROM judged),
+best(k, i, state, way) AS (SELECT k, 0::BIGINT, 0, {{'c': 0, 'a': ''}} FROM counted
+  UNION ALL SELECT b.k, b.i + 1, m.t, min({{'c': b.way.c + m.c, 'a': b.way.a || m.e}}) FROM best b JOIN signs y ON y.k = b.k AND y.i = b.i + 1 JOIN moves m ON m.s = b.state AND m.initial = y.initial AND m.fault = y.fault GROUP BY b.k, b.i + 1, m.t),
+closed AS (SELECT c.k, min({{'c': b.way.c + n.c, 'a': b.way.a || n.e}}) AS way FROM counted c JOIN best b ON b.k = c.k AND b.i = c.n JOIN inserts n ON n.s = b.state AND n.t IN (0, 3) GROUP BY c.k),
+edits AS (SELECT k, unnest(string_split(way.a, '')) AS e, generate_subscripts(string_split(way.a, ''), 1) AS p FROM closed),
+run AS (SELECT k, e, p, sum((e <> 'I')::INT) OVER (PARTITION BY k ORDER BY p) AS i, sum((e <> 'D')::INT) OVER (PARTITION BY k ORDER BY p) AS o FROM edits),
+kept AS (SELECT r.*, y.role, CASE WHEN r.e = 'I' THEN '' ELSE y.text END AS text FROM run r LEFT JOIN judged y ON y.k = r.k AND y.i = r.i WHERE r.e <> 'D'),
+opening AS (SELECT k, bool_or(o = 1 AND e = 'K' AND left(role, 1) = 's')::INT AS systems FROM kept GROUP BY k),
+lines AS (SELECT kept.k, p, CASE WHEN e = 'K' THEN role WHEN (o - systems) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text AS line FROM kept JOIN opening USING (k)),
+hashed AS (SELECT k, sha256(string_agg(line, chr(10) ORDER BY p)) AS h FROM lines GROUP BY k),
+ids AS (SELECT DISTINCT conv_id, k FROM base)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(way.c, 0)::BIGINT AS cost, coalesce(way.a, '') AS audit, coalesce(h, sha256('')) AS repaired_sha256
+FROM ids LEFT JOIN counted USING (k) LEFT JOIN closed USING (k) LEFT JOIN hashed USING (k)"""

@@ -16,7 +16,7 @@ def test_query(spark, name):
     assert ours
     if name in catalog.ORACLES:
         c = duckdb.connect()
-        for t in ("documents", "pages", "benchmark"):
+        for t in ("documents", "pages", "benchmark", "conversations"):
             c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DIR}/{t}.parquet'")
         theirs = c.execute("SELECT " + ", ".join(f'"{x}"' for x in columns) + f" FROM ({catalog.ORACLES[name]})").fetchall()
         assert sorted(ours, key=str) == sorted(theirs, key=str)
