@@ -8,9 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import CleaningConfig
+from ..functions.arrays import heads, looked_up
 from ..functions.charclass import DIGIT, SPACE, count, let, strip, unmoved, words
+from .quality import expanded
 
 #: Technical tokens that keep a line.
 TECH_TOKENS = ["ph", "fe", "cu", "zn", "pb", "au", "ag", "ni", "co", "al", "mg", "ca", "na", "k", "мм", "см", "м", "км", "г", "кг", "т", "с", "мс", "а", "в", "кв", "квт", "мпа", "па", "бар", "%", "№", "гост", "ост", "ту", "рис", "рис.", "табл", "табл."]
@@ -100,18 +103,52 @@ def clean_tab(text: Column, config: CleaningConfig = CleaningConfig()) -> Column
 
 
 def aligned(raw: Column, entries: Column) -> Column:
-    """Of each raw line (text, entry): the entry by place if there are as many, else by line number; null if none."""
+    """Of each raw line (text, entry): the entry by place if there are as many, else by line number (of equal numbers the last), else by place among the lines that aren't blank, if there are as many of those; null if none."""
 
     def made(both: Column) -> Column:
-        rows, found, numbers, spots = both["raw"], both["entries"], both["numbers"], both["spots"]
-        same, by_number, by_place = F.size(found) == F.size(rows), F.size(numbers) > 0, F.size(found) == F.size(spots)
-        entry = lambda i: F.when(same, F.get(found, i)).when(by_number, F.get(found, F.array_position(numbers, (i + 1).cast("int")).cast("int") - 1)).when(by_place, F.get(found, F.array_position(spots, i).cast("int") - 1))
-        return F.transform(rows, lambda s, i: F.struct(s.alias("raw"), entry(i).alias("entry")))
+        rows, found = both["raw"], both["entries"]
+        numbered = F.transform(found, lambda e, i: F.struct(e["line_no"].alias("key"), (-i).alias("value")))
+        last = let(F.array_sort(F.filter(numbered, lambda x: x["key"] >= 1)), lambda s: heads(s))
+        spots = F.filter(F.transform(rows, lambda s, i: F.when(strip(s) != "", i)), lambda i: i.isNotNull())
+        by_number = F.transform(looked_up(F.transform(rows, lambda _, i: i + 1), last), lambda v: -v)
+        by_place = looked_up(F.transform(rows, lambda _, i: i), F.transform(spots, lambda at, i: F.struct(at.alias("key"), i.alias("value"))))
+        place = F.when(F.size(found) == F.size(rows), F.transform(rows, lambda _, i: i)).when(F.exists(found, lambda e: e["line_no"] >= 1), by_number).when(F.size(found) == F.size(spots), by_place)
+        return let(place, lambda p: F.transform(rows, lambda s, i: F.struct(s.alias("raw"), F.get(found, F.get(p, i)).alias("entry"))))
 
     found = F.coalesce(entries, F.array().cast(entries_type()))
-    numbers = F.when(F.exists(found, lambda e: e["line_no"] >= 1), F.transform(found, lambda e: e["line_no"])).otherwise(F.array().cast("array<int>"))
-    spots = F.filter(F.transform(raw, lambda s, i: F.when(strip(s) != "", i)), lambda i: i.isNotNull())
-    return let(F.struct(raw.alias("raw"), found.alias("entries"), numbers.alias("numbers"), spots.alias("spots")), made)
+    return let(F.struct(raw.alias("raw"), found.alias("entries")), made)
+
+
+#: Columns that may hold line entries, in the order in which they are asked, and other names of their fields.
+ENTRY_COLUMNS = ("line_stats", "lines_stats", "text_lines_stats", "per_line_stats", "line_metrics_list", "lines", "analyzed_lines")
+OTHER_NAMES = {"token_count_simple": "token_count"}
+
+
+def _entry(field, kinds: dict[str, str]):
+    return lambda x: F.struct(*[field(x, f) for f in kinds])
+
+
+def line_entries_of(analysed: DataFrame) -> Column:
+    """The line entries of each row: compact ones (`lines` with lines_schema) first, else those of the first entry column that has any.
+
+    Columns may have some of an entry's fields only; the others are null, as the cleaner's own measures stand in for them.
+    """
+    from ..schemas import LINE
+
+    kinds = {k: v for k, v in (x.split(" ") for x in LINE.split(", "))}
+    types = {f.name: f.dataType for f in analysed.schema.fields}
+    found = []
+    if "lines_schema" in types and isinstance(types.get("lines"), T.ArrayType) and isinstance(types["lines"].elementType, T.ArrayType):
+        found.append(F.when(F.size("lines_schema") > 0, expanded(F.col("lines"), F.col("lines_schema"))))
+    for name in ENTRY_COLUMNS:
+        inner = types[name].elementType if isinstance(types.get(name), T.ArrayType) else None
+        if not isinstance(inner, T.StructType):
+            continue
+        named = {f: [k for k in (f, OTHER_NAMES.get(f)) if k in inner.names] for f in kinds}
+        field = lambda x, f, named=named: (F.coalesce(*[x[k].cast(kinds[f]) for k in named[f]]) if named[f] else F.lit(None).cast(kinds[f])).alias(f)
+        found.append(F.transform(F.filter(name, lambda x: x.isNotNull()), _entry(field, kinds)))
+    full = [F.when(F.size(x) > 0, x) for x in found]
+    return F.coalesce(*full) if full else F.lit(None).cast(entries_type())
 
 
 def entries_type() -> str:
@@ -174,13 +211,12 @@ def decisions(text: Column, entries: Column, quality: Column) -> Column:
     """
 
     def made(all_lines: Column) -> Column:
-        spots = F.filter(F.transform(all_lines, lambda x, i: F.struct(x["low"].alias("low"), i.alias("i"), x["remembered"].alias("remembered"))), lambda x: x["remembered"])
-        ordered = F.array_sort(spots)
-        firsts = let(ordered, lambda o: F.map_from_entries(F.transform(F.filter(o, lambda x, i: (i == 0) | (F.get(o, i - 1)["low"] != x["low"])), lambda x: F.struct(x["low"].alias("key"), x["i"].alias("value")))))
+        remembered = F.filter(F.transform(all_lines, lambda x, i: F.struct(x["low"].alias("key"), i.alias("value"), x["remembered"].alias("remembered"))), lambda x: x["remembered"])
+        firsts = looked_up(F.transform(all_lines, lambda x: x["low"]), let(F.array_sort(remembered), lambda s: heads(s)))
 
         def decide(first: Column) -> Column:
             def one(x: Column, i: Column) -> Column:
-                seen = F.coalesce(F.try_element_at(first, x["low"]) < i, F.lit(False))
+                seen = F.coalesce(F.get(first, i) < i, F.lit(False))
                 twice = ~x["tech"] & (x["text_len"] <= SHORT_LINE) & (x["dup"] | seen)
                 reason = F.coalesce(x["early"], F.when(twice, "duplicate_short_line"), x["late"])
                 action = F.when(reason.isNotNull(), "drop").when(~x["tech"] & x["weak"], "normalize").otherwise("keep")
@@ -203,7 +239,7 @@ def clean_all(analysed: DataFrame, config: CleaningConfig = CleaningConfig()) ->
     quality = F.coalesce(F.nullif("quality_class", F.lit("")), F.lit("ok"))
     text = F.coalesce("text", F.lit(""))
     rows = analysed.withColumn("is_tab", is_tab(F.col("txt_abs"), F.col("txt_rel")))
-    rows = rows.withColumn("tab", F.when(F.col("is_tab"), clean_tab(text, config))).withColumn("decisions", F.when(~F.col("is_tab"), decisions(text, F.col("lines"), quality)))
+    rows = rows.withColumn("tab", F.when(F.col("is_tab"), clean_tab(text, config))).withColumn("decisions", F.when(~F.col("is_tab"), decisions(text, line_entries_of(analysed), quality)))
     kept = F.array_join(F.transform(F.filter("decisions", lambda d: d["action"] != "drop"), lambda d: d["line"]), "\n")
     rows = rows.withColumn("clean_text", F.coalesce("tab.text", kept))
     mode = F.when(F.col("is_tab"), "tab").when(quality == "ok", "ok").when(quality == "suspicious", "suspicious").otherwise("junk_candidate")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import ManifestConfig
+from ..functions.arrays import running_before
 from ..functions.charclass import NOT_AFTER, NOT_BEFORE, SPACE, WORD, let, squeeze, strip
 
 S = f"[{SPACE}]"
@@ -53,12 +54,12 @@ def plausible_bbk(s: Column) -> Column:
 
 def places(text: Column, label: str, width: int) -> Column:
     """Positions (from 0) of a label of fixed width, from the lengths of the pieces between its occurrences."""
-    pieces = F.split(text, label, -1)
-    ends = F.aggregate(
-        F.transform(F.slice(pieces, 1, F.size(pieces) - 1), F.length), F.struct(F.array().cast("array<int>").alias("found"), F.lit(0).alias("at")),
-        lambda acc, n: F.struct(F.concat(acc["found"], F.array(acc["at"] + n)).alias("found"), (acc["at"] + n + width).alias("at")), lambda acc: acc["found"],
-    )
-    return F.when(F.size(pieces) > 1, ends).otherwise(F.array().cast("array<int>"))
+
+    def found(pieces: Column) -> Column:
+        before = running_before(F.transform(pieces, F.length))
+        return F.transform(F.slice(before, 2, F.size(before)), lambda at, i: (at + i * width).cast("int"))
+
+    return F.when(F.contains(text, F.lit(label)) if label.isalpha() else text.rlike(label), let(F.split(text, label, -1), found)).otherwise(F.array().cast("array<int>"))
 
 
 HIT = "array<struct<value:string,context:string,pos_from_start:int,pos_from_end:int,source_tag:string>>"
@@ -129,10 +130,7 @@ def text_year(text: Column, head_chars: int) -> Column:
     head = F.substring(text, 1, head_chars)
 
     def best(pieces: Column) -> Column:
-        spots = F.aggregate(
-            F.transform(pieces, F.length), F.struct(F.array().cast("array<int>").alias("found"), F.lit(0).alias("at")),
-            lambda acc, n: F.struct(F.concat(acc["found"], F.array(acc["at"])).alias("found"), (acc["at"] + n).alias("at")), lambda acc: acc["found"],
-        )
+        spots = F.transform(running_before(F.transform(pieces, F.length)), lambda n: n.cast("int"))
 
         def scored(at: Column) -> Column:
             cut = lambda a, b: F.substr(head, F.greatest(a, F.lit(0)) + 1, b - F.greatest(a, F.lit(0)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import QualityConfig
+from ..functions.arrays import looked_up
 from ..functions.charclass import DIGIT, LINE_BREAK, SPACE, WORD, count, count_outside, let, ratio, strip
 from ..schemas import LINE_FIELDS, METRICS, names
 
@@ -34,17 +35,21 @@ def lines(text: Column) -> Column:
 
 
 def repeated(items: Column) -> Column:
-    """Stripped lines that occur more than once, by sorting."""
-    return let(F.array_sort(F.transform(items, lambda x: x["stripped"])), lambda s: F.array_distinct(F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1)))))
+    """For each line whether its stripped text occurs more than once: a look into the sorted texts that do."""
+    texts = F.transform(items, lambda x: x["stripped"])
+    twice = let(F.array_sort(texts), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1)) & ((i == 1) | (x != F.get(s, i - 2)))))
+    return F.transform(looked_up(texts, F.transform(twice, lambda x: F.struct(x.alias("key"), F.lit(True).alias("value")))), lambda v: v.isNotNull())
 
 
 def line_struct(x: Column, twice: Column) -> Column:
+    """The entry of a line; `twice`: whether the page has it more than once."""
+
     def measured(c: Column) -> Column:
         first = F.struct(
             x["line_no"].cast("int").alias("line_no"), x["text"].alias("text"), c["n"].alias("text_len"), F.length(x["stripped"]).alias("text_len_stripped"), c["tokens"].alias("token_count_simple"),
             *[ratio(c[k], c["n"]).alias(f"{name}_ratio") for name, k in (("letter", "letters"), ("digit", "digits"), ("punct", "puncts"), ("space", "spaces"))],
             ratio(c["ones"], c["tokens"]).alias("single_char_token_ratio"), ratio(c["chars"], c["tokens"]).alias("avg_token_len"),
-            (c["letters"] > 0).alias("has_letter"), (c["digits"] > 0).alias("has_digit"), F.array_contains(twice, x["stripped"]).alias("is_duplicate_in_chunk"),
+            (c["letters"] > 0).alias("has_letter"), (c["digits"] > 0).alias("has_digit"), twice.alias("is_duplicate_in_chunk"),
         )
         return let(first, graded)
 
@@ -59,7 +64,7 @@ def line_struct(x: Column, twice: Column) -> Column:
 
 def line_entries(text: Column) -> Column:
     """Entries of all lines that aren't blank, with the fields of schemas.LINE."""
-    return let(lines(text), lambda items: let(repeated(items), lambda twice: F.transform(items, lambda x: line_struct(x, twice))))
+    return let(lines(text), lambda items: let(repeated(items), lambda twice: F.transform(items, lambda x, i: line_struct(x, F.get(twice, i)))))
 
 
 def page_metrics(c: Column, items: Column) -> dict[str, Column]:
@@ -109,19 +114,24 @@ def compact(analysed: DataFrame) -> DataFrame:
     return analysed.withColumn("lines", F.transform("lines", row)).withColumn("lines_schema", F.array(*map(F.lit, LINE_FIELDS)))
 
 
-def expand(compacted: DataFrame) -> DataFrame:
-    """The reverse of compact; an unknown class number becomes `unknown`."""
+def expanded(lines: Column, schema: Column) -> Column:
+    """Compact line entries as structs again; an unknown class number becomes `unknown`."""
     from ..schemas import LINE
 
     kinds = dict(x.split(" ") for x in LINE.split(", "))
     name = F.create_map(*[F.lit(x) for k, v in LINE_CLASSES.items() for x in (str(v), k)])
 
     def entry(x: Column) -> Column:
-        at = lambda f: F.get(x, F.array_position("lines_schema", f).cast("int") - 1)
+        at = lambda f: F.get(x, F.array_position(schema, f).cast("int") - 1)
         made = [F.coalesce(F.try_element_at(name, at(f)), F.lit("unknown")) if f == "line_class" else at(f).cast("int").cast("boolean") if kinds[f] == "boolean" else at(f).cast(kinds[f]) for f in LINE_FIELDS]
         return F.struct(*[m.alias(f) for m, f in zip(made, LINE_FIELDS, strict=True)])
 
-    return compacted.withColumn("lines", F.transform("lines", entry)).drop("lines_schema")
+    return F.transform(lines, entry)
+
+
+def expand(compacted: DataFrame) -> DataFrame:
+    """The reverse of compact."""
+    return compacted.withColumn("lines", expanded(F.col("lines"), F.col("lines_schema"))).drop("lines_schema")
 
 
 def quality_stats(analysed: DataFrame) -> DataFrame:
