@@ -149,6 +149,13 @@ _M = (DOCS, MUTATED, lines("mutated"), metrics("mutated"))
 _C = (*_M, tab_clean("mutated"), decided("mutated"))
 _BREAKS = "regexp_replace(text, '\\r\\n?', chr(10), 'g')"
 _NORMAL = strip(rf"regexp_replace(regexp_replace(regexp_replace({_BREAKS}, '([{WORD}])-\n([{WORD}])', '\1\2', 'g'), '[ \t]+\n', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+def text_of_page(column: str) -> str:
+    """A text in normal form, as pages are."""
+    return _NORMAL.replace("(text,", f"({column},")
+
+
 _PAGES = f"normal AS (SELECT book, {_NORMAL} AS text FROM books), pages AS (SELECT book, {strip('s')} AS text, page_no FROM (SELECT book, unnest(string_split(text, chr(12))) AS s, generate_subscripts(string_split(text, chr(12)), 1) AS page_no FROM normal WHERE text <> ''))"
 _BUCKET = "CASE WHEN length(text) BETWEEN 20 AND 49 THEN '20-49' WHEN length(text) BETWEEN 50 AND 99 THEN '50-99' WHEN length(text) BETWEEN 100 AND 499 THEN '100-499' WHEN length(text) BETWEEN 500 AND 999 THEN '500-999' ELSE '1000+' END"
 _SIZES = [(0, 0, "0 B"), (1, 255, "1-255 B"), (256, 1023, "256-1023 B"), (1024, 2047, "1-2 KB"), (2048, 4095, "2-4 KB"), (4096, 8191, "4-8 KB"), (8192, 16383, "8-16 KB"), (16384, 32767, "16-32 KB"), (32768, 65535, "32-64 KB"), (65536, 131071, "64-128 KB"), (131072, 196607, "128-192 KB"), (196608, 262143, "192-256 KB"), (262144, 524287, "256-512 KB"), (524288, 1048575, "512 KB-1 MB"), (1048576, 2097151, "1-2 MB"), (2097152, 4194303, "2-4 MB"), (4194304, 8388607, "4-8 MB"), (8388608, None, "> 8 MB")]
