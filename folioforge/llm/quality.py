@@ -179,14 +179,17 @@ def fit(bags: list[np.ndarray], y: np.ndarray, seed: int = 7) -> dict[str, np.nd
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "quality") -> Model:
     """The model of the labelled documents that aren't held out."""
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).where(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("id"))).groupBy("id").agg(F.max("y").alias("y"))
-    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(known, "id")
-    size = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes"), F.avg("y").alias("mean"), F.count_distinct("y").alias("kinds")).first()
+    # what is counted over all rows is ids and lengths; texts move only for the sample
+    sizes = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).alias("bytes")).join(known, "id")
+    size = sizes.agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.avg("y").alias("mean"), F.count_distinct("y").alias("kinds")).first()
     if not size["n"]:
         return Model()
     if size["kinds"] < 2:
         return Model(float(min(1, max(0, size["mean"]))))
     part = min(1.0, SAMPLE_ROWS / size["n"], SAMPLE_BYTES / max(1, size["bytes"]))
-    drawn = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(part * (1 << 30))).select("id", "text", "y").toArrow().sort_by("id")
+    chosen = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(part * (1 << 30))
+    rows = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).where(chosen)
+    drawn = rows.join(known.where(chosen), "id").select("id", "text", "y").toArrow().sort_by("id")
     y = np.array([min(1, max(0, x)) for x in drawn.column("y").to_pylist()], float)
     if len(set(y)) < 2:
         return Model(float(min(1, max(0, size["mean"]))))
