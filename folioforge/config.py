@@ -15,6 +15,7 @@ class ManifestConfig:
     min_search_tokens: int = 20
     report_text_chars: int = 4000
     small_file_max_bytes: int = 65536
+    tokens_given: bool = False  # token counts are in a column token_count_e5
     text_by_stem: bool = False  # read codes and year from the first file with the same stem instead of the file itself
 
 

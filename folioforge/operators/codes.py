@@ -17,10 +17,10 @@ S = f"[{SPACE}]"
 #: Labels, what follows them, and what ends the place where a code may stand.
 UDC_LABEL, UDC_LABEL_MARKED, BBK_LABEL = "УДК", "УДК[:.\\-]", "ББК"
 UDC_BLOCK = rf"(?s)^{S}*([0-9][0-9{SPACE}./:;,+()=\[\]\-]{{1,120}})"
-_CAP, _LOW = "[\u0410-\u042f\u0401A-Z]", "[\u0430-\u044f\u0451a-z]"
+_CAP, _LOW = "[А-ЯЁA-Z]", "[а-яёa-z]"
 BBK_STOP = rf"(?iu){NOT_AFTER}УДК{NOT_BEFORE}|{NOT_AFTER}ISBN{NOT_BEFORE}|{NOT_AFTER}Авторы?{NOT_BEFORE}|{NOT_AFTER}Рецензент(?:ы)?{NOT_BEFORE}|{NOT_AFTER}Редактор{NOT_BEFORE}|\n{S}*{_CAP}[^\n]{{5,}}|[\u2014\u2013]{S}*{_CAP}{_LOW}"
 BBK_SENTENCE = rf"\.{S}+{_CAP}{_LOW}{{2,}}"
-_ALPHA = "[\u0410-\u042f\u0401\u0430-\u044f\u0451A-Za-z]"
+_ALPHA = "[А-ЯЁа-яёA-Za-z]"
 BBK_VALUE = rf"(?iu)\p{{Nd}}{{1,3}}(?:\.\p{{Nd}}{{1,3}}){{0,3}}(?:{_ALPHA}{{1,3}}\p{{Nd}}{{0,3}})?(?:-\p{{Nd}}{{1,3}})?|\p{{Nd}}{{1,3}}{_ALPHA}{{1,3}}\p{{Nd}}{{0,3}}(?:\.\p{{Nd}}{{1,3}}){{0,2}}(?:-\p{{Nd}}{{1,3}})?"
 UDC_WINDOW, BBK_WINDOW = 140, 160
 YEAR = r"(?<!\p{Nd})(?:18[6-9]\p{Nd}|19\p{Nd}\p{Nd}|20[0-1]\p{Nd}|202[0-5])(?!\p{Nd})"
@@ -40,7 +40,7 @@ def udc_form(s: Column) -> Column:
 
 
 def bbk_form(s: Column) -> Column:
-    return F.regexp_replace(s, r"[^0-9A-Za-z\u0410-\u042f\u0430-\u044f\u0401\u0451./:+()\[\]\-]", "")
+    return F.regexp_replace(s, r"[^0-9A-Za-zА-Яа-яЁё./:+()\[\]\-]", "")
 
 
 def plausible_udc(s: Column) -> Column:

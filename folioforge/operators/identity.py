@@ -65,11 +65,14 @@ def stem_join(files: DataFrame, content: str) -> DataFrame:
     return files.drop(content).join(first, stem(F.col("txt_rel")) == F.col("_stem"), "left").withColumnRenamed("_content", content).drop("_stem")
 
 
+def checks() -> dict[str, Column]:
+    """Whether a row's id, absolute and relative path are what the relative path says."""
+    return {"doc_id_ok": F.col("doc_id") == doc_id(F.col("txt_rel")), "txt_abs_ok": F.endswith(F.translate("txt_abs", "\\", "/"), F.col("txt_rel")), "txt_rel_ok": norm(F.col("txt_rel")) == F.col("txt_rel")}
+
+
 def consistency(rows: DataFrame) -> DataFrame:
-    """The rows whose id, absolute or relative path isn't what the relative path says (none, by construction)."""
-    want = doc_id(F.col("txt_rel"))
-    checks = {"doc_id_ok": F.col("doc_id") == want, "txt_abs_ok": F.endswith(F.translate("txt_abs", "\\", "/"), F.col("txt_rel")), "txt_rel_ok": norm(F.col("txt_rel")) == F.col("txt_rel")}
-    return rows.withColumns(checks).where("not (doc_id_ok and txt_abs_ok and txt_rel_ok)")
+    """The rows that fail one of the checks (none, by construction)."""
+    return rows.withColumns(checks()).where("not (doc_id_ok and txt_abs_ok and txt_rel_ok)")
 
 
 def numbered(df: DataFrame, *order: Column) -> DataFrame:

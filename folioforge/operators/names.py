@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from ..functions.charclass import NOT_AFTER, NOT_BEFORE, SPACE, strip
 
 S = f"[{SPACE}]"
-CAPITAL = "[A-Z\u0410-\u042f\u0401]"
-LETTER = "[A-Za-z\u0410-\u042f\u0430-\u044f\u0401\u0451]"
+#: Capitals, letters, and what is cut off the edges of names.
+CAPITAL = "[A-ZА-ЯЁ]"
+LETTER = "[A-Za-zА-Яа-яЁё]"
 EDGE = " ,;:-"
 #: Patterns of years, of unknown years and of empty parentheses.
 YEAR = r"(?:1[5-9]\p{Nd}{2}|20[0-2]\p{Nd}|2030)"
@@ -33,7 +34,6 @@ TAIL = rf"(?siu)^(.*?(?:и{S}+др\.?|\({S}*ред{S}*\)))(?:{S}+|[-\u2013\u2014
 INITIAL = rf"{CAPITAL}\."
 #: The last pair of initials that scanning from the left finds: pairs don't overlap, so a third initial isn't in one.
 LAST_PAIR = rf"(?s)^((?:(?:(?!(?:{INITIAL}){{2}}).)*+(?:{INITIAL}){{2}})+)(.*)$"
-NESTING = 8
 
 
 def tidy(s: Column) -> Column:
@@ -45,9 +45,13 @@ def trim_edge(s: Column) -> Column:
 
 
 def without_empty_parens(s: Column) -> Column:
-    for _ in range(NESTING):
-        s = F.regexp_replace(s, EMPTY_PARENS, "")
-    return s
+    """Without pairs of parentheses that hold nothing but white space and such pairs, at any depth.
+
+    Characters go onto a stack of text one by one; a closing one takes its opening one and the space between away.
+    """
+    opened = rf"\({S}*$"
+    put = lambda done, c: F.when((c == ")") & done.rlike(opened), F.regexp_replace(done, opened, "")).otherwise(F.concat(done, c))
+    return F.when(s.rlike(EMPTY_PARENS), F.aggregate(F.split(s, ""), F.lit(""), put)).otherwise(s)
 
 
 def cleanup(s: Column) -> Column:
@@ -78,15 +82,15 @@ class Cascade:
 
     def apply(self, when: Column, authors: Column, title: Column, mode: str | None = None, pending: str | None = None) -> None:
         """Where `when` holds sets authors and title; `mode` closes the cascade, `pending` is the mode if no later rule does."""
-        new = F.struct(authors.alias("a"), title.alias("t"))
-        self.df = self.df.withColumn("_hit", F.coalesce(when & F.col("_mode").isNull(), F.lit(False)))
-        self.df = self.df.withColumn("_new", F.when(F.col("_hit"), new))
-        out = {"_a": F.when(F.col("_hit"), F.col("_new.a")).otherwise(F.col("_a")), "_t": F.when(F.col("_hit"), F.col("_new.t")).otherwise(F.col("_t"))}
+        hit = F.coalesce(when & F.col("_mode").isNull(), F.lit(False))
+        self.df = self.df.withColumn("_new", F.when(hit, F.struct(authors.alias("a"), title.alias("t"))))
+        hit = F.col("_new").isNotNull()
+        out = {"_a": F.coalesce("_new.a", "_a"), "_t": F.coalesce("_new.t", "_t")}
         if mode:
-            out["_mode"] = F.when(F.col("_hit"), mode).otherwise(F.col("_mode"))
+            out["_mode"] = F.when(hit, mode).otherwise(F.col("_mode"))
         if pending:
-            out["_pending"] = F.when(F.col("_hit"), pending).otherwise(F.col("_pending"))
-        self.df = self.df.withColumns(out).drop("_hit", "_new")
+            out["_pending"] = F.when(hit, pending).otherwise(F.col("_pending"))
+        self.df = self.df.withColumns(out)
 
     def move(self, source: str, pattern: str, when: Column, pending: str | None = None, append: bool = False) -> None:
         """Group 1 of the pattern over `source` becomes the authors (or is added to them), group 2 the title."""
@@ -125,7 +129,7 @@ def authors_and_title(df: DataFrame, name: Column) -> DataFrame:
     pair = (F.length(strip(F.col("_a"))) < 5) & strip(F.col("_a")).rlike(rf"^{INITIAL}{INITIAL}$")
     c.apply(with_initials & pair & F.col("_t").rlike(SURNAME), tidy(F.concat_ws(" ", surname, "_a")), trim_edge(F.regexp_replace(rest, f"{S}{{2,}}", " ")), pending="initials_plus_hyphen_surname")
     c.tail(F.col("_pending") != "no_initials")
-    return c.df.withColumns({"authors": F.col("_a"), "title": F.col("_t"), "parse_mode": F.coalesce("_mode", "_pending")}).drop("_s", "_a", "_t", "_mode", "_pending", "_branch")
+    return c.df.withColumns({"authors": F.col("_a"), "title": F.col("_t"), "parse_mode": F.coalesce("_mode", "_pending")}).drop("_s", "_a", "_t", "_mode", "_pending", "_branch", "_new")
 
 
 def parse_names(df: DataFrame, name: str = "name") -> DataFrame:

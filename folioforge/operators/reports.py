@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ManifestConfig
+from ..functions.charclass import words
+from . import codes, identity, sizes
+from .pages import GENERATORS
 
 
 def frequencies(df: DataFrame, *columns: str) -> DataFrame:
@@ -25,19 +28,52 @@ def hit_counts(df: DataFrame, hits: str, config: ManifestConfig = ManifestConfig
     return df.groupBy(F.least(F.size(hits), F.lit(config.max_codes)).alias("hits")).agg(F.count("*").alias("n"))
 
 
-def manifest_summary(rows: DataFrame, config: ManifestConfig = ManifestConfig()) -> DataFrame:  # noqa: B008
-    """One row of counters over the manifest with its code columns and parse_mode."""
+def _counted(config: ManifestConfig) -> dict[str, Column]:
+    """The summary's counters over single rows of a built manifest, by key."""
     filled = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
-    named = {
-        "rows_total": F.count("*"), "size_total": F.coalesce(F.sum("size_bytes"), F.lit(0)), "size_min": F.min("size_bytes"), "size_max": F.max("size_bytes"),
-        "small_files": F.count_if(F.col("size_bytes") <= config.small_file_max_bytes), "with_authors": F.count_if(filled("authors")), "with_title": F.count_if(filled("title")), "with_year": F.count_if(filled("year") & (F.col("year") != "1111")),
-        "year_unknown": F.count_if(F.col("year") == "1111"), "year_missing": F.count_if(F.col("year").isNull()),
-        "year_from_text": F.count_if(filled("year") & (F.col("year") != "1111") & ~F.coalesce(F.col("year") == F.col("name_year"), F.lit(False))),
-        **{f"src_{k}": F.count_if(F.col("src_kind") == k) for k in ("pdf", "djvu")}, "src_none": F.count_if(F.col("src_kind").isNull()),
-        **{f"{c}_{s}_rows": F.count_if(F.col(f"{c}_status") == s) for c in ("udc", "bbk") for s in ("ok", "found_group1", "not_found", "read_error")},
-        **{f"{c}_{z}_rows": F.count_if(F.col(f"{c}_zone") == z) for c in ("udc", "bbk") for z in ("early", "late")},
+    read, small = F.col("text").isNotNull(), F.col("size_bytes") <= config.small_scan_max_bytes
+    from_name = codes.valid_year(F.col("name_year"))
+    from_text = ~from_name & codes.valid_year(F.col("text_year"))
+    tokens = F.col("token_count_e5") if config.tokens_given else F.size(words(F.col("text")))
+    checks = identity.checks()
+    return {
+        "doc_id_eq_stem_stg1_ok": checks["doc_id_ok"], "txt_abs_eq_full_path_stg1_ok": checks["txt_abs_ok"], "txt_rel_eq_rel_path_stg1_ok": checks["txt_rel_ok"],
+        "mismatch_rows_logged": ~(checks["doc_id_ok"] & checks["txt_abs_ok"] & checks["txt_rel_ok"]), "year_from_stg1": from_name, "year_from_stg2": from_text, "year_fallback_to_raw_stg1": ~from_name & ~from_text,
+        "stage1_year_found": F.col("name_year").isNotNull(), "stage1_year_missing": F.col("name_year").isNull(), "stage1_year_unknown_marker_1111": F.col("name_year") == "1111",
+        "stage1_authors_found": filled("authors"), "stage1_authors_missing": ~filled("authors"), "text_read_ok": read, "text_not_found": F.lit(False), "text_read_error": ~read, "year_stg2_found_rows": ~from_name & filled("text_year"),
+        **{f"{c}_{k}_rows": read & f for c in ("udc", "bbk") for k, f in (("found", filled(c)), ("not_found", ~filled(c)))},
+        **{f"src_kind_{k}_rows": F.coalesce(F.col("src_kind"), F.lit("not_determined")) == k for k in ("pdf", "djvu", "not_determined")},
+        "small_file_count": F.col("size_bytes") <= config.small_file_max_bytes, "e5_candidate_file_count": small, "e5_analyzed_file_count": small,
+        "e5_not_searchable_file_count": small & (tokens < config.min_search_tokens), "e5_searchable_file_count": small & (tokens >= config.min_search_tokens),
     }
-    return rows.agg(*[v.alias(k) for k, v in named.items()])
+
+
+def manifest_summary(rows: DataFrame, config: ManifestConfig = ManifestConfig(), lib_root: str = "", out: str = "") -> DataFrame:  # noqa: B008
+    """One row with the 44 keys of a run's summary, over a built manifest with its texts.
+
+    One pass over the rows: each counts for itself, for its size, for its size and content, and for its stem. These
+    groups are counted first (a frequent one is combined before the shuffle), then summed up. A text that can't be read
+    has no content; rows without a size are in no size group. Token counts are of words between white space, or those
+    of a column token_count_e5 if config.tokens_given.
+    """
+    flags = _counted(config)
+    grain = lambda name, key: F.struct(F.lit(name).alias("grain"), key.alias("key"))
+    content = F.when(F.col("text").isNotNull() & F.col("size_bytes").isNotNull(), F.concat_ws(":", F.col("size_bytes").cast("string"), F.sha1(F.col("text").cast("binary"))))
+    grains = F.array(grain("row", F.lit("")), grain("size", F.col("size_bytes").cast("string")), grain("content", content), grain("stem", identity.stem(F.col("txt_rel"))))
+    slim = rows.select(grains.alias("grains"), *[F.coalesce(f, F.lit(False)).cast("bigint").alias(k) for k, f in flags.items()])
+    each = slim.select(F.explode("grains").alias("g"), *flags).where("g.key is not null").select("g.*", *flags)
+    own = F.col("grain") == "row"
+    groups = each.groupBy("grain", "key").agg(F.count("*").alias("n"), *[F.sum(F.when(own, F.col(k))).alias(k) for k in flags])
+    of = lambda grain: (F.col("grain") == grain) & (F.col("n") > 1)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    made = groups.agg(
+        total(F.when(own, F.col("n"))).alias("rows_total"), *[total(k).alias(k) for k in flags], F.count_if(of("stem")).alias("unique_collision_stems"),
+        F.count_if(of("content")).alias("same_size_same_content_group_count"), total(F.when(of("content"), F.col("n"))).alias("same_size_same_content_file_count"),
+        total(F.when(of("size"), F.col("n"))).alias("total_files_in_size_groups"), F.count_if(of("size")).alias("total_unique_sizes_with_duplicates"),
+    )
+    about = {"program": GENERATORS["manifest_generator_program"], "version": GENERATORS["manifest_generator_version"], "manifest_schema_version": GENERATORS["manifest_schema_version"], "lib_root": lib_root, "scan_root": f"{lib_root}/OCR_TXT" if lib_root else "", "out_manifest": out}
+    limits = {"size_distribution_bucket_count": len(sizes.RANGES), "small_file_max_bytes": config.small_file_max_bytes, "e5_small_scan_max_bytes": config.small_scan_max_bytes, "e5_min_search_tokens": config.min_search_tokens}
+    return made.select(*[F.lit(v).alias(k) for k, v in about.items()], *made.columns, *[F.lit(v).cast("bigint").alias(k) for k, v in limits.items()])
 
 
 def clock(seconds: float) -> str:

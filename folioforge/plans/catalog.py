@@ -70,7 +70,15 @@ def stem_join(spark, d):
 
 @query
 def name_fields(spark, d):
-    return names.parse_names(fixtures.file_names(spark))
+    """Names of all documents as files of a library, by every rule of the cascade."""
+    return names.parse_names(fixtures.library(spark, d).select("id", "name"))
+
+
+@query
+def library_manifest(spark, d):
+    """The whole manifest of a library: real names, codes, years from names or texts, and texts that can't be read."""
+    rows = manifest.build(fixtures.library(spark, d).drop("id", "name"))
+    return manifest.table(rows).join(rows.select("txt_rel", "parse_mode", "udc_status", "bbk_status", "udc_zone"), "txt_rel")
 
 
 @query
@@ -321,9 +329,16 @@ def token_report_control(spark, d):
 
 @query
 def manifest_summary(spark, d):
-    """Rows only: the whole manifest stage over texts with codes."""
-    rows = fixtures.files(spark, d).drop("text").join(fixtures.coded(spark, d).withColumnRenamed("doc_id", "id"), "id").drop("id")
-    return reports.manifest_summary(manifest.build(rows))
+    """The run's summary over a library: its names, codes and years, sizes and contents that files share, stems that recur."""
+    return reports.manifest_summary(manifest.build(fixtures.library(spark, d).drop("id", "name")), lib_root="/lib", out="/lib/manifest.jsonl")
+
+
+@query
+def line_alignment(spark, d):
+    """Which entry each line of a page gets: entries under every column name, in place, by number (some twice), by place among filled lines, or unusable."""
+    rows = fixtures.entry_columns(spark, d)
+    pairs = cleaning.aligned(cleaning.raw_lines(F.col("text")), cleaning.line_entries_of(rows))
+    return rows.select("doc_id", F.posexplode(pairs).alias("i", "x")).select("doc_id", "i", F.col("x.entry.text_len").alias("mark"), F.col("x.entry.token_count_simple").alias("tokens"))
 
 
 @query

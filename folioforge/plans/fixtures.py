@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.parallel import spread
+from ..operators.cleaning import ENTRY_COLUMNS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id as text, and the text."""
+    """doc_id, and the text (null as empty)."""
     return spread(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
 
 
@@ -87,3 +88,52 @@ NAMES = [
 
 def file_names(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(n,) for n, *_ in NAMES], "name string")
+
+
+#: Surnames of the library's authors.
+SURNAMES = ("Иванов", "Петрова", "Сидоров", "Кузнецов", "Попова")
+
+
+def library(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a library, with names of every form that the name rules know (also with parentheses up to 60 deep), so that stems recur, and texts with codes and years; every fiftieth text can't be read."""
+    n = F.col("doc_id")
+    word = F.translate((n % 60).cast("string"), "0123456789", "абвгдежзик")
+    year, author = (n % 100 + 1900).cast("string"), F.get(F.array(*map(F.lit, SURNAMES)), (n % 5).cast("int"))
+    deep = (n % 60 + 1).cast("int")
+    forms = [
+        (author, " А.Б. Книга ", word, " (", year, ")"), ("Физика ", word, " ()"), ("Химия ", word, " (год неизв.)"), ("Сборник. Задачи ", word, " ", year), ("Без авт. Справочник ", word, " (12 kb)"),
+        ("Журнал. Радио ", word, " ", year), ("Feynman_ Lectures ", word), (author, " - Основы ", word), (author, " Дж. Теория ", word), ("А.Б. ", author, " - Оптика ", word, " ", year),
+        (author, " В.Г. (ред.) Металлы ", word, " ", year), (author, " А.Б. и др. Теория ", word, " Т. Поле"), (author, " В.Г. Основы ", word, " К. Том"), (author, " Д.Е. Оптика ", word, " Ф."),
+        ("Труды ", word, " ", F.repeat(F.lit("( "), deep), F.repeat(F.lit(" )"), deep), " 2031"),
+    ]
+    joined = [F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in form]) for form in forms]
+    name = F.get(F.array(*joined), (n % len(forms)).cast("int"))
+    kind = F.when(n % 3 == 0, "pdf_OCR_TXT").when(n % 3 == 1, "djvu_OCR_TXT").otherwise("misc")
+    tab = F.when(n % 7 == 0, "/tab").otherwise("")
+    rel = F.concat(F.lit("OCR_TXT/"), kind, tab, F.lit("/f"), n.cast("string"), F.lit("/"), name, F.lit(".txt"))
+    rows = coded(spark, sf_dir).select(n.alias("id"), name.alias("name"), rel.alias("txt_rel"), F.octet_length("text").cast("bigint").alias("size_bytes"), F.when(n % 50 != 49, F.col("text")).alias("text"))
+    return rows.withColumn("txt_abs", F.concat(F.lit("/lib/"), "txt_rel"))
+
+
+def entry_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with line entries in one of the columns that may hold them, by id, put there in one of five ways.
+
+    Entries carry a mark: 10 times the line's number. Ways, by id: 0 the filled lines, numbered; 1 the same backwards,
+    with the first once more at the end, marked -1; 2 the filled lines without numbers; 3 these without the last; 4 all
+    lines, with numbers that contradict their places. Every seventh document has them in the compact form.
+    """
+    n = F.col("doc_id")
+    raw = F.split("text", "\n", -1)
+    numbered = F.transform(raw, lambda s, i: F.struct((i + 1).alias("line_no"), ((i + 1) * 10).alias("text_len"), F.length(s).alias("token_count"), (F.trim(s, F.lit(" \t\r")) != "").alias("filled")))
+    filled = F.filter(numbered, lambda x: x["filled"])
+    with_number = lambda a, no: F.transform(a, lambda x, i: F.struct(no(x, i).cast("int").alias("line_no"), x["text_len"].alias("text_len"), x["token_count"].alias("token_count")))
+    own, none, turned = (lambda x, i: x["line_no"]), (lambda x, i: F.lit(0)), (lambda x, i: 1000 - i)
+    again = F.transform(F.slice(filled, 1, 1), lambda x: F.struct(x["line_no"].alias("line_no"), F.lit(-1).alias("text_len"), x["token_count"].alias("token_count")))
+    ways = [with_number(filled, own), F.concat(F.reverse(with_number(filled, own)), again), with_number(filled, none), with_number(F.slice(filled, 1, F.greatest(F.size(filled) - 1, F.lit(0))), none), with_number(numbered, turned)]
+    entries = F.when(n % 5 == 0, ways[0]).when(n % 5 == 1, ways[1]).when(n % 5 == 2, ways[2]).when(n % 5 == 3, ways[3]).otherwise(ways[4])
+    rows = documents(spark, sf_dir).withColumn("entries", entries)
+    # every column holds something of the wrong place or nothing, so the first filled one must win
+    columns = [c for c in ENTRY_COLUMNS if c != "lines"]
+    given = [F.when(n % 7 == k, F.col("entries")).when(n % 7 < k, F.transform("entries", lambda x: F.struct(x["line_no"].alias("line_no"), F.lit(-9).alias("text_len"), x["token_count"].alias("token_count")))).otherwise(F.slice("entries", 1, 0)).alias(c) for k, c in enumerate(columns)]
+    compact = F.transform("entries", lambda x: F.array(x["text_len"].cast("string"), x["line_no"].cast("string"), x["token_count"].cast("string")))
+    return rows.select("doc_id", "text", *given, F.when(n % 7 == 6, compact).alias("lines"), F.when(n % 7 == 6, F.array(*map(F.lit, ("text_len", "line_no", "token_count_simple")))).alias("lines_schema"))

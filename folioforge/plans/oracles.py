@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 from ..functions import charclass
-from .fixtures import NAMES
 
 
 def _re2(java: str) -> str:
@@ -264,6 +263,50 @@ ORACLES["pipeline_end_to_end"] = (
     with_(DOCS, FILES, _E2E, lines("source"), metrics("source"), tab_clean("source"), decided("source"), f"kept AS (SELECT doc_id, after AS text FROM cleaned_source WHERE {strip('after')} <> '')", split_sql("kept").replace("parts AS", "cut AS"))
     + "SELECT printf('%s::p%05d::w%02dof%02d', substr(sha1(f.txt_rel), 1, 16), 1, i + 1, k) AS chunk_id, substr(sha1(f.txt_rel), 1, 16) AS doc_id, array_to_string(ws[a - back + 1 : b], ' ') AS text, 1::BIGINT AS page_start, CASE WHEN c.doc_id BETWEEN 1500 AND 2030 THEN c.doc_id::VARCHAR END AS year, f.txt_rel FROM cut c JOIN files f ON c.doc_id = f.id"
 )
-# names have no SQL form (the rules scan with lookahead): the results worked out by hand
-_sql = lambda v: "NULL" if v is None else f"'{v}'"
-ORACLES["name_fields"] = "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_sql, row)) + ")" for row in NAMES) + ") AS t(name, year, authors, title, parse_mode)"
+# names have no SQL form (the rules scan with lookahead): each form's result follows from its parts, as worked out by hand
+_FORMS = [
+    ("a || ' А.Б. Книга ' || w || ' (' || y || ')'", "y", "a || ' А.Б.'", "'Книга ' || w", "initials_from_right"), ("'Физика ' || w || ' ()'", "'1111'", "''", "'Физика ' || w", "no_initials"),
+    ("'Химия ' || w || ' (год неизв.)'", "'1111'", "''", "'Химия ' || w", "no_initials"), ("'Сборник. Задачи ' || w || ' ' || y", "y", "'Сборник.'", "'Задачи ' || w", "noauthor_prefix"),
+    ("'Без авт. Справочник ' || w || ' (12 kb)'", "NULL", "'Без авт.'", "'Справочник ' || w", "noauthor_prefix"), ("'Журнал. Радио ' || w || ' ' || y", "y", "'Журнал.'", "'Радио ' || w", "empty_author_prefix"),
+    ("'Feynman_ Lectures ' || w", "NULL", "'Feynman_'", "'Lectures ' || w", "underscore_leading_word"), ("a || ' - Основы ' || w", "NULL", "a", "'Основы ' || w", "hyphen_leading_author"),
+    ("a || ' Дж. Теория ' || w", "NULL", "a || ' Дж.'", "'Теория ' || w", "dj_initial_author"), ("'А.Б. ' || a || ' - Оптика ' || w || ' ' || y", "y", "a || ' А.Б.'", "'Оптика ' || w", "initials_plus_hyphen_surname"),
+    ("a || ' В.Г. (ред.) Металлы ' || w || ' ' || y", "y", "a || ' В.Г. (ред.)'", "'Металлы ' || w", "initials_from_right"),
+    ("a || ' А.Б. и др. Теория ' || w || ' Т. Поле'", "NULL", "a || ' А.Б. и др.'", "'Теория ' || w || ' Т. Поле'", "author_tail_after_marker_to_title"),
+    ("a || ' В.Г. Основы ' || w || ' К. Том'", "NULL", "a || ' В.Г.'", "'Основы ' || w || ' К. Том'", "fix_title_tail_after_double_initials"),
+    ("a || ' Д.Е. Оптика ' || w || ' Ф.'", "NULL", "a || ' Д.Е.'", "'Оптика ' || w || ' Ф.'", "move_right_sentence_from_authors_to_title_if_title_empty"),
+    ("'Труды ' || w || ' ' || repeat('( ', k) || repeat(' )', k) || ' 2031'", "'1111'", "''", "'Труды ' || w || ' 2031'", "no_initials"),
+]
+_BY_FORM = lambda i: "CASE id % 15 " + " ".join(f"WHEN {n} THEN {form[i] if i < 4 else repr(form[i])}" for n, form in enumerate(_FORMS)) + " END"
+_LIBRARY = f"""written AS (SELECT doc_id AS id, text AS whole, CASE WHEN doc_id % 50 <> 49 THEN text END AS text, translate((doc_id % 60)::VARCHAR, '0123456789', 'абвгдежзик') AS w, (doc_id % 100 + 1900)::VARCHAR AS y, ['Иванов', 'Петрова', 'Сидоров', 'Кузнецов', 'Попова'][doc_id % 5 + 1] AS a, (doc_id % 60 + 1) AS k FROM coded),
+named AS (SELECT id, text, strlen(whole)::BIGINT AS size_bytes, {_BY_FORM(0)} AS name, {_BY_FORM(1)} AS name_year, {_BY_FORM(2)} AS authors, {_BY_FORM(3)} AS title, {_BY_FORM(4)} AS parse_mode FROM written),
+lib AS (SELECT *, 'OCR_TXT/' || CASE id % 3 WHEN 0 THEN 'pdf_OCR_TXT' WHEN 1 THEN 'djvu_OCR_TXT' ELSE 'misc' END || CASE WHEN id % 7 = 0 THEN '/tab' ELSE '' END || '/f' || id || '/' || name || '.txt' AS txt_rel, CASE id % 3 WHEN 0 THEN 'pdf' WHEN 1 THEN 'djvu' END AS src_kind, name_year IS NOT NULL AND name_year <> '1111' AS dated FROM named),
+book AS (SELECT lib.*, text IS NOT NULL AS read, CASE WHEN text IS NULL THEN '' ELSE udc END AS udc, CASE WHEN text IS NULL THEN '' ELSE bbk END AS bbk, CASE WHEN text IS NULL THEN 'read_error' ELSE udc_status END AS udc_status, CASE WHEN text IS NULL THEN 'not_found' ELSE udc_zone END AS udc_zone, CASE WHEN text IS NULL OR dated THEN '' ELSE years.year END AS late
+  FROM lib JOIN udc ON id = udc.doc_id JOIN (SELECT doc_id, bbk FROM v) b ON id = b.doc_id JOIN years ON id = years.doc_id)"""
+_LIB = (DOCS, CODED, _UDC, _BBK, _YEARS, _LIBRARY)
+ORACLES["name_fields"] = with_(DOCS, CODED, _LIBRARY.split(",\nlib AS")[0]) + "SELECT id, name, name_year AS year, authors, title, parse_mode FROM named"
+ORACLES["library_manifest"] = with_(*_LIB) + (
+    "SELECT substr(sha1(txt_rel), 1, 16) AS sid, substr(sha1(txt_rel), 1, 16) AS doc_id, txt_rel, '/lib/' || txt_rel AS txt_abs, src_kind, '' AS src_rel, false AS src_exists, sha1(txt_rel) AS uid, size_bytes, txt_rel AS rel_path_stg1, authors, title, CASE WHEN dated THEN name_year WHEN late <> '' THEN late ELSE name_year END AS year, udc, bbk, "
+    "parse_mode, udc_status, CASE WHEN NOT read THEN 'read_error' WHEN bbk <> '' THEN 'ok' ELSE 'not_found' END AS bbk_status, udc_zone FROM book"
+)
+_SOME = lambda f, name: f"count(*) FILTER ({f}) AS {name}"
+ORACLES["manifest_summary"] = with_(
+    *_LIB, f"t AS (SELECT *, len({words("coalesce(text, '')")}) AS tokens, sha1(text) AS h FROM book)", "by_size AS (SELECT count(*) AS n FROM t GROUP BY size_bytes HAVING count(*) > 1)", "by_content AS (SELECT count(*) AS n FROM t WHERE read GROUP BY size_bytes, h HAVING count(*) > 1)", "by_stem AS (SELECT 1 FROM t GROUP BY name HAVING count(*) > 1)",
+) + (
+    "SELECT 'make_manifest' AS program, '1.0' AS version, '2026-04-04 v4.0' AS manifest_schema_version, '/lib' AS lib_root, '/lib/OCR_TXT' AS scan_root, '/lib/manifest.jsonl' AS out_manifest, count(*) AS rows_total, count(*) AS doc_id_eq_stem_stg1_ok, count(*) AS txt_abs_eq_full_path_stg1_ok, count(*) AS txt_rel_eq_rel_path_stg1_ok, 0::BIGINT AS mismatch_rows_logged, "
+    + ", ".join([
+        _SOME("dated", "year_from_stg1"), _SOME("late <> ''", "year_from_stg2"), _SOME("NOT dated AND late = ''", "year_fallback_to_raw_stg1"), _SOME("name_year IS NOT NULL", "stage1_year_found"), _SOME("name_year IS NULL", "stage1_year_missing"), _SOME("name_year = '1111'", "stage1_year_unknown_marker_1111"),
+        _SOME("authors <> ''", "stage1_authors_found"), _SOME("authors = ''", "stage1_authors_missing"), _SOME("read", "text_read_ok"), "0::BIGINT AS text_not_found", _SOME("NOT read", "text_read_error"), _SOME("late <> ''", "year_stg2_found_rows"),
+        *[_SOME(f"read AND {c} {op} ''", f"{c}_{k}_rows") for c in ("udc", "bbk") for k, op in (("found", "<>"), ("not_found", "="))],
+        _SOME("src_kind = 'pdf'", "src_kind_pdf_rows"), _SOME("src_kind = 'djvu'", "src_kind_djvu_rows"), _SOME("src_kind IS NULL", "src_kind_not_determined_rows"), _SOME("size_bytes <= 65536", "small_file_count"), _SOME("size_bytes <= 512", "e5_candidate_file_count"), _SOME("size_bytes <= 512", "e5_analyzed_file_count"),
+        _SOME("size_bytes <= 512 AND read AND tokens < 20", "e5_not_searchable_file_count"), _SOME("size_bytes <= 512 AND read AND tokens >= 20", "e5_searchable_file_count"),
+    ])
+    + ", (SELECT count(*) FROM by_stem) AS unique_collision_stems, (SELECT count(*) FROM by_content) AS same_size_same_content_group_count, (SELECT coalesce(sum(n), 0)::BIGINT FROM by_content) AS same_size_same_content_file_count, (SELECT coalesce(sum(n), 0)::BIGINT FROM by_size) AS total_files_in_size_groups, (SELECT count(*) FROM by_size) AS total_unique_sizes_with_duplicates, "
+    "18::BIGINT AS size_distribution_bucket_count, 65536::BIGINT AS small_file_max_bytes, 512::BIGINT AS e5_small_scan_max_bytes, 20::BIGINT AS e5_min_search_tokens FROM t"
+)
+_FULL = "trim(s, ' ' || chr(9) || chr(13)) <> ''"
+ORACLES["line_alignment"] = with_(
+    DOCS, "each AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS no FROM docs)",
+    f"counted AS (SELECT *, {_FULL} AS filled, doc_id % 5 AS way, sum(({_FULL})::INT) OVER (PARTITION BY doc_id ORDER BY no) AS place, count(*) OVER (PARTITION BY doc_id) AS lines, sum(({_FULL})::INT) OVER (PARTITION BY doc_id) AS n FROM each)",
+    # the second way has one entry more than there are filled lines: with one blank line on the page it fits by place, backwards
+    "placed AS (SELECT c.*, CASE WHEN way = 1 AND n > 0 AND n + 1 = lines THEN CASE WHEN no = lines THEN 1 ELSE n + 1 - no END WHEN way <> 3 AND filled THEN place END AS source, way = 1 AND n > 0 AND (CASE WHEN n + 1 = lines THEN no = lines ELSE place = 1 AND filled END) AS again FROM counted c)",
+) + "SELECT p.doc_id, p.no - 1 AS i, CASE WHEN p.way = 4 THEN p.no * 10 WHEN again THEN -1 ELSE f.no * 10 END AS mark, CASE WHEN p.way = 4 THEN length(p.s) ELSE length(f.s) END AS tokens FROM placed p LEFT JOIN counted f ON f.doc_id = p.doc_id AND f.filled AND f.place = p.source"
