@@ -6,13 +6,14 @@ streaming DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import CleaningConfig
 from ..functions.arrays import heads, looked_up
 from ..functions.charclass import DIGIT, SPACE, count, let, strip, unmoved, words
+from ..functions.observing import observed
 from .quality import expanded
 
 #: Technical tokens that keep a line.
@@ -249,26 +250,35 @@ def clean_all(analysed: DataFrame, config: CleaningConfig = CleaningConfig()) ->
     })
 
 
-def clean_pages(analysed: DataFrame, config: CleaningConfig = CleaningConfig()) -> DataFrame:  # noqa: B008
-    """The pages with text left, their text replaced. Line entries and metrics still tell of the text before."""
-    rows = clean_all(analysed, config).where(~F.col("became_empty_after_clean")).withColumn("text", F.col("clean_text"))
+def clean_pages(analysed: DataFrame, config: CleaningConfig = CleaningConfig(), counters: Observation | None = None) -> DataFrame:  # noqa: B008
+    """The pages with text left, their text replaced. Line entries and metrics still tell of the text before. `counters` get the figures of clean_summary, of all pages."""
+    rows = observed(clean_all(analysed, config), counters, clean_counters()).where(~F.col("became_empty_after_clean")).withColumn("text", F.col("clean_text"))
     return rows.select(*analysed.columns, "clean_mode", "text_before_clean_len", "text_after_clean_len", "chunk_changed", "became_empty_after_clean")
 
 
-def clean_summary(cleaned: DataFrame) -> DataFrame:
-    """One row over clean_all: pages, changes, characters, lines by decision and reason, tokens of table pages."""
+def clean_counters() -> dict[str, Column]:
+    """Aggregates over clean_all: pages, changes, characters, lines by decision, reason and quality, tokens of table pages."""
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
     # "decisions" is null on table pages
     some = lambda field, value: F.coalesce(F.size(F.filter("decisions", lambda d: d[field] == value)), F.lit(0))
-    made = cleaned.agg(
-        F.count("*").alias("pages_in"), F.count_if(~F.col("became_empty_after_clean")).alias("pages_out"), F.count_if("became_empty_after_clean").alias("pages_empty"), F.count_if("chunk_changed").alias("pages_changed"), F.count_if(F.col("is_tab") & F.col("chunk_changed")).alias("tab_changed"),
-        total("text_before_clean_len").alias("chars_in"), total("text_after_clean_len").alias("chars_out"), *[F.count_if(F.col("clean_mode") == m).alias(f"pages_{m}") for m in ("tab", "ok", "suspicious", "junk_candidate")],
-        total(F.when(~F.col("is_tab"), F.size("decisions"))).alias("lines_in"), *[total(some("action", a)).alias(f"lines_{a}") for a in ("keep", "normalize", "drop")],
-        *[total(some("reason", r)).alias(f"drop_{r}") for r in REASONS], *[total(F.col(f"tab.{c}")).alias(f"tab_{c}") for c in TAB_COUNTERS],
-    )
+    plain, lines = ~F.col("is_tab"), F.size("decisions")
+    gone = some("action", "drop")
+    by_class = {}
+    for name, mode in (("ok", "ok"), ("suspicious", "suspicious"), ("junk", "junk_candidate")):
+        of = F.col("clean_mode") == mode
+        by_class |= {f"{name}_lines_in": total(F.when(of, lines)), f"{name}_lines_out": total(F.when(of, lines - gone)), f"{name}_lines_removed": total(F.when(of, gone))}
+    return {
+        "pages_in": F.count("*"), "pages_out": F.count_if(~F.col("became_empty_after_clean")), "pages_empty": F.count_if("became_empty_after_clean"), "pages_changed": F.count_if("chunk_changed"), "tab_changed": F.count_if(F.col("is_tab") & F.col("chunk_changed")),
+        "chars_in": total("text_before_clean_len"), "chars_out": total("text_after_clean_len"), **{f"pages_{m}": F.count_if(F.col("clean_mode") == m) for m in ("tab", "ok", "suspicious", "junk_candidate")},
+        "lines_in": total(F.when(plain, lines)), **{f"lines_{a}": total(some("action", a)) for a in ("keep", "normalize", "drop")}, "lines_whitelist": total(some("reason", "tech_whitelist")), **by_class,
+        **{f"drop_{r}": total(some("reason", r)) for r in REASONS}, **{f"tab_{c}": total(F.col(f"tab.{c}")) for c in TAB_COUNTERS},
+    }
+
+
+def clean_summary(cleaned: DataFrame) -> DataFrame:
+    """One row with clean_counters and the shares of characters gone and of table tokens kept."""
+    made = cleaned.agg(*[c.alias(k) for k, c in clean_counters().items()])
     return made.withColumns({
         "char_reduction": F.when(F.col("chars_in") > 0, F.bround(1 - F.col("chars_out") / F.col("chars_in"), 6)).otherwise(0.0),
         "tab_token_keep_ratio": F.when(F.col("tab_tokens_seen") > 0, F.bround(F.col("tab_tokens_kept") / F.col("tab_tokens_seen"), 6)).otherwise(0.0),
     })
-
-

@@ -9,13 +9,22 @@ from pyspark.sql.window import Window
 from .identity import file_name
 
 COLUMNS = ["report_group_no", "size_group_no", "group_size", "group_index", "size_bytes", "content_sha1", "doc_id", "sid", "txt_rel", "txt_abs", "uid", "file_name"]
-#: Copies up to which one task orders a group; larger groups are cut at SAMPLED paths drawn from all files.
-ONE_TASK, SAMPLED = 1_000_000, 2000
+#: Paths drawn from all files, in expectation, at which groups are cut, so that no task orders a large one.
+SAMPLED = 256
 
 
-def same_size_same_content(files: DataFrame, content: str = "content") -> DataFrame:
+def same_size(files: DataFrame) -> DataFrame:
+    """The files whose size another has, too: all that need hashing."""
+    sizes = files.where("size_bytes is not null").groupBy("size_bytes").agg(F.count("*").alias("_n")).where("_n > 1")
+    return files.join(sizes.select("size_bytes"), "size_bytes", "left_semi")
+
+
+def same_size_same_content(files: DataFrame, content: str | None = "content") -> DataFrame:
     """Members of every group of files with equal size and content, numbered by size, then by hash.
 
+    Without a content column the files have their content_sha1 (see text_files.hashed). Nothing runs before the result
+    is asked for, and there's one way for groups of all sizes.
+
     The content is never shuffled: each file is hashed where it is read, and only its hash goes on. Sizes are counted
     from size_bytes alone. Numbers are sums of offsets: of the
     sizes before (distinct sizes are few, whatever the number of files), of the hash beginnings before, and of the place
@@ -23,10 +32,11 @@ def same_size_same_content(files: DataFrame, content: str = "content") -> DataFr
     """
     sizes = files.where("size_bytes is not null").groupBy("size_bytes").agg(F.count("*").alias("_n")).where("_n > 1")
     shared = sizes.select("size_bytes", F.row_number().over(Window.orderBy("size_bytes")).alias("size_group_no"))
-    hashed = files.withColumn("content_sha1", F.sha1(F.col(content).cast("binary"))).drop(content).where("content_sha1 is not null").join(shared, "size_bytes")
+    known = files.withColumn("content_sha1", F.sha1(F.col(content).cast("binary"))).drop(content) if content else files
+    hashed = known.where("content_sha1 is not null").join(shared, "size_bytes")
     groups = hashed.groupBy("size_bytes", "content_sha1").agg(F.count("*").alias("group_size")).where("group_size > 1")
     rows = hashed.join(numbered(groups), ["size_bytes", "content_sha1"])
-    return placed(rows, groups).withColumn("file_name", file_name(F.col("txt_abs"))).select(*COLUMNS)
+    return placed(rows, files).withColumn("file_name", file_name(F.col("txt_abs"))).select(*COLUMNS)
 
 
 def before(*partition: str, order: str, count: str = "_c") -> Column:
@@ -45,17 +55,18 @@ def numbered(groups: DataFrame) -> DataFrame:
     return rows.withColumn("report_group_no", (F.col("_sizes") + F.col("_heads") + F.col("_place")).cast("int")).select(*groups.columns, "report_group_no")
 
 
-def placed(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """rows with group_index: their number in their group by lower-cased path."""
+def placed(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """rows with group_index: their number in their group by lower-cased path.
+
+    Groups are cut at paths drawn from all files by a hash of the path (the same ones whenever a task runs again); a
+    row's number is its place in its piece after all rows of the pieces before.
+    """
     keys = ["size_bytes", "content_sha1"]
     order = [F.lower("txt_rel"), F.lower("txt_abs"), F.col("txt_rel")]
-    if (groups.agg(F.max("group_size")).first()[0] or 0) <= ONE_TASK:
-        return rows.withColumn("group_index", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    # borders drawn by a hash of the path: the same whenever a task runs again
-    total = rows.count()
-    drawn = rows.where(F.pmod(F.xxhash64("txt_rel"), F.lit(1 << 30)) < (1 << 30) * SAMPLED / total).select(F.lower("txt_rel").alias("p")).distinct().orderBy("p")
-    borders = F.array(*[F.lit(r["p"]) for r in drawn.limit(2 * SAMPLED).collect()])
-    cut = rows.withColumn("_cut", F.size(F.filter(borders, lambda b: b <= F.lower("txt_rel"))))
+    total = files.agg(F.count("*")).scalar()
+    drawn = files.where(F.pmod(F.xxhash64("txt_rel"), F.lit(1 << 30)) < F.lit((1 << 30) * SAMPLED) / total)
+    borders = drawn.agg(F.array_sort(F.collect_set(F.lower("txt_rel")))).scalar()
+    cut = rows.withColumn("_borders", borders).withColumn("_cut", F.size(F.filter("_borders", lambda b: b <= F.lower("txt_rel")))).drop("_borders")
     counts = cut.groupBy(*keys, "_cut").agg(F.count("*").alias("_c")).select(*keys, "_cut", before(*keys, order="_cut").alias("_before"))
     own = cut.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_cut").orderBy(*order)))
     return own.join(counts, [*keys, "_cut"]).withColumn("group_index", (F.col("_before") + F.col("_place")).cast("int")).drop("_cut", "_place", "_before")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import PagesConfig
 from ..functions.charclass import SPACE, WORD, strip
+from ..functions.observing import observed
 from ..schemas import PAGES, names
 
 #: What rows say about the programs that made them.
@@ -47,10 +48,19 @@ def bucket(n: Column) -> Column:
     return out
 
 
+def split(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs with their pages, also those too short to keep, in `_pages`; a null text (a missing file) has null."""
+    return docs.withColumn("_pages", F.when(F.col(text).isNotNull(), split_text(normalize(F.col(text)))))
+
+
 def all_pages(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with page_no and, in place of its text, that of each page: also of those too short to keep."""
-    others = [c for c in docs.columns if c != text]
-    return docs.select(*others, F.posexplode_outer(split_text(normalize(F.col(text)))).alias("page_no", text)).where("page_no is not null").withColumn("page_no", F.col("page_no") + 1)
+    return each_page(split(docs, text), text)
+
+
+def each_page(cut: DataFrame, text: str = "text") -> DataFrame:
+    others = [c for c in cut.columns if c not in (text, "_pages")]
+    return cut.select(*others, F.posexplode_outer("_pages").alias("page_no", text)).where("page_no is not null").withColumn("page_no", F.col("page_no") + 1)
 
 
 def with_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
@@ -67,8 +77,11 @@ def missing_files(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return rows.join(files.select(F.col("txt_rel").alias("_rel")), slashes(F.col("txt_rel")) == F.col("_rel"), "left_anti")
 
 
-def chunk_pages(manifest: DataFrame, config: PagesConfig = PagesConfig()) -> DataFrame:  # noqa: B008
-    """The page table of a manifest with a text column. Pages under min_chars characters are left out but keep their numbers."""
+def chunk_pages(manifest: DataFrame, config: PagesConfig = PagesConfig(), counters: Observation | None = None) -> DataFrame:  # noqa: B008
+    """The page table of a manifest with a text column. Pages under min_chars characters are left out but keep their numbers.
+
+    `counters` get the figures of page_stats; rows without a path or a text (whose file is missing) are counted, too.
+    """
     have = set(manifest.columns)
     col = lambda name, kind="string": F.col(name).cast(kind) if name in have else F.lit(None).cast(kind)
     stem = F.regexp_extract(slashes(col("txt_rel")), r"([^/]*?)(?:\.[^./]*)?$", 1)
@@ -78,22 +91,29 @@ def chunk_pages(manifest: DataFrame, config: PagesConfig = PagesConfig()) -> Dat
         clean_scalar(col("src_kind")).alias("src_kind"), slashes(col("src_rel")).alias("src_rel"), F.coalesce(col("src_exists", "boolean"), F.lit(False)).alias("src_exists"),
         slashes(col("rel_path_stg1")).alias("rel_path_stg1"), *[clean_scalar(col(c)).alias(c) for c in ("authors", "title", "year", "udc", "bbk")], col("size_bytes", "bigint").alias("size_bytes_txt"), "text",
     )
-    pages = all_pages(rows).where(F.length("text") >= config.min_chars)
+    pages = each_page(observed(split(rows), counters, page_counters(config))).where(F.length("text") >= config.min_chars)
     pages = pages.withColumns({"chunk_id": F.format_string("%s::p%05d", "sid", "page_no"), "page_start": F.col("page_no"), "page_end": F.col("page_no"), **{k: F.lit(v) for k, v in GENERATORS.items()}})
     return pages.select(*names(PAGES))
 
 
-def page_stats(docs: DataFrame, key: str = "doc_id", config: PagesConfig = PagesConfig()) -> DataFrame:  # noqa: B008
-    """One row: documents, pages seen, kept and short, documents without a kept page, characters and lengths by bucket."""
-    pages = F.transform(split_text(normalize(F.col("text"))), F.length)
-    kept = F.filter("lengths", lambda n: n >= config.min_chars)
-    rows = docs.select(pages.alias("lengths")).withColumn("kept", kept)
+def page_counters(config: PagesConfig, path: str | None = "txt_rel") -> dict[str, Column]:
+    """Aggregates over split texts: rows without a path and without a text, documents, pages seen, kept and short, documents without a kept page, characters and lengths by bucket."""
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-    chars = F.aggregate("kept", F.lit(0).cast("bigint"), lambda s, n: s + n)
-    within = lambda low, high: F.size(F.filter("kept", lambda n: (n >= low) if high is None else n.between(low, high)))
-    out = rows.agg(
-        F.count("*").alias("docs"), total(F.size("lengths")).alias("pages"), total(F.size("kept")).alias("pages_written"), total(F.size("lengths") - F.size("kept")).alias("pages_short"),
-        F.count_if(F.size("kept") == 0).alias("docs_without_pages"), total(chars).alias("chars"), F.min(F.array_min("kept")).alias("min_chars"), F.max(F.array_max("kept")).alias("max_chars"),
-        *[total(within(low, high)).alias(f"len_{low}") for low, high, _ in BUCKETS],
-    )
+    lengths = F.transform("_pages", F.length)
+    kept = F.filter(lengths, lambda n: n >= config.min_chars)
+    chars = F.aggregate(kept, F.lit(0).cast("bigint"), lambda s, n: s + n)
+    within = lambda low, high: F.size(F.filter(kept, lambda n: (n >= low) if high is None else n.between(low, high)))
+    there = F.col("_pages").isNotNull()
+    given = F.coalesce(F.col(path), F.lit("")) != "" if path else F.lit(True)
+    return {
+        "skipped_no_txt_rel": F.count_if(~given), "missing_txt": F.count_if(given & ~there), "docs": F.count_if(there), "pages": total(F.when(there, F.size("_pages"))), "pages_written": total(F.when(there, F.size(kept))),
+        "pages_short": total(F.when(there, F.size("_pages") - F.size(kept))), "docs_without_pages": F.count_if(there & (F.size(kept) == 0)), "chars": total(F.when(there, chars)), "min_chars": F.min(F.array_min(kept)), "max_chars": F.max(F.array_max(kept)),
+        **{f"len_{low}": total(F.when(there, within(low, high))) for low, high, _ in BUCKETS},
+    }
+
+
+def page_stats(docs: DataFrame, key: str = "doc_id", config: PagesConfig = PagesConfig()) -> DataFrame:  # noqa: B008
+    """One row with page_counters of texts and the average characters of a kept page."""
+    counted = page_counters(config, None)
+    out = split(docs).agg(*[counted[k].alias(k) for k in counted if k not in ("skipped_no_txt_rel", "missing_txt")])
     return out.withColumn("avg_chars", F.when(F.col("pages_written") > 0, F.bround(F.col("chars") / F.col("pages_written"), 6)).otherwise(0.0))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import QualityConfig
 from ..functions.arrays import looked_up
 from ..functions.charclass import DIGIT, LINE_BREAK, SPACE, WORD, count, count_outside, let, ratio, strip
+from ..functions.observing import observed
 from ..schemas import LINE_FIELDS, METRICS, names
 
 TOKEN = f"[{WORD}]+"
@@ -88,8 +89,8 @@ def junk_flags() -> dict[str, Column]:
     }
 
 
-def analyze(pages: DataFrame, config: QualityConfig = QualityConfig()) -> DataFrame:  # noqa: B008
-    """pages with their line entries, metrics, junk score and quality class. A byte order mark before the text goes; null counts as empty."""
+def analyze(pages: DataFrame, config: QualityConfig = QualityConfig(), counters: Observation | None = None) -> DataFrame:  # noqa: B008
+    """pages with their line entries, metrics, junk score and quality class. A byte order mark before the text goes; null counts as empty. `counters` get the figures of quality_stats."""
     if "doc_id16" not in pages.columns:
         pages = pages.withColumn("doc_id16", F.lit(None).cast("string"))
     rows = pages.withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "^\ufeff+", "")).withColumn("lines", line_entries(F.col("text")))
@@ -99,7 +100,7 @@ def analyze(pages: DataFrame, config: QualityConfig = QualityConfig()) -> DataFr
     kind = F.when(F.col("junk_score") >= THRESHOLDS["junk_score"], "junk_candidate").when(F.col("junk_score") >= THRESHOLDS["suspicious_score"], "suspicious").otherwise("ok")
     rows = rows.withColumn("quality_class", kind)
     others = [c for c in pages.columns if c not in {*names(METRICS), "lines"}]
-    rows = rows.select(*others, *names(METRICS), "lines")
+    rows = observed(rows.select(*others, *names(METRICS), "lines"), counters, quality_counters())
     return compact(rows) if config.lines_format == "compact" else rows
 
 
@@ -134,9 +135,12 @@ def expand(compacted: DataFrame) -> DataFrame:
     return compacted.withColumn("lines", expanded(F.col("lines"), F.col("lines_schema"))).drop("lines_schema")
 
 
+def quality_counters() -> dict[str, Column]:
+    """Aggregates over analysed pages: pages in all and by class, lines that aren't blank."""
+    return {"total": F.count("*"), **{k: F.count_if(F.col("quality_class") == k) for k in ("ok", "suspicious", "junk_candidate")}, "lines": F.coalesce(F.sum("line_count"), F.lit(0))}
+
+
 def quality_stats(analysed: DataFrame) -> DataFrame:
-    """One row: pages in all and by class, lines that aren't blank in all and on average."""
-    return analysed.agg(
-        F.count("*").alias("total"), *[F.count_if(F.col("quality_class") == k).alias(k) for k in ("ok", "suspicious", "junk_candidate")],
-        F.coalesce(F.sum("line_count"), F.lit(0)).alias("lines"),
-    ).withColumn("avg_lines", F.when(F.col("total") > 0, F.bround(F.col("lines") / F.col("total"), 6)).otherwise(0.0))
+    """One row with quality_counters and the average lines of a page."""
+    made = analysed.agg(*[c.alias(k) for k, c in quality_counters().items()])
+    return made.withColumn("avg_lines", F.when(F.col("total") > 0, F.bround(F.col("lines") / F.col("total"), 6)).otherwise(0.0))

@@ -48,19 +48,22 @@ def _counted(config: ManifestConfig) -> dict[str, Column]:
     }
 
 
-def manifest_summary(rows: DataFrame, config: ManifestConfig = ManifestConfig(), lib_root: str = "", out: str = "") -> DataFrame:  # noqa: B008
-    """One row with the 44 keys of a run's summary, over a built manifest with its texts.
-
-    One pass over the rows: each counts for itself, for its size, for its size and content, and for its stem. These
-    groups are counted first (a frequent one is combined before the shuffle), then summed up. A text that can't be read
-    has no content; rows without a size are in no size group. Token counts are of words between white space, or those
-    of a column token_count_e5 if config.tokens_given.
-    """
-    flags = _counted(config)
+def summary_rows(rows: DataFrame, config: ManifestConfig = ManifestConfig()) -> DataFrame:  # noqa: B008
+    """rows of a built manifest with what the summary counts, and without their texts: a counter for each key, and `grains`, the groups a row counts in."""
+    flags = {k: F.coalesce(f, F.lit(False)).cast("bigint") for k, f in _counted(config).items()}
     grain = lambda name, key: F.struct(F.lit(name).alias("grain"), key.alias("key"))
     content = F.when(F.col("text").isNotNull() & F.col("size_bytes").isNotNull(), F.concat_ws(":", F.col("size_bytes").cast("string"), F.sha1(F.col("text").cast("binary"))))
     grains = F.array(grain("row", F.lit("")), grain("size", F.col("size_bytes").cast("string")), grain("content", content), grain("stem", identity.stem(F.col("txt_rel"))))
-    slim = rows.select(grains.alias("grains"), *[F.coalesce(f, F.lit(False)).cast("bigint").alias(k) for k, f in flags.items()])
+    return rows.withColumns({**flags, "grains": grains}).drop("text")
+
+
+def summary_of(slim: DataFrame, config: ManifestConfig = ManifestConfig(), lib_root: str = "", out: str = "") -> DataFrame:  # noqa: B008
+    """One row with the 44 keys, from summary_rows.
+
+    Each row counts for itself, for its size, for its size and content, and for its stem. These groups are counted
+    first (a frequent one is combined before the shuffle), then summed up: one pass and two levels for all.
+    """
+    flags = list(_counted(config))
     each = slim.select(F.explode("grains").alias("g"), *flags).where("g.key is not null").select("g.*", *flags)
     own = F.col("grain") == "row"
     groups = each.groupBy("grain", "key").agg(F.count("*").alias("n"), *[F.sum(F.when(own, F.col(k))).alias(k) for k in flags])
@@ -76,16 +79,19 @@ def manifest_summary(rows: DataFrame, config: ManifestConfig = ManifestConfig(),
     return made.select(*[F.lit(v).alias(k) for k, v in about.items()], *made.columns, *[F.lit(v).cast("bigint").alias(k) for k, v in limits.items()])
 
 
-def clock(seconds: float) -> str:
-    """HH:MM:SS."""
-    s = max(0, int(seconds))
-    return f"{s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d}"
+def manifest_summary(rows: DataFrame, config: ManifestConfig = ManifestConfig(), lib_root: str = "", out: str = "") -> DataFrame:  # noqa: B008
+    """One row with the 44 keys of a run's summary, over a built manifest with its texts.
 
+    A text that can't be read has no content; rows without a size are in no size group. Token counts are of words
+    between white space, or those of a column token_count_e5 if config.tokens_given.
+    """
+    return summary_of(summary_rows(rows, config), config, lib_root, out)
 
-def summary_text(title: str, row: dict) -> str:
-    """A one-row aggregate as lines `name: value` under a title."""
-    shown = {k: f"{v:.6f}" if isinstance(v, float) else v for k, v in row.items()}
-    return "\n".join([title, "=" * len(title), "", *(f"{k}: {v}" for k, v in shown.items()), ""])
+
+def clock(seconds: float) -> str:
+    """HH:MM:SS, to the nearest second."""
+    s = max(0, round(seconds))
+    return f"{s // 3600:02d}:{s // 60 % 60:02d}:{s % 60:02d}"
 
 
 def duplicate_lines(members: DataFrame) -> DataFrame:
@@ -105,7 +111,3 @@ def debug_lines(rows: DataFrame) -> DataFrame:
         return rows.select("txt_rel", F.explode_outer(hits).alias("h")).where("h is not null").select(F.format_string(f"{name} | %s | %s | %d", "txt_rel", "h.value", "h.pos_from_start").alias("value"))
 
     return of("UDK", "udc_hits").unionByName(of("BBK", "bbk_hits"))
-
-
-def share(part: Column, whole: Column) -> Column:
-    return F.when(whole > 0, F.bround(part / whole, 6)).otherwise(0.0)

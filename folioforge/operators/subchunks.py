@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import SplitConfig
 from ..functions.charclass import let, words
+from ..functions.observing import observed
 
 
 def part_count(n: Column, config: SplitConfig) -> Column:
@@ -24,6 +25,10 @@ def balanced_ranges(n: Column, parts: Column) -> Column:
 
 def subchunks(text: Column, config: SplitConfig) -> Column:
     """The parts' texts: words joined by single spaces, each part after the first with the words before it."""
+    return parts(words(text), config)
+
+
+def parts(words: Column, config: SplitConfig) -> Column:
 
     def cut(ws: Column) -> Column:
         n = F.size(ws)
@@ -37,37 +42,35 @@ def subchunks(text: Column, config: SplitConfig) -> Column:
 
         return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.transform(ranges, part))
 
-    return let(words(text), cut)
+    return let(words, cut)
 
 
-def split_pages(pages: DataFrame, config: SplitConfig = SplitConfig()) -> DataFrame:  # noqa: B008
-    """The final chunks: chunk_id, doc_id, text, page_start, year, txt_rel. A page without words has none."""
-    cut = pages.select("doc_id", "page_start", "year", "txt_rel", subchunks(F.col("text"), config).alias("parts"))
-    each = cut.select("doc_id", "page_start", "year", "txt_rel", F.size("parts").alias("k"), F.posexplode_outer("parts").alias("i", "text")).where("i is not null")
+def split_pages(pages: DataFrame, config: SplitConfig = SplitConfig(), counters: Observation | None = None) -> DataFrame:  # noqa: B008
+    """The final chunks: chunk_id, doc_id, text, page_start, year, txt_rel. A page without words has none. `counters` get the figures of split_stats."""
+    kept = ["doc_id", "page_start", "year", "txt_rel"]
+    cut = pages.select(*kept, words(F.col("text")).alias("words")).select(*kept, F.size("words").alias("n"), parts(F.col("words"), config).alias("parts"))
+    cut = observed(cut.withColumn("k", F.size("parts")), counters, split_counters(config))
+    each = cut.select(*kept, "k", F.posexplode_outer("parts").alias("i", "text")).where("i is not null")
     key = F.format_string("%s::p%05d::w%02dof%02d", "doc_id", "page_start", F.col("i") + 1, "k")
     return each.select(key.alias("chunk_id"), "doc_id", "text", "page_start", "year", "txt_rel")
 
 
-def split_stats(pages: DataFrame, config: SplitConfig = SplitConfig()) -> DataFrame:  # noqa: B008
-    """One row: pages in, parts out, pages kept whole, split and empty, most parts, average words of a page and of a part."""
-    n = F.size(words(F.col("text")))
-    k = part_count(F.col("n"), config)
-    counted = pages.select(n.alias("n")).withColumn("k", k)
+def split_counters(config: SplitConfig) -> dict[str, Column]:
+    """Aggregates over pages with their words' number n and their parts' number k."""
+    n, k = F.coalesce("n", F.lit(0)), F.col("k")
     # the overlaps of a page add overlap_words for each part but the first, as parts are never shorter than that unless cut so
-    base = F.floor(F.col("n") / F.greatest("k", F.lit(1)))
-    more = F.col("n") % F.greatest("k", F.lit(1))
-    shorter = F.greatest(F.lit(0), F.col("k") - 1 - F.least(more, F.col("k") - 1))
-    overlap = F.least(more, F.greatest(F.col("k") - 1, F.lit(0))) * F.least(F.lit(config.overlap_words), base + 1) + shorter * F.least(F.lit(config.overlap_words), base)
-    return counted.agg(
-        F.count("*").alias("pages_in"),
-        F.coalesce(F.sum("k"), F.lit(0)).alias("chunks_out"),
-        F.count_if(F.col("k") == 1).alias("pages_single"),
-        F.count_if(F.col("k") > 1).alias("pages_split"),
-        F.coalesce(F.max("k"), F.lit(0)).alias("max_parts"),
-        F.count_if(F.col("k") == 0).alias("pages_empty"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("words_in"),
-        F.coalesce(F.sum(F.col("n") + overlap), F.lit(0)).alias("words_out"),
-    ).withColumns({
+    base, more = F.floor(n / F.greatest(k, F.lit(1))), n % F.greatest(k, F.lit(1))
+    after = F.greatest(k - 1, F.lit(0))
+    longer = F.least(more, after)
+    overlap = longer * F.least(F.lit(config.overlap_words), base + 1) + (after - longer) * F.least(F.lit(config.overlap_words), base)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return {"pages_in": F.count("*"), "chunks_out": total(k), "pages_single": F.count_if(k == 1), "pages_split": F.count_if(k > 1), "max_parts": F.coalesce(F.max(k), F.lit(0)), "pages_empty": F.count_if(k == 0), "words_in": total(n), "words_out": total(n + overlap)}
+
+
+def split_stats(pages: DataFrame, config: SplitConfig = SplitConfig()) -> DataFrame:  # noqa: B008
+    """One row: pages in, parts out, pages kept whole, split and empty, most parts, words in and out, average words of a page and of a part."""
+    counted = pages.select(F.size(words(F.col("text"))).alias("n")).withColumn("k", part_count(F.col("n"), config))
+    return counted.agg(*[c.alias(k) for k, c in split_counters(config).items()]).withColumns({
         "avg_words_in": F.when(F.col("pages_in") > 0, F.bround(F.col("words_in") / F.col("pages_in"), 6)).otherwise(0.0),
         "avg_words_out": F.when(F.col("chunks_out") > 0, F.bround(F.col("words_out") / F.col("chunks_out"), 6)).otherwise(0.0),
     })

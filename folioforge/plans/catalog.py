@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cleaning, codes, duplicates, identity, names, pages, quality, reports, sizes, subchunks
+from ..operators import cleaning, codes, duplicates, identity, names, pages, quality, reports, sizes, subchunks, text_reports
 from . import fixtures, manifest, pipeline
 from .oracles import ORACLES as ORACLES
 
@@ -333,6 +333,21 @@ def manifest_summary(spark, d):
     return reports.manifest_summary(manifest.build(fixtures.library(spark, d).drop("id", "name")), lib_root="/lib", out="/lib/manifest.jsonl")
 
 
+@query
+def parse_modes(spark, d):
+    """How often each rule gave a name its fields, and each kind of source occurs."""
+    rows = fixtures.library(spark, d).select("txt_rel", "name")
+    return reports.frequencies(names.parse_names(rows, "name").withColumn("src_kind", identity.src_kind(F.col("txt_rel"))), "parse_mode", "src_kind")
+
+
+@query
+def duplicates_text(spark, d):
+    """The report on equal files, line by line, with the places that order it."""
+    rel = F.col("txt_rel")
+    rows = fixtures.files(spark, d).withColumns({"doc_id": identity.doc_id(rel), "sid": identity.doc_id(rel), "uid": identity.uid(rel)})
+    return text_reports.duplicates_report(duplicates.same_size_same_content(duplicates.same_size(rows), "text"))
+
+
 @query
 def line_alignment(spark, d):
     """Which entry each line of a page gets: entries under every column name, in place, by number (some twice), by place among filled lines, or unusable."""

@@ -249,6 +249,7 @@ ORACLES: dict[str, str] = {
     "clean_summary": with_(*_C, f"c AS (SELECT *, {strip('after')} = '' AS e FROM cleaned_mutated), t AS (SELECT * FROM tab_mutated WHERE doc_id % 7 = 0)")
     + "SELECT count(*) AS pages_in, count(*) FILTER (NOT e) AS pages_out, count(*) FILTER (e) AS pages_empty, count(*) FILTER (before <> after) AS pages_changed, count(*) FILTER (before <> after AND clean_mode = 'tab') AS tab_changed, sum(length(before))::BIGINT AS chars_in, sum(length(after))::BIGINT AS chars_out, "
     + ", ".join(f"count(*) FILTER (clean_mode = '{m}') AS pages_{m}" for m in ("tab", "ok", "suspicious", "junk_candidate"))
+    + ", (SELECT count(*) FROM decisions_mutated WHERE reason = 'tech_whitelist') AS lines_whitelist, " + ", ".join(f"(SELECT count(*) FROM decisions_mutated WHERE quality_class = '{m}'{f}) AS {m.split('_')[0]}_lines_{k}" for m in ("ok", "suspicious", "junk_candidate") for k, f in (("in", ""), ("out", " AND action <> 'drop'"), ("removed", " AND action = 'drop'")))
     + ", (SELECT count(*) FROM decisions_mutated) AS lines_in, " + ", ".join(f"(SELECT count(*) FROM decisions_mutated WHERE action = '{a}') AS lines_{a}" for a in ("keep", "normalize", "drop")) + ", "
     + ", ".join(f"(SELECT count(*) FROM decisions_mutated WHERE reason = '{r}') AS drop_{r}" for r in ("empty_after_normalize", "too_short", "short_no_letters", "duplicate_short_line", "single_char_ocr_noise", "non_letter_line", "table_like_line", "heavy_numeric")) + ", "
     + ", ".join(f"(SELECT sum({x})::BIGINT FROM t) AS tab_{x}" for x in ("lines_in", "lines_out", "table_lines", "text_lines", "tokens_seen", "tokens_kept", "numeric_removed", "mixed_removed", "latin_removed", "other_removed", "lines_removed"))
@@ -310,3 +311,9 @@ ORACLES["line_alignment"] = with_(
     # the second way has one entry more than there are filled lines: with one blank line on the page it fits by place, backwards
     "placed AS (SELECT c.*, CASE WHEN way = 1 AND n > 0 AND n + 1 = lines THEN CASE WHEN no = lines THEN 1 ELSE n + 1 - no END WHEN way <> 3 AND filled THEN place END AS source, way = 1 AND n > 0 AND (CASE WHEN n + 1 = lines THEN no = lines ELSE place = 1 AND filled END) AS again FROM counted c)",
 ) + "SELECT p.doc_id, p.no - 1 AS i, CASE WHEN p.way = 4 THEN p.no * 10 WHEN again THEN -1 ELSE f.no * 10 END AS mark, CASE WHEN p.way = 4 THEN length(p.s) ELSE length(f.s) END AS tokens FROM placed p LEFT JOIN counted f ON f.doc_id = p.doc_id AND f.filled AND f.place = p.source"
+ORACLES["parse_modes"] = with_(DOCS, CODED, _LIBRARY) + "SELECT 'parse_mode' AS name, parse_mode AS value, count(*) AS n FROM lib GROUP BY 2 UNION ALL SELECT 'src_kind', src_kind, count(*) FROM lib GROUP BY 2"
+_TITLE = "make_manifest same-size same-content report"
+ORACLES["duplicates_text"] = with_(DOCS, FILES, _GROUPS, f"top AS (SELECT unnest(['{_TITLE}', '{'=' * len(_TITLE)}', '', 'group_count: ' || count(DISTINCT rg), 'file_count: ' || count(*), '']) AS value, unnest(range(6)) AS i FROM gg)") + (
+    "SELECT 0::BIGINT AS section, 0::BIGINT AS a, 0::BIGINT AS b, '' AS c, i, value FROM top UNION ALL SELECT 1, rg, 0, '', 0, '[GROUP ' || rg || '] size_group_no=' || sg || ' size_bytes=' || size_bytes || ' files=' || n || ' | content_sha1=' || h FROM gg WHERE k = 1 UNION ALL SELECT 1, rg, n + 1, '', 0, '' FROM gg WHERE k = 1 "
+    "UNION ALL SELECT 1, rg, k, '', 0, '  - #' || k || ' | size_group_no=' || sg || ' | size_bytes=' || size_bytes || ' | content_sha1=' || h || ' | doc_id=' || substr(sha1(txt_rel), 1, 16) || ' | sid=' || substr(sha1(txt_rel), 1, 16) || ' | txt_abs=' || txt_abs FROM gg"
+)

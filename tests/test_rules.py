@@ -205,7 +205,7 @@ def test_report_text(spark):
 
 
 def test_clock():
-    assert reports.clock(3661.9) == "01:01:01"
+    assert reports.clock(3661.4) == "01:01:01" and reports.clock(3661.9) == "01:01:02"
 
 
 def test_empty_tables(spark):
@@ -215,12 +215,11 @@ def test_empty_tables(spark):
     assert ANALYSED
 
 
-@pytest.mark.parametrize("one_task", [1_000_000, 0])
-def test_duplicates_of_a_large_group(spark, monkeypatch, one_task):
+@pytest.mark.parametrize("sampled", [0, 20, 256])
+def test_duplicates_of_a_large_group(spark, monkeypatch, sampled):
     from folioforge.operators import duplicates
 
-    monkeypatch.setattr(duplicates, "ONE_TASK", one_task)
-    monkeypatch.setattr(duplicates, "SAMPLED", 20)
+    monkeypatch.setattr(duplicates, "SAMPLED", sampled)
     rng = random.Random(2)
     data = [(f"d/{rng.randrange(10**6)}X{i}", rng.choice(["aa", "bb", "cc", "ddd", "eeee" + str(i)])) for i in range(200)]
     rows = spark.createDataFrame([(r, "/" + r, len(c), c, "i", "s", "u") for r, c in data], "txt_rel string, txt_abs string, size_bytes long, content string, doc_id string, sid string, uid string").repartition(5)
