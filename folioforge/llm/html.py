@@ -12,11 +12,14 @@ comes from what is aligned:
   from the root down into the element that holds most of the varying text outside links, summed over the group's pages,
   as long as one does. Each page's content is what is aligned with that slot (and with headings right before it).
 - Names are only a prior: article and main elements count MAIN times, elements for menus, headers, footers, asides and
-  forms not at all. Elements whose class and id say just that (and hold neither article or main elements nor nearly all of the page) are
-  left out; where these say something else as well, only if the element recurs in most of the group's pages.
+  forms not at all (but a form that is nearly all of the page). Elements whose class and id say just that (and hold
+  neither article or main elements nor nearly all of the page) are left out; where these say something else as well,
+  only outside article and main elements, and only if the element recurs in most of the group's pages. In an article
+  its header is its own, and the id of a chapter is an anchor.
 
 A page without such a group, or that doesn't align with its slot, is judged by its own tree alone in the same way.
-Outside article and main elements, blocks that are mostly links go too.
+Outside article and main elements, blocks that are mostly links go too, but for paragraphs. Headings in an article stay,
+even if all pages have them ("Conclusion").
 
 The text is the blocks' text in page order, one line each: character references decoded, white space as single
 spaces. A null or empty page has empty text. Pages without a host form groups like any others; equal pages are extracted
@@ -67,6 +70,9 @@ LEFT_OUT = {"nav", "footer", "aside", "form", "menu", "dialog", "search", "head"
 HOLDERS = {"#", "html", "body", "div", "section", "center", "article", "main"}
 TABLES = {"table", "tbody", "tr", "td"}
 HEADINGS = {"h1", "h2", "h3", "hgroup"}
+TITLES = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements whose id in an article is a chapter's anchor, and words that name an article's own head there.
+CHAPTERS, OWN_HEAD = {"section", "p", *TITLES}, {"header", "masthead"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 ROLE = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 ASIDE = set(
@@ -90,9 +96,10 @@ class Node:
         self.tag, self.kind, self.out, self.named, self.main, self.children = tag, kind, out, named, main, []
 
 
-def named(names: str) -> int:
-    """What a class and id say: 2 that the element is none of the article, 1 that and something else, 0 neither."""
+def named(names: str, inside: bool = False) -> int:
+    """What a class and id say: 2 that the element is none of the article, 1 that and something else, 0 neither. `inside` an article its head is its own."""
     words = [x.lower() for x in _WORD.findall(names)]
+    words = [x for x in words if x not in OWN_HEAD] if inside else words
     if not ASIDE.intersection(words) or MODIFIED.intersection(words):
         return 0
     return 2 if all(x in ASIDE or x in PLAIN for x in words) else 1
@@ -178,7 +185,8 @@ def parse(page: str) -> Node:
                 main = main or role in ("main", "article")
                 out = out or role in ROLE
                 hidden = "hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", a.get("style", ""), re.I))
-                own = 0 if main or tag in ("body", "html") else named(f"{a.get('class', '')} {a.get('id', '')}")
+                anchor = "" if up_main and tag in CHAPTERS else a.get("id", "")
+                own = 0 if main or tag in ("body", "html") else named(f"{a.get('class', '')} {anchor}", up_main)
             out = out or tag == "header" and not up_main
             node = up
             if len(stack) < DEEP:
@@ -352,7 +360,7 @@ class Page:
         """Of each element the characters outside links that aren't template or left out, and whether it is left out."""
         self.mass, self.out, self.holds_main, self.all = {}, {}, {}, {}
         self._measure(self.tree)
-        self._weigh(self.tree, False)
+        self._weigh(self.tree, False, False)
 
     def _measure(self, node: Node) -> tuple[int, bool]:
         n, main = 0, node.main
@@ -365,17 +373,19 @@ class Page:
         self.all[id(node)], self.holds_main[id(node)] = n, main
         return n, main
 
-    def _weigh(self, node: Node, out: bool) -> float:
+    def _weigh(self, node: Node, out: bool, main: bool) -> float:
+        share = self.all[id(node)] / max(1, self.all[id(self.tree)])
         if not out and node.out:
-            out = node.out == 2 or not self.holds_main[id(node)]
+            out = node.out == 2 or not self.holds_main[id(node)] and not (node.tag == "form" and share >= THE_PAGE)
         elif not out and node.named and not self.holds_main[id(node)]:
-            share = self.all[id(node)] / max(1, self.all[id(self.tree)])
-            out = share < THE_PAGE if node.named == 2 else 2 * share <= 1 and id(node) in self.recurs
+            # in an article elements recur because articles are alike
+            out = share < THE_PAGE if node.named == 2 else not main and 2 * share <= 1 and id(node) in self.recurs
+        main = main or node.main
         self.out[id(node)] = out
         n = 0.0
         for c in node.children:
             if type(c) is Node:
-                n += self._weigh(c, out)
+                n += self._weigh(c, out, main)
             elif not out and not c[2] and id(c) not in self.constant:
                 n += len(c[0]) * (1 - c[1])
         self.mass[id(node)] = n
@@ -393,7 +403,7 @@ class Page:
         for c in node.children:
             if type(c) is Node:
                 self._keep(c, main or c.main, found)
-            elif not c[2] and id(c) not in self.constant and (main or c[1] <= 0.5):
+            elif not c[2] and (id(c) not in self.constant or main and node.tag in TITLES) and (main or c[1] <= 0.5 or node.tag == "p"):
                 found.append(c[0])
 
 

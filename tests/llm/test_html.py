@@ -135,8 +135,9 @@ def test_names_are_only_a_prior(page, want):
 
 
 def test_ambiguous_names_need_a_recurring_slot():
+    """Outside an article, where the same elements on all pages are the template's; in one they are articles' own parts."""
     rng = random.Random(3)
-    page = '<article><h1>%s</h1><p>%s</p><p>%s</p>%s</article>'
+    page = '<div><h1>%s</h1><p>%s</p><p>%s</p>%s</div>'
     rows = [(words(rng, 4), words(rng, 60), words(rng, 50)) for _ in range(10)]
     every = [page % (*r, f'<div class="social bloom">{words(rng, 5)}</div>') for r in rows]
     assert html.extract(every) == ["\n".join(r) for r in rows]
@@ -155,3 +156,39 @@ def test_equal_pages_are_in_no_single_task(spark, monkeypatch):
     rows_got = got.collect()
     assert len(rows_got) == 940 and all(r.text == ("" if r.page_id is None else texts[0 if r.page_id % 3 else r.page_id % 20]) for r in rows_got)
     assert len({r.text for r in rows_got}) == 21
+
+
+TITLE = "A title of page %d"
+KEPT = {
+    "header of the entry": f'<header class="entry-header"><h1>{TITLE}</h1></header>', "div of the entry": f'<div class="entry-header"><h1>{TITLE}</h1></div>', "article's banner": f'<div class="article-banner"><h1>{TITLE}</h1></div>',
+    "header of the post": f'<header class="post-header"><h1>{TITLE}</h1></header>', "div of the post": f'<div class="post-header"><h1>{TITLE}</h1></div>', "a price": f'<div class="share-price"><p>{TITLE}</p></div>',
+    "a chapter": f'<section id="navigation"><h2>Navigation</h2><p>{TITLE}</p></section>', "a heading that all pages have": "<h2>Conclusion</h2>",
+}
+AROUND = '<html><body><header class="site"><a href="/">Home of the site</a></header><nav><ul><li><a href=a>News</a><li><a href=b>Sport</a></ul></nav>%s<aside class="sidebar">Some other news %d</aside><footer>All rights reserved</footer></body></html>'
+
+
+def shown(part: str, i: int) -> str:
+    return part % i if "%d" in part else part
+
+
+@pytest.mark.parametrize("induced", [True, False])
+@pytest.mark.parametrize("case", KEPT)
+def test_what_stands_in_an_article_is_content(case, induced):
+    pages = [AROUND % (f"<article>{shown(KEPT[case], i)}<p>Words of page {i} that go on for a while, number {i * i}.</p><p>More of {i}.</p></article>", i) for i in range(8)]
+    want = "Conclusion" if "Conclusion" in KEPT[case] else "A title of page"
+    for i, text in enumerate(html.extract(pages, induced)):
+        assert want in text and f"Words of page {i}" in text and "News" not in text and "Home" not in text and "reserved" not in text
+
+
+@pytest.mark.parametrize("induced", [True, False])
+def test_page_in_one_form_and_paragraphs_of_one_link(induced):
+    body = [f"<div class=content><h1>Title {i}</h1><p>Words of page {i} that go on for a while.</p><p><a href=x>A linked paragraph {i}</a></p><p>Last words of {i}, and some more of them.</p></div>" for i in range(8)]
+    for wrap in ("<form id=aspnetForm action=.>%s</form>", "%s"):
+        for i, text in enumerate(html.extract([wrap % (AROUND % (b, i)) for i, b in enumerate(body)], induced)):
+            assert text.split("\n") == [f"Title {i}", f"Words of page {i} that go on for a while.", f"A linked paragraph {i}", f"Last words of {i}, and some more of them."]
+
+
+def test_notices_and_comments_in_an_article_go():
+    parts = '<div class="share">Share this page</div><div class="ad">Buy now %d</div><div id="comments"><p>A reader says %d</p></div><form><p>Your name</p></form>'
+    for i, text in enumerate(html.extract([AROUND % (f"<article><h1>Title {i}</h1><p>Words of page {i} that go on.</p>{parts % (i, i)}</article>", i) for i in range(8)])):
+        assert text == f"Title {i}\nWords of page {i} that go on."
