@@ -5,7 +5,7 @@ lines; the dots of "v. 2" and of "Inc." within a sentence end none. Each is
 normalised: lower case, runs of anything but letters and digits (also line breaks and comment marks) as one space. A
 normalised sentence of a known licence notice maps to its identifier. If a sentence isn't known, the text before it may
 lack a full stop: then it's also looked up from each line in it that begins with a capital, up to the next such lines
-(RUNS of them). The identifiers of a text, in order, are matched against ordered licence rules, each a sequence of
+(as many as the longest known sentence has words). In SPDX lines a + behind a GPL's version says "or later". The identifiers of a text, in order, are matched against ordered licence rules, each a sequence of
 identifiers with nothing known between them; what a rule has matched counts for no later one.
 
 A null or empty text has no sentences and no licences. Repeated notices are counted once.
@@ -20,9 +20,6 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Stretches of lines, each beginning with a capital, that a known sentence after an unfinished one may be wrapped into.
-RUNS = 4
-
 #: Sentences of published licence notices, by identifier.
 NOTICES = {
     "apache-2-notice": 'Licensed under the Apache License, Version 2.0 (the "License");',
@@ -111,6 +108,8 @@ NAMES = {
 OPENING, OPENED = r"^(?:this (?:work|project|software|program|file) is )?(?:licensed|released|distributed) under (?:the |a )?", "licensed under "
 #: Whose name may not be used differs from notice to notice.
 OWNER, OWNED = r"^neither the name of .* nor the names of its contributors", "neither the name of the copyright holder nor the names of its contributors"
+#: Words that a sentence may have more than in its normalised form: openings, and an owner's name.
+OPENED_MORE = 12
 #: Licence rules over notices, in order; the longer ones stand before those whose sentences they hold.
 RULES = [
     ("Apache-2.0", ["apache-2-notice", "apache-comply"]),
@@ -140,8 +139,10 @@ RULES = [
     *((name, [f"line-{name}"]) for name in NAMES),
 ]
 #: Of these each known sentence has one; texts without any have none.
-HINTS = ["licen", "software", "permission", "redistribution", "acknowledgement", "warrant", "neighboring", "reserved", "domain", "accompanying", "distributed"]
+HINTS = ["licen", "software", "permission", "redistribution", "acknowledgement", "warrant", "neighboring", "reserved", "domain", "accompanying", "distributed", "released"]
 _DOT, _LINE = r"\b([vV])\.(?=[ \t\n\x0b\f\r]*\d)|\b(Inc|Ltd|Corp|Co)\.(?=[ \t\n\x0b\f\r]+[a-z])", r"(SPDX-License-Identifier:[^\r\n]*)"
+#: In SPDX lines: a version or a later one.
+_LATER, LATER = r"\b((?:A|L)?GPL-\d\.\d)\+", "$1-or-later"
 _CUT = r"(?<=[.!?;:])[ \t\n\x0b\f\r]+|\n[^\p{L}\p{N}\n]*\n[^\p{L}\p{N}]*"
 _CAPITAL = r"[\r\n]+(?=[^\p{L}\p{N}\r\n]*\p{Lu})"
 
@@ -171,16 +172,20 @@ def sentence_ids(text: Column) -> Column:
     begins = rf"(?:^|[\r\n])[^\p{{L}}\p{{N}}]*+(?i:{heads})(?![\p{{L}}\p{{N}}])"
     at = F.str_to_map(F.lit("|".join(f"{s}={i}" for s, i in sorted(table.items()))), F.lit("\\|"), F.lit("="))  # folded once
     look = lambda s: F.try_element_at(at, normalised(s))
+    most = max(len(s.split(" ")) for s in table) + OPENED_MORE
     whole = F.coalesce(text, F.lit(""))
     has = lambda x, words: functools.reduce(lambda p, q: p | q, [x.contains(w) for w in words])
     dotted = F.when(has(whole, ["v.", "V.", "Inc.", "Ltd.", "Corp.", "Co."]), F.regexp_replace(whole, _DOT, "$1$2")).otherwise(whole)
-    lined = F.when(whole.contains("SPDX"), F.regexp_replace(dotted, _LINE, "$1\n\n")).otherwise(dotted)
+    lined = F.when(whole.contains("SPDX"), F.regexp_replace(F.regexp_replace(dotted, _LATER, LATER), _LINE, "$1\n\n")).otherwise(dotted)
     sentences = F.filter(F.split(lined, _CUT), lambda s: s.rlike(begins))
 
     def lines(s: Column) -> Column:
         parts = F.split(s, _CAPITAL)
         run = lambda i, k: F.array_join(F.slice(parts, i + 1, k), " ")
-        return F.filter(F.transform(parts, lambda p, i: F.when(p.rlike(begins), F.coalesce(*[look(run(i, k)) for k in range(1, RUNS + 1)]))), lambda x: x.isNotNull())
+        # every line has a word or more, so a known sentence is wrapped into no more lines than it has words
+        counts = lambda i: F.sequence(F.lit(1), F.least(F.size(parts) - i, F.lit(most)))
+        first = lambda i: F.get(F.filter(F.transform(counts(i), lambda k: look(run(i, k))), lambda x: x.isNotNull()), 0)
+        return F.filter(F.transform(parts, lambda _, i: F.when(run(i, 2).rlike(begins), first(i))), lambda x: x.isNotNull())
 
     # each sentence's identifier is made once: transform binds it to a variable
     ids = F.flatten(F.transform(sentences, lambda s: F.transform(F.array(look(s)), lambda x: F.when(x.isNotNull(), F.array(x)).otherwise(lines(s)))[0]))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from . import urls
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -179,13 +181,15 @@ def licensed() -> str:
     whole = lambda x: f"regexp_replace(regexp_replace({plain(x)}, '{opening}', 'licensed under '), '^neither the name of .* nor the names of its contributors', 'neither the name of the copyright holder nor the names of its contributors')"
     numbered = rf"regexp_replace(regexp_replace(coalesce(text, ''), '\b([vV])\.({space}*\d)', '\1\2', 'g'), '\b(Inc|Ltd|Corp|Co)\.({space}+[a-z])', '\1\2', 'g')"
     numbered = rf"regexp_replace({numbered}, '(SPDX-License-Identifier:[^\r\n]*)', '\1' || chr(10) || chr(10), 'g')"
+    numbered = rf"CASE WHEN contains(coalesce(text, ''), 'SPDX') THEN regexp_replace({numbered}, '\b((A|L)?GPL-\d\.\d)\+', '\1-or-later', 'g') ELSE {numbered} END"
+    most = max(len(re.findall(r"[^\W_]+", s)) for _, s in sentences) + 12
     cut = rf"regexp_replace(regexp_replace({numbered}, '([.!?;:]){space}+', '\1' || chr(1), 'g'), '\n[^\p{{L}}\p{{N}}\n\x01]*\n[^\p{{L}}\p{{N}}\x01]*', chr(1), 'g')"
     values = ", ".join(f"('{i}', '{quote(s)}')" for i, s in sentences)
     return rf"""WITH raw(id, s) AS (VALUES {values}), known AS (SELECT DISTINCT id, {whole('s')} AS s FROM raw),
 cut AS (SELECT doc_id, unnest(string_split({cut}, chr(1))) AS s, generate_subscripts(string_split({cut}, chr(1)), 1) AS i FROM documents),
 complete AS (SELECT c.doc_id, c.i, 0 AS j, k.id FROM cut c JOIN known k ON {whole('c.s')} = k.s),
 lines AS (SELECT doc_id, i, string_split(regexp_replace(s, '[\r\n]+([^\p{{L}}\p{{N}}\r\n]*\p{{Lu}})', chr(2) || '\1', 'g'), chr(2)) AS p FROM cut c WHERE NOT EXISTS (SELECT 1 FROM complete f WHERE f.doc_id = c.doc_id AND f.i = c.i)),
-runs AS (SELECT doc_id, i, j, k, {whole("array_to_string(p[j : j + k - 1], ' ')")} AS s FROM (SELECT doc_id, i, p, unnest(range(1, len(p) + 1)) AS j FROM lines) CROSS JOIN (VALUES (1), (2), (3), (4)) AS v(k)),
+runs AS (SELECT doc_id, i, j, k, {whole("array_to_string(p[j : j + k - 1], ' ')")} AS s FROM (SELECT doc_id, i, p, j, unnest(range(1, least(len(p) - j + 1, {most}) + 1)) AS k FROM (SELECT doc_id, i, p, unnest(range(1, len(p) + 1)) AS j FROM lines))),
 partial AS (SELECT doc_id, i, j, arg_min(id, k) AS id FROM runs r JOIN known USING (s) GROUP BY 1, 2, 3),
 every AS (SELECT doc_id, list(id ORDER BY i, j) AS e FROM (SELECT * FROM complete UNION ALL SELECT * FROM partial) GROUP BY 1),
 ids AS (SELECT doc_id, list_filter(e, lambda x, i: NOT starts_with(x, 'name-') OR coalesce(i > 1 AND e[i - 1] = 'spdx', false)) AS ids FROM every),

@@ -1,8 +1,9 @@
 """Licences from their published notices, word for word, as files wrap and mark them."""
 
+import duckdb
 import pytest
 
-from folioforge.llm import licenses
+from folioforge.llm import licenses, oracles
 
 APACHE = """Copyright 2024 Some Body
 
@@ -163,3 +164,26 @@ def test_sql_agrees_on_notices(table):
 
 def test_every_known_sentence_has_a_hint():
     assert [s for s, i in licenses.known().items() if not i.startswith("name-") and not any(h in s for h in licenses.HINTS)] == []
+
+
+def test_every_raw_opening_has_a_hint():
+    """Texts are sought for hints as they are, so each way to begin a notice needs one, not only the normalised one."""
+    for opening in ("Licensed", "Released", "Distributed", "This work is licensed", "This program is released", "This file is distributed"):
+        assert any(h in f"{opening} under MIT.".lower() for h in licenses.HINTS), opening
+
+
+SHORT = [
+    ("Released under MIT.", "MIT"), ("Released under 0BSD.", "0BSD"), ("Released under the ISC License.", "ISC"), ("This work is released under CC BY 4.0.", "CC-BY-4.0"), ("Distributed under Zlib.", "Zlib"),
+    ("SPDX-License-Identifier: GPL-2.0+\n", "GPL-2.0-or-later"), ("// SPDX-License-Identifier: LGPL-2.1+\nint x;", "LGPL-2.1-or-later"), ("SPDX-License-Identifier: GPL-2.0\n", "GPL-2.0-only"), ("about C++ and GPL-2.0+ in general", ""),
+    ("An unfinished line\n" + "\n".join("Licensed Under The Apache License Version 2.0".split(" ")), "Apache-2.0"),
+]
+
+
+@pytest.mark.parametrize("text, want", SHORT)
+def test_short_notices_by_operator_and_sql(spark, text, want):
+    """Also a notice wrapped into more lines than a few, each of which begins with a capital."""
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert ",".join(licenses.scan(df).first()["licenses"]) == want
+    c = duckdb.connect()
+    c.execute("CREATE TABLE documents AS SELECT 1::BIGINT AS doc_id, ? AS text", [text])
+    assert c.execute(f"SELECT licenses FROM ({oracles.licensed()})").fetchone()[0] == want
