@@ -61,10 +61,13 @@ def temporary() -> Iterator[None]:
 
 
 class Scratch:
-    """Parquet tables in the shared folder: a step written once is read back with no lineage behind it."""
+    """Parquet tables in the shared folder: a step written once is read back with no lineage behind it.
 
-    def __init__(self, spark: SparkSession) -> None:
-        self.spark = spark
+    `group`: bytes of a row group, which tasks hold while they write or read one (Parquet's default: 128 MB).
+    """
+
+    def __init__(self, spark: SparkSession, group: int | None = None) -> None:
+        self.spark, self.group = spark, group
         self.root = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
         self.made = 0
         if _scopes:
@@ -73,7 +76,8 @@ class Scratch:
     def write(self, df: DataFrame) -> DataFrame:
         self.made += 1
         path = f"{self.root}/{self.made:04d}"
-        df.write.parquet(path)
+        writer = df.write if self.group is None else df.write.option("parquet.block.size", self.group)
+        writer.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *dfs: DataFrame) -> None:
