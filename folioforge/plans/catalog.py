@@ -333,6 +333,13 @@ def manifest_summary(spark, d):
     return reports.manifest_summary(manifest.build(fixtures.library(spark, d).drop("id", "name")), lib_root="/lib", out="/lib/manifest.jsonl")
 
 
+@query
+def library_pages(spark, d):
+    """Pages of books with real names, each with its own number."""
+    rows = pages.chunk_pages(manifest.build(fixtures.library_books(spark, d).drop("book")))
+    return rows.select("chunk_id", "doc_id", "txt_rel", "src_kind", "page_start", "page_end", F.sha1(F.col("text").cast("binary")).alias("text"), "authors", "title", "year", "udc", "bbk", "size_bytes_txt")
+
+
 @query
 def parse_modes(spark, d):
     """How often each rule gave a name its fields, and each kind of source occurs."""

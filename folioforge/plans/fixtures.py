@@ -115,6 +115,13 @@ def library(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("txt_abs", F.concat(F.lit("/lib/"), "txt_rel"))
 
 
+def library_books(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Books of twenty pages under the library's names."""
+    named = library(spark, sf_dir).select("id", "txt_rel", "txt_abs")
+    rows = books(spark, sf_dir).join(named, F.col("book") == F.col("id")).drop("id")
+    return rows.withColumn("size_bytes", F.octet_length("text").cast("bigint"))
+
+
 def entry_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with line entries in one of the columns that may hold them, by id, put there in one of five ways.
 

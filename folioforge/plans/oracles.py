@@ -13,7 +13,6 @@ def _re2(java: str) -> str:
 
 SPACE, DIGIT, BREAK = map(_re2, (charclass.SPACE, charclass.DIGIT, charclass.LINE_BREAK))
 WORD = charclass.WORD
-MACROS = ""
 
 
 def n_of(s: str, inside: str) -> str:
@@ -317,3 +316,7 @@ ORACLES["duplicates_text"] = with_(DOCS, FILES, _GROUPS, f"top AS (SELECT unnest
     "SELECT 0::BIGINT AS section, 0::BIGINT AS a, 0::BIGINT AS b, '' AS c, i, value FROM top UNION ALL SELECT 1, rg, 0, '', 0, '[GROUP ' || rg || '] size_group_no=' || sg || ' size_bytes=' || size_bytes || ' files=' || n || ' | content_sha1=' || h FROM gg WHERE k = 1 UNION ALL SELECT 1, rg, n + 1, '', 0, '' FROM gg WHERE k = 1 "
     "UNION ALL SELECT 1, rg, k, '', 0, '  - #' || k || ' | size_group_no=' || sg || ' | size_bytes=' || size_bytes || ' | content_sha1=' || h || ' | doc_id=' || substr(sha1(txt_rel), 1, 16) || ' | sid=' || substr(sha1(txt_rel), 1, 16) || ' | txt_abs=' || txt_abs FROM gg"
 )
+ORACLES["library_pages"] = with_(DOCS, CODED, _LIBRARY, BOOKS, _PAGES) + (
+    "SELECT printf('%s::p%05d', substr(sha1(txt_rel), 1, 16), page_no) AS chunk_id, substr(sha1(txt_rel), 1, 16) AS doc_id, txt_rel, src_kind, page_no AS page_start, page_no AS page_end, sha1(pages.text) AS text, nullif(authors, '') AS authors, title, name_year AS year, NULL::VARCHAR AS udc, NULL::VARCHAR AS bbk, strlen(books.text)::BIGINT AS size_bytes_txt "
+    "FROM pages JOIN lib ON lib.id = pages.book JOIN books ON books.book = pages.book WHERE length(pages.text) >= 20"
+)

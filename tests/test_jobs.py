@@ -70,9 +70,9 @@ def test_ingest_takes_what_is_new(spark, tmp_path, caplog):
 
 def test_ingest_of_one_file_at_a_time(spark, tmp_path):
     docs = spark.read.parquet(f"{DIR}/documents.parquet")
-    docs.repartition(4).write.parquet(str(tmp_path / "in"))
+    docs.repartition(2).write.parquet(str(tmp_path / "in"))
     runs = ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark"), CONFIG | {"files_per_batch": 1})
-    assert len(runs) == 4 and chunks(spark, str(tmp_path / "out")) == whole(spark, docs)
+    assert len(runs) == 2 and chunks(spark, str(tmp_path / "out")) == whole(spark, docs)
 
 
 def test_batch_that_runs_again(spark, tmp_path):

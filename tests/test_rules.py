@@ -233,3 +233,14 @@ def test_duplicates_of_a_large_group(spark, monkeypatch, sampled):
     want = sorted((n + 1, shared.index(k[0]) + 1, i + 1, r) for n, k in enumerate(large) for i, r in enumerate(sorted(groups[k], key=str.lower)))
     got = sorted((r.report_group_no, r.size_group_no, r.group_index, r.txt_rel) for r in duplicates.same_size_same_content(rows).collect())
     assert got == want
+
+
+@pytest.mark.parametrize("values, zone, want", [
+    (["621.3"], "early", 1.0), (["621.3", "621.3"], "early", 1.0), (["621.3", "004.5"], "early", 0.895), (["621.3", "004.5", "621.3"], "late", 0.53), (["621.3"], "late", 0.6), ([], "not_found", 0.0),
+])
+def test_weight_of_a_code(spark, values, zone, want):
+    """Base 0.85 or 0.45, a tenth of the mean likeness of all pairs (of 621.3 and 004.5: one character of five, 0.2), a twentieth of the chosen code's share; at most 1."""
+    selected = [(v, "", i, 0, "exact") for i, v in enumerate(values)]
+    schema = "c struct<value:string,zone:string,selected:array<struct<value:string,context:string,pos_from_start:int,pos_from_end:int,source_tag:string>>>"
+    df = spark.createDataFrame([((values[0] if values else "", zone, selected),)], schema)
+    assert df.select(codes.weight(F.col("c"), codes.udc_form)).first()[0] == want
