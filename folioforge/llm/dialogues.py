@@ -172,7 +172,8 @@ def segments(turns: DataFrame, most: int = SEGMENT) -> DataFrame:
     """
     copies = turns.withColumn("state", faults(F.col("role"), F.col("text"))).groupBy(*KEYS).agg(F.max("state").alias("state"), F.count("*").alias("n"))
     place = F.struct(F.col("turn").isNotNull(), F.col("turn"))
-    firsts = copies.where(F.col("state") != BLANK).groupBy("conv", "role", "digest").agg(F.min(place).alias("first"))
+    # n is always more than 0; it's asked for so that both uses of the copies read the same shuffle
+    firsts = copies.where((F.col("state") != BLANK) & (F.col("n") > 0)).groupBy("conv", "role", "digest").agg(F.min(place).alias("first"))
     known = same(copies, firsts, ["conv", "role", "digest"], "left")
     state = F.when((F.col("state") != BLANK) & (place != F.col("first")), DUPLICATE).otherwise(F.col("state"))
     kind = F.instr(F.lit(CLASSES[:3]), F.substring("role", 1, 1))
