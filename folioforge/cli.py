@@ -188,7 +188,10 @@ class Run:
 
 def main(argv: list[str] | None = None) -> None:
     a = arguments(argv)
-    spark = SparkSession.builder.appName(f"folioforge {a.stage}").getOrCreate()
+    # recording where each expression was written takes about a quarter of the planning; a plan whose result turns out
+    # empty would lose its counters
+    settings = {"spark.python.sql.dataFrameDebugging.enabled": "false", "spark.sql.adaptive.optimizer.excludedRules": "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"}
+    spark = SparkSession.builder.appName(f"folioforge {a.stage}").config(map=settings).getOrCreate()
     getattr(Run(spark, a), a.stage)()
 
 

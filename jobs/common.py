@@ -49,7 +49,8 @@ def main(name: str, run: Callable, paths: list[str], argv: list[str] | None = No
     parser.add_argument("--config", required=True)
     a = vars(parser.parse_args(argv))
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
-    spark = SparkSession.builder.appName(name).getOrCreate()
+    # recording where each expression was written takes about a quarter of the planning
+    spark = SparkSession.builder.appName(name).config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     try:
         config = json.loads(spark.read.option("wholetext", True).text(a.pop("config")).first()[0])
         run(spark, **a, config=config)

@@ -16,7 +16,7 @@ null text is empty: a manifest row without chunks. An empty folder of files give
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.config import PagesConfig, PipelineConfig, SplitConfig
@@ -69,19 +69,19 @@ def ingest(spark: SparkSession, documents: str, out: str, checkpoint: str, confi
 
     def batch(docs: DataFrame, number: int) -> None:
         session = docs.sparkSession
-        read, new, made = Observation(), Observation(), Observation()
         files = as_files(docs, config["path"]).select("txt_rel", "txt_abs", "size_bytes", "text", "content_sha1")
-        seen = files.observe(read, F.count(F.lit(1)).alias("texts_read"), F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("bytes_read"))
-        texts = changed(seen, versions(session, out).where(F.col("batch") < number)).persist(StorageLevel.DISK_ONLY)
+        texts = changed(files, versions(session, out).where(F.col("batch") < number)).persist(StorageLevel.DISK_ONLY)
         rows = manifest.build(texts, stages.manifest)
         own = F.lit(number).cast("bigint").alias("batch")
         chunks = pipeline.chunks(rows, stages).select("*", identity.src_kind(F.col("txt_rel")).alias("src_kind"), own)
         table = rows.select(*names(MANIFEST), "content_sha1", own)
         # chunks count only once the manifest names their batch, so it comes last
-        replace_partitions(chunks.observe(made, F.count(F.lit(1)).alias("chunks_written")), f"{out}/chunks", "batch", "src_kind")
-        replace_partitions(table.observe(new, F.count(F.lit(1)).alias("texts_written")), f"{out}/manifest", "batch", "src_kind")
+        replace_partitions(chunks, f"{out}/chunks", "batch", "src_kind")
+        replace_partitions(table, f"{out}/manifest", "batch", "src_kind")
         texts.unpersist()
-        runs.append({"batch": number, **read.get, **new.get, **made.get})
+        # counts that files' footers tell
+        new, made = (existing(session, f"{out}/{name}", kind).where(F.col("batch") == number).count() for name, kind in (("manifest", VERSIONS), ("chunks", PARTS)))
+        runs.append({"batch": number, "texts_read": docs.count(), "texts_written": new, "chunks_written": made})
         log.info("ingest: %s", runs[-1])
 
     schema = spark.read.parquet(documents).schema

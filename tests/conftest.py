@@ -15,7 +15,7 @@ def spark():
 
     session = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.driver.memory", "4g")
-        .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+        .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.python.sql.dataFrameDebugging.enabled", "false").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -79,9 +79,10 @@ def test_batch_that_runs_again(spark, tmp_path):
     """A lost mark: all files come again, in a batch of the same number as before; nothing doubles."""
     docs = spark.read.parquet(f"{DIR}/documents.parquet").where("doc_id < 40")
     docs.write.parquet(str(tmp_path / "in"))
+    want = whole(spark, docs)
     for mark in ("m1", "m2"):
         ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / mark), CONFIG)
-        assert chunks(spark, str(tmp_path / "out")) == whole(spark, docs)
+        assert chunks(spark, str(tmp_path / "out")) == want
     assert versions(spark, str(tmp_path / "out")).count() == 40
 
 
