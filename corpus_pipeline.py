@@ -22,8 +22,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: sets of five-word shingles that share at least 0.8 of their union."""
-    return similar.drop_similar(docs)
+    """One document of each group of near-duplicates: SimHash fingerprints within two bits (op 1), or sets of five-word shingles that share at least 0.8 of their union."""
+    return similar.drop_similar(docs, near=3)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

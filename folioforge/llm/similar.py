@@ -13,6 +13,8 @@ smallest member, and afterwards only pairs from different components are: no lin
 large groups of near copies aren't paired quadratically.
 
 Nulls and texts without words have the empty set, and equal sets are one node. Ids may be null or repeat.
+
+`near` adds the links of op 1: texts whose SimHash fingerprints differ in two bits at most, found by multi-index hashing.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import simhash
 from .shared import Scratch, annotate, byte_view, give_back, small_batches
 from .simhash import components, keep_one, labelled, named
 
@@ -67,7 +70,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(hashes & (64 * words - 1), minlength=64 * words) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def _sets(shingle: int):
+def _sets(shingle: int, near: int | None = None):
     def work(texts: pa.Array) -> list:
         data, offsets = byte_view(texts)
         raw, at = data.tobytes(), offsets.tolist()
@@ -76,11 +79,20 @@ def _sets(shingle: int):
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()), pa.array(np.concatenate(found), pa.int64()))
         sketches = [sketch(x) for x in found]
         ends = np.concatenate(([0], np.cumsum([len(x) for x in sketches]))).astype(np.int32)
-        return [np.array([set_key(x) for x in found], np.int64), n, lists, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sketches), pa.int64()))]
+        prints = [] if near is None else [np.array([simhash.fingerprint(raw[a:b], near) for a, b in zip(at, at[1:], strict=False)], np.uint64).view(np.int64)]
+        return [np.array([set_key(x) for x in found], np.int64), n, lists, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sketches), pa.int64())), *prints]
 
     return work
 
 
+def print_links(marks: DataFrame, scratch: Scratch) -> DataFrame:
+    """(a, b), a < b: links between the keys of marks (key, fp) whose fingerprints are equal or differ in one or two bits."""
+    marks = scratch.write(marks.distinct())
+    nodes = scratch.write(marks.groupBy("fp").agg(F.min("key").alias("rep"), F.count("*").alias("rows")))
+    equal = labelled(marks, nodes, "fp", marks.count(), scratch).select(F.col("rep").alias("a"), F.col("key").alias("b"))
+    return simhash.links(nodes.select("fp", "rep")).unionByName(equal).where("a < b")
+
+
 def prefixes(sets: DataFrame, percent: int, last: np.ndarray) -> DataFrame:
     """(h, key, n, at, short): the prefix of each set, the shingles in `last` (ascending) after all others.
 
@@ -191,22 +203,28 @@ def links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     return found.unionByName(verified(pairs, sets, percent, scratch))
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = PERCENT) -> DataFrame:
-    """(id, fp, component, root): one row per row of docs; fp tells equal sets, component is the smallest id reachable over links."""
+def groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = PERCENT, near: int | None = None) -> DataFrame:
+    """(id, fp, component, root): one row per row of docs; fp tells equal sets, component is the smallest id reachable over links.
+
+    `near`: words of a shingle in the fingerprints whose links count, too (None: no fingerprints).
+    """
     scratch = Scratch(docs.sparkSession, GROUP)
     fields = [T.StructField("key", T.LongType(), False), T.StructField("n", T.IntegerType(), False), *(T.StructField(name, T.ArrayType(T.LongType(), False), False) for name in ("hashes", "sketch"))]
-    held = annotate(docs.select(F.col(id_col).alias("id"), F.col(text).alias("__text")), "__text", ["id"], fields, lambda: _sets(shingle))
+    fields += [] if near is None else [T.StructField("fp", T.LongType(), False)]
+    held = annotate(docs.select(F.col(id_col).alias("id"), F.col(text).alias("__text")), "__text", ["id"], fields, lambda: _sets(shingle, near))
     held = scratch.write(held.withColumn("row", F.monotonically_increasing_id()))
     nodes = scratch.write(held.groupBy("key").agg(F.min("id").alias("rep"), F.min("row").alias("first"), F.count("*").alias("rows")))
     # of equal sets one row is compared
     again = scratch.write(held.select("key", "row").join(nodes.where("rows > 1").select("key", "first"), "key").where("row <> first").select("row"))
     sets = held.join(F.broadcast(again) if again.count() <= BROADCAST else again, "row", "left_anti").select("key", "n", "hashes", "sketch")
-    found = links(sets, percent, scratch)
-    roots = components(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), scratch)
-    return named(held, nodes, roots, "key", scratch)
+    found = links(sets, percent, scratch).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    if near is not None:
+        found = found.unionByName(print_links(held.select("key", "fp"), scratch))
+    roots = components(found, scratch)
+    return named(held.select("id", "key"), nodes, roots, "key", scratch)
 
 
-def drop_similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = PERCENT) -> DataFrame:
+def drop_similar(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = PERCENT, near: int | None = None) -> DataFrame:
     """One row of each component: that with the smallest id, of several such that with the smallest fp."""
     make = lambda: lambda texts: [np.array([set_key(shingles(x.encode(), shingle)) for x in texts.to_pylist()], np.int64)]
-    return keep_one(docs, groups(docs, id_col, text, shingle, percent), make, id_col, text)
+    return keep_one(docs, groups(docs, id_col, text, shingle, percent, near), make, id_col, text)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioforge.llm import similar
+from folioforge.llm import similar, simhash
 
 SCHEMA = "doc_id long, text string"
 
@@ -86,3 +86,23 @@ def test_pipeline_stage_drops_edited_copies(spark):
     kept = corpus_pipeline.one_of_each(spark, docs, "")
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [*range(20), *range(200, 220)]
+
+
+def test_pipeline_stage_links_by_fingerprints(spark):
+    """Op 1's links count in the stage: repeated lines outweigh the rest of a fingerprint, and not of a set."""
+    rng = random.Random(4)
+    line = " ".join(f"w{i}" for i in range(11))
+    tail = lambda: " ".join(f"t{rng.randrange(9999)}" for _ in range(12))
+    rows = [(i, "\n".join([line] * 60 + [tail()])) for i in range(5)] + [(10 + i, tail()) for i in range(5)]
+    # a chain: 20 and 21 share a fingerprint, 21 and 22 most of their sets, so all three are one group
+    long = [f"c{i}" for i in range(60)]
+    body = " ".join(f"b{i}" for i in range(11))
+    near = "\n".join([body] * 60)
+    rows += [(20, near + " " + tail()), (21, near + " " + " ".join(long)), (22, body + " " + " ".join(long))]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("lang", F.lit("xx")).repartition(3)
+    by_prints = {r.doc_id for r in simhash.drop_near_duplicates(docs, shingle=3).collect()}
+    by_sets = {r.doc_id for r in similar.drop_similar(docs).collect()}
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, "").collect()}
+    assert by_prints >= {0, 20, 22} and not by_prints & {1, 2, 3, 4, 21}
+    assert by_sets >= {0, 1, 2, 3, 4, 20}
+    assert kept == {0, *range(10, 15), 20} and kept < by_prints
