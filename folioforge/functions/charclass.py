@@ -29,6 +29,11 @@ def strip(s: Column, extra: str = SPACE) -> Column:
     return F.regexp_replace(s, f"^[{extra}]+|[{extra}]+$", "")
 
 
+def trimmed(s: Column) -> Column:
+    """strip(s), reading only the ends of texts that have nothing to strip."""
+    return let(s, lambda v: F.when(F.substring(v, 1, 1).rlike(f"[{SPACE}]") | F.substring(v, -1, 1).rlike(f"[{SPACE}]"), strip(v)).otherwise(v))
+
+
 def squeeze(s: Column) -> Column:
     """Runs of white space as one space."""
     return F.regexp_replace(s, f"[{SPACE}]+", " ")

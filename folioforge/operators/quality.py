@@ -7,45 +7,69 @@ from pyspark.sql import functions as F
 
 from ..config import QualityConfig
 from ..functions.arrays import looked_up
-from ..functions.charclass import DIGIT, LINE_BREAK, SPACE, WORD, count, count_outside, let, ratio, strip
+from ..functions.charclass import DIGIT, SPACE, WORD, count, let, ratio, trimmed
 from ..functions.observing import observed
 from ..schemas import LINE_FIELDS, METRICS, names
 
-TOKEN = f"[{WORD}]+"
+#: Line breaks of one character.
+BREAK = r"[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+#: Counts that add up over a page's lines: line breaks and blank lines are white space only, and no token crosses lines.
+COUNTS = ("letters", "digits", "puncts", "tokens", "ones", "chars")
 #: A page gets a point for each threshold that it crosses.
 THRESHOLDS = {"min_letter_ratio": 0.35, "max_digit_ratio": 0.30, "max_punct_ratio": 0.25, "max_single_char_token_ratio": 0.30, "max_non_letter_line_ratio": 0.40, "min_avg_token_len": 3.0, "max_short_line_ratio": 0.30, "max_duplicate_line_ratio": 0.20, "short_line_chars": 3, "junk_score": 5, "suspicious_score": 3}
 LINE_CLASSES = {"text_line": 0, "short_text": 1, "table_like": 2, "non_letter": 3}
 
 
 def numbers(s: Column) -> Column:
-    """Counts over a text: characters in all and by kind, tokens, one-character tokens and characters in tokens; each regular expression runs once."""
+    """Counts over a text: characters in all and by kind, tokens, one-character tokens and characters in tokens.
 
-    def counted(tokens: Column) -> Column:
-        return F.struct(
-            F.length(s).alias("n"), count(s, r"\p{L}").alias("letters"), count(s, DIGIT, r"\p{L}\x20").alias("digits"), count(s, SPACE, r"\p{L}\p{N}").alias("spaces"), count_outside(s, rf"\p{{L}}\p{{N}}{SPACE}").alias("puncts"),
-            F.size(tokens).alias("tokens"), F.size(F.filter(tokens, lambda t: F.length(t) == 1)).alias("ones"), F.length(F.array_join(tokens, "")).alias("chars"),
-        )
+    Letters, white space and numbers are taken away one after another, so only the first expression reads the whole text.
+    Tokens of several characters become two letters each, so lengths tell how many there are of them and of single ones.
+    """
+    gone = lambda x, inside: F.regexp_replace(x, f"[{inside}]+", "")
+
+    def lengths(a: Column) -> Column:
+        return let(gone(a, SPACE), lambda b: let(gone(b, r"\p{N}"), lambda c: F.struct(
+            F.length(s).alias("n"), F.length(a).alias("a"), F.length(b).alias("b"), F.length(c).alias("puncts"), (F.length(c) - F.length(F.replace(c, F.lit("_")))).alias("lows"),
+            F.when(F.length(b) == F.length(c), 0).otherwise(count(b, DIGIT)).alias("digits"), tokens(s).alias("t"),
+        )))
+
+    def tokens(x: Column) -> Column:
+        return let(F.regexp_replace(x, f"[{WORD}]{{2,}}+", "aa"), lambda y: F.struct(F.length(y).alias("n"), F.length(F.replace(y, F.lit("aa"))).alias("rest")))
 
-    return let(F.regexp_extract_all(s, F.lit(f"({TOKEN})"), F.lit(1)), counted)
+    def counted(k: Column) -> Column:
+        spaces, several = k["a"] - k["b"], ((k["t"]["n"] - k["t"]["rest"]) / 2).cast("int")
+        chars = k["n"] - spaces - k["puncts"] + k["lows"]
+        ones = k["t"]["rest"] - (k["n"] - chars)
+        return F.struct(k["n"].alias("n"), (k["n"] - k["a"]).alias("letters"), k["digits"].alias("digits"), spaces.alias("spaces"), k["puncts"].alias("puncts"), (ones + several).alias("tokens"), ones.alias("ones"), chars.alias("chars"))
+
+    return let(let(F.regexp_replace(s, r"\p{L}+", ""), lengths), counted)
 
 
 def lines(text: Column) -> Column:
     """The lines that aren't blank, with their numbers among all lines: (line_no, text, stripped)."""
-    numbered = F.transform(F.split(text, LINE_BREAK, -1), lambda s, i: F.struct((i + 1).alias("line_no"), s.alias("text"), strip(s).alias("stripped")))
+    pieces = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), BREAK, -1)
+    numbered = F.transform(pieces, lambda s, i: F.struct((i + 1).alias("line_no"), s.alias("text"), trimmed(s).alias("stripped")))
     return F.filter(numbered, lambda x: x["stripped"] != "")
 
 
 def repeated(items: Column) -> Column:
     """For each line whether its stripped text occurs more than once: a look into the sorted texts that do."""
-    texts = F.transform(items, lambda x: x["stripped"])
+    return let(F.transform(items, lambda x: x["stripped"]), lambda t: F.when(F.size(F.array_distinct(t)) == F.size(t), F.transform(t, lambda _: F.lit(False))).otherwise(_among_repeated(t)))
+
+
+def _among_repeated(texts: Column) -> Column:
     twice = let(F.array_sort(texts), lambda s: F.filter(s, lambda x, i: (i > 0) & (x == F.get(s, i - 1)) & ((i == 1) | (x != F.get(s, i - 2)))))
     return F.transform(looked_up(texts, F.transform(twice, lambda x: F.struct(x.alias("key"), F.lit(True).alias("value")))), lambda v: v.isNotNull())
 
 
 def line_struct(x: Column, twice: Column) -> Column:
-    """The entry of a line; `twice`: whether the page has it more than once."""
+    """(entry, counts) of a line; `twice`: whether the page has it more than once."""
 
     def measured(c: Column) -> Column:
+        return F.struct(entry(c).alias("entry"), F.struct(*[c[k].alias(k) for k in COUNTS]).alias("counts"))
+
+    def entry(c: Column) -> Column:
         first = F.struct(
             x["line_no"].cast("int").alias("line_no"), x["text"].alias("text"), c["n"].alias("text_len"), F.length(x["stripped"]).alias("text_len_stripped"), c["tokens"].alias("token_count_simple"),
             *[ratio(c[k], c["n"]).alias(f"{name}_ratio") for name, k in (("letter", "letters"), ("digit", "digits"), ("punct", "puncts"), ("space", "spaces"))],
@@ -65,11 +89,16 @@ def line_struct(x: Column, twice: Column) -> Column:
 
 def line_entries(text: Column) -> Column:
     """Entries of all lines that aren't blank, with the fields of schemas.LINE."""
+    return F.transform(measured_lines(text), lambda x: x["entry"])
+
+
+def measured_lines(text: Column) -> Column:
+    """(entry, counts) of all lines that aren't blank."""
     return let(lines(text), lambda items: let(repeated(items), lambda twice: F.transform(items, lambda x, i: line_struct(x, F.get(twice, i)))))
 
 
 def page_metrics(c: Column, items: Column) -> dict[str, Column]:
-    """Metrics of a page from its counts (`numbers`) and its line entries, up to its quality class."""
+    """Metrics of a page from its counts and its line entries, up to its quality class."""
     rows = F.size(items)
     some = lambda f: F.size(F.filter(items, f))
     return {
@@ -93,8 +122,9 @@ def analyze(pages: DataFrame, config: QualityConfig = QualityConfig(), counters:
     """pages with their line entries, metrics, junk score and quality class. A byte order mark before the text goes; null counts as empty. `counters` get the figures of quality_stats."""
     if "doc_id16" not in pages.columns:
         pages = pages.withColumn("doc_id16", F.lit(None).cast("string"))
-    rows = pages.withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "^\ufeff+", "")).withColumn("lines", line_entries(F.col("text")))
-    rows = rows.withColumn("_numbers", numbers(F.col("text")))
+    rows = pages.withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "^\ufeff+", "")).withColumn("_lines", measured_lines(F.col("text")))
+    total = lambda k: F.aggregate("_lines", F.lit(0), lambda a, x: a + x["counts"][k])
+    rows = rows.withColumns({"lines": F.transform("_lines", lambda x: x["entry"]), "_numbers": F.struct(F.length("text").alias("n"), *[total(k).alias(k) for k in COUNTS])})
     rows = rows.withColumns(page_metrics(F.col("_numbers"), F.col("lines")))
     rows = rows.withColumn("junk_score", sum((f.cast("int") for f in junk_flags().values()), F.lit(0)))
     kind = F.when(F.col("junk_score") >= THRESHOLDS["junk_score"], "junk_candidate").when(F.col("junk_score") >= THRESHOLDS["suspicious_score"], "suspicious").otherwise("ok")
