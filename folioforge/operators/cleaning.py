@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..config import CleaningConfig
 from ..functions.arrays import heads, looked_up
-from ..functions.charclass import DIGIT, SPACE, count, let, strip, unmoved, words
+from ..functions.charclass import DIGIT, count, let, strip, trimmed, unmoved, words
 from ..functions.observing import observed
 from .quality import expanded
 
@@ -36,7 +36,9 @@ def is_tab(txt_abs: Column, txt_rel: Column) -> Column:
 
 def normalize_line(s: Column) -> Column:
     """Letters and digits; everything else as single spaces between."""
-    return F.trim(F.regexp_replace(s, rf"[^\p{{L}}{DIGIT}]+", " "))
+    # most lines have no digits but 0 to 9: for those a class of few parts does
+    others = lambda v: F.when(v.rlike(r"[\p{N}&&[^0-9]]"), F.regexp_replace(v, rf"[^\p{{L}}{DIGIT}]+", " ")).otherwise(F.regexp_replace(v, r"[^\p{L}0-9]+", " "))
+    return F.trim(let(s, others))
 
 
 def line_metrics(s: Column) -> Column:
@@ -45,12 +47,15 @@ def line_metrics(s: Column) -> Column:
     def made(tokens: Column) -> Column:
         n, k = F.length(s), F.size(tokens)
         part = lambda x, of: F.when(of > 0, x / of).otherwise(0.0)
-        letters = count(s, r"\p{L}")
         chars = F.aggregate(tokens, F.lit(0), lambda a, t: a + F.length(t))
-        return F.struct(
-            part(count(s, DIGIT, r"\p{L}\x20"), n).alias("digit_ratio"), part(letters, n).alias("letter_ratio"), part(F.size(F.filter(tokens, lambda t: F.length(t) == 1)), k).alias("single_char_token_ratio"),
-            k.alias("token_count"), part(chars, k).alias("avg_token_len"), (letters > 0).alias("has_letter"), F.length(strip(s)).alias("text_len_stripped"),
-        )
+
+        def counted(rest: Column) -> Column:
+            return F.struct(
+                part(count(rest, DIGIT), n).alias("digit_ratio"), part(n - F.length(rest), n).alias("letter_ratio"), part(F.size(F.filter(tokens, lambda t: F.length(t) == 1)), k).alias("single_char_token_ratio"),
+                k.alias("token_count"), part(chars, k).alias("avg_token_len"), (n > F.length(rest)).alias("has_letter"), F.length(trimmed(s)).alias("text_len_stripped"),
+            )
+
+        return let(F.regexp_replace(s, r"\p{L}+", ""), counted)
 
     return let(words(s), made)
 
@@ -67,40 +72,43 @@ def keep_tokens(s: Column, min_word_len: int) -> Column:
     wanted = rf"^[\u0410-\u042f\u0430-\u044f\u0401\u0451]{{{min_word_len + 1},}}$"
 
     def made(tokens: Column) -> Column:
-        kept = F.filter(tokens, lambda t: t.rlike(wanted))
-        gone = F.filter(tokens, lambda t: ~t.rlike(wanted))
-        digit, letter = lambda t: t.rlike(f"[{DIGIT}]"), lambda t: t.rlike(r"\p{L}")
-        numeric = F.size(F.filter(gone, lambda t: digit(t) & ~letter(t)))
-        mixed = F.size(F.filter(gone, lambda t: digit(t) & letter(t)))
-        latin = F.size(F.filter(gone, lambda t: ~digit(t) & t.rlike("[A-Za-z]")))
-        return F.struct(F.array_join(kept, " ").alias("line"), F.size(tokens).alias("tokens_seen"), F.size(kept).alias("tokens_kept"), numeric.alias("numeric_removed"), mixed.alias("mixed_removed"), latin.alias("latin_removed"), (F.size(gone) - numeric - mixed - latin).alias("other_removed"))
+        kind = lambda t: F.when(t.rlike(wanted), "kept").when(t.rlike(f"[{DIGIT}]"), F.when(t.rlike(r"\p{L}"), "mixed").otherwise("numeric")).when(t.rlike("[A-Za-z]"), "latin").otherwise("other")
+
+        def counted(kinds: Column) -> Column:
+            some = lambda name: F.size(F.filter(kinds, lambda k: k == name))
+            kept = F.filter(tokens, lambda _, i: F.get(kinds, i) == "kept")
+            return F.struct(F.array_join(kept, " ").alias("line"), F.size(tokens).alias("tokens_seen"), some("kept").alias("tokens_kept"), *[some(x).alias(f"{x}_removed") for x in ("numeric", "mixed", "latin", "other")])
+
+        return let(F.transform(tokens, kind), counted)
 
     return let(words(s), made)
 
 
 def raw_lines(text: Column) -> Column:
-    return F.split(F.regexp_replace(text, "\r\n?", "\n"), "\n", -1)
+    return F.split(let(text, lambda t: F.when(F.contains(t, F.lit("\r")), F.regexp_replace(t, "\r\n?", "\n")).otherwise(t)), "\n", -1)
 
 
 def clean_tab(text: Column, config: CleaningConfig = CleaningConfig()) -> Column:  # noqa: B008
     """(text, and the counters of TAB_COUNTERS) of a table page."""
 
     def line(s: Column) -> Column:
-        table = is_table_line(line_metrics(s))
-        filtered = keep_tokens(s, config.min_word_len)
-        n = F.size(words(s))
-        plain = F.struct(s.alias("line"), n.alias("tokens_seen"), n.alias("tokens_kept"), *[F.lit(0).alias(f"{x}_removed") for x in ("numeric", "mixed", "latin", "other")])
-        return F.struct(table.alias("table"), F.when(table, filtered).otherwise(plain).alias("x"))
+        def either(table: Column, n: Column) -> Column:
+            plain = F.struct(s.alias("line"), n.alias("tokens_seen"), n.alias("tokens_kept"), *[F.lit(0).alias(f"{x}_removed") for x in ("numeric", "mixed", "latin", "other")])
+            return F.struct(table.alias("table"), F.when(table, keep_tokens(s, config.min_word_len)).otherwise(plain).alias("x"))
 
-    def made(seen: Column) -> Column:
+        about = let(line_metrics(s), lambda m: F.struct(is_table_line(m).alias("table"), m["token_count"].alias("n")))
+        return let(about, lambda a: either(a["table"], a["n"]))
+
+    def made(raw: Column, seen: Column, out: Column) -> Column:
         total = lambda f: F.aggregate(seen, F.lit(0), lambda a, e: a + e["x"][f])
-        out = F.filter(F.transform(seen, lambda e: e["x"]["line"]), lambda s: s != "")
-        lines_in, tables = F.size(raw_lines(text)), F.size(F.filter(seen, lambda e: e["table"]))
-        counters = {"lines_in": lines_in, "lines_out": F.size(out), "table_lines": tables, "text_lines": F.size(seen) - tables, "lines_removed": lines_in - F.size(out)}
+        tables = F.size(F.filter(seen, lambda e: e["table"]))
+        counters = {"lines_in": F.size(raw), "lines_out": F.size(out), "table_lines": tables, "text_lines": F.size(seen) - tables, "lines_removed": F.size(raw) - F.size(out)}
         counters |= {f: total(f) for f in ("tokens_seen", "tokens_kept", "numeric_removed", "mixed_removed", "latin_removed", "other_removed")}
         return F.struct(F.array_join(out, "\n").alias("text"), *[counters[c].alias(c) for c in TAB_COUNTERS])
 
-    return let(F.transform(F.filter(F.transform(raw_lines(text), normalize_line), lambda s: s != ""), line), made)
+    filled = lambda raw: F.filter(F.transform(raw, normalize_line), lambda s: s != "")
+    out = lambda seen: F.filter(F.transform(seen, lambda e: e["x"]["line"]), lambda s: s != "")
+    return let(raw_lines(text), lambda raw: let(F.transform(filled(raw), line), lambda seen: let(out(seen), lambda o: made(raw, seen, o))))
 
 
 def aligned(raw: Column, entries: Column) -> Column:
@@ -161,16 +169,19 @@ def entries_type() -> str:
 def line_state(x: Column) -> Column:
     """The line as it is judged: normalised text, and numbers of the stage before where there are any."""
     e = x["entry"]
-    own = normalize_line(x["raw"])
-    theirs = normalize_line(e["text"])
-    line = F.when(e.isNotNull() & (F.coalesce(theirs, F.lit("")) != ""), theirs).otherwise(own)
+    line = let(normalize_line(e["text"]), lambda theirs: F.when(F.coalesce(theirs, F.lit("")) != "", theirs).otherwise(normalize_line(x["raw"])))
+    # the line's own measures are taken only where the entry lacks one
+    measures = ("letter_ratio", "digit_ratio", "single_char_token_ratio", "avg_token_len", "has_letter")
+    whole = F.coalesce(e["text_len_stripped"], e["text_len"]).isNotNull() & e["token_count_simple"].isNotNull()
+    for f in measures:
+        whole = whole & e[f].isNotNull()
 
     def made(s: Column) -> Column:
         return let(
-            line_metrics(s),
+            F.when(~whole, line_metrics(s)),
             lambda m: F.struct(
                 s.alias("line"), F.lower(s).alias("low"), F.coalesce(e["text_len_stripped"], e["text_len"], m["text_len_stripped"]).alias("text_len"), F.coalesce(e["token_count_simple"], m["token_count"]).alias("tokens"),
-                *[F.coalesce(e[f], m[f]).alias(f) for f in ("letter_ratio", "digit_ratio", "single_char_token_ratio", "avg_token_len", "has_letter")],
+                *[F.coalesce(e[f], m[f]).alias(f) for f in measures],
                 F.coalesce(e["is_duplicate_in_chunk"], F.lit(False)).alias("dup"), F.coalesce(e["table_like_score_line"], F.lit(0)).alias("score"), F.coalesce(F.nullif(e["line_class"], F.lit("")), F.lit("unknown")).alias("kind"),
             ),
         )
@@ -190,8 +201,12 @@ def _class_rule(st: Column, quality: str) -> Column:
 
 def judged(st: Column, quality: Column) -> Column:
     """The state with `early` (a reason that holds whatever was seen before), `late` (one after the duplicate rule), tech and weak."""
-    ok = quality == "ok"
     tech = F.exists(F.split(st["low"], " "), lambda t: t.isin(TECH_TOKENS))
+    return let(tech, lambda t: _judged(st, quality, t))
+
+
+def _judged(st: Column, quality: Column, tech: Column) -> Column:
+    ok = quality == "ok"
     early = F.when(st["line"] == "", "empty_after_normalize").when(tech, F.lit(None)).when(st["text_len"] <= 2, "too_short").when(~st["has_letter"] & (st["text_len"] < 25), "short_no_letters")
     noise = (st["tokens"] >= 4) & (st["single_char_token_ratio"] > F.when(ok, 0.60).otherwise(0.50))
     by_class = F.when(ok, _class_rule(st, "ok")).when(quality == "suspicious", _class_rule(st, "suspicious")).otherwise(_class_rule(st, "junk"))
@@ -200,8 +215,10 @@ def judged(st: Column, quality: Column) -> Column:
     weak = (st["letter_ratio"] < limit(0)) | (st["avg_token_len"] < limit(1)) | (st["single_char_token_ratio"] > limit(2))
     short_twice = (st["text_len"] <= SHORT_LINE) & st["dup"]
     # a line is remembered if it's short and kept; kept lines that aren't technical have passed every other rule
-    remembered = (F.length(st["low"]) <= SHORT_LINE) & early.isNull() & late.isNull() & (tech | ~short_twice)
-    return F.struct(st["line"].alias("line"), st["low"].alias("low"), st["text_len"].alias("text_len"), tech.alias("tech"), early.alias("early"), late.alias("late"), weak.alias("weak"), st["dup"].alias("dup"), remembered.alias("remembered"))
+    remembered = lambda r: (F.length(st["low"]) <= SHORT_LINE) & r["early"].isNull() & r["late"].isNull() & (tech | ~short_twice)
+    return let(F.struct(early.alias("early"), late.alias("late")), lambda r: F.struct(
+        st["line"].alias("line"), st["low"].alias("low"), st["text_len"].alias("text_len"), tech.alias("tech"), r["early"].alias("early"), r["late"].alias("late"), weak.alias("weak"), st["dup"].alias("dup"), remembered(r).alias("remembered"),
+    ))
 
 
 def decisions(text: Column, entries: Column, quality: Column) -> Column:
