@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import PagesConfig
-from ..functions.charclass import SPACE, WORD, strip
+from ..functions.charclass import SPACE, WORD, let, strip, trimmed
 from ..functions.observing import observed
 from ..schemas import PAGES, names
 
@@ -15,19 +18,24 @@ GENERATORS = {"manifest_generator_program": "make_manifest", "manifest_generator
 BUCKETS = [(20, 49, "20-49"), (50, 99, "50-99"), (100, 499, "100-499"), (500, 999, "500-999"), (1000, None, "1000+")]
 
 
+def _where_needed(text: Column, needed: tuple[str, ...], pattern: str, put: str) -> Column:
+    """text with the pattern replaced; one of `needed` is in every match, and a literal is sought much faster."""
+    there = lambda v: reduce(or_, [F.contains(v, F.lit(x)) for x in needed])
+    return let(text, lambda v: F.when(there(v), F.regexp_replace(v, pattern, put)).otherwise(v))
+
+
 def normalize(text: Column) -> Column:
     """Line feeds only, words joined across hyphens at line ends, no blanks before line feeds, two line feeds at most, stripped."""
-    s = F.regexp_replace(text, "\r\n?", "\n")
-    s = F.regexp_replace(s, f"([{WORD}])-\n([{WORD}])", "$1$2")
-    s = F.regexp_replace(s, "[ \t]+\n", "\n")
-    s = F.regexp_replace(s, "\n{3,}", "\n\n")
-    return strip(s)
+    steps = [(("\r",), "\r\n?", "\n"), (("-\n",), f"([{WORD}])-\n([{WORD}])", "$1$2"), ((" \n", "\t\n"), "[ \t]+\n", "\n"), (("\n\n\n",), "\n{3,}", "\n\n")]
+    for step in steps:
+        text = _where_needed(text, *step)
+    return trimmed(text)
 
 
 def split_text(text: Column) -> Column:
     """The stripped pages of a text; none if there is no form feed and nothing but white space."""
-    pieces = F.transform(F.split(text, "\f", -1), lambda s: strip(s))
-    return F.when(F.contains(text, F.lit("\f")) | (strip(text) != ""), pieces).otherwise(F.array().cast("array<string>"))
+    pieces = lambda t: F.transform(F.split(t, "\f", -1), lambda s: trimmed(s))
+    return let(text, lambda t: F.when(F.contains(t, F.lit("\f")) | (trimmed(t) != ""), pieces(t)).otherwise(F.array().cast("array<string>")))
 
 
 def clean_scalar(s: Column) -> Column:
