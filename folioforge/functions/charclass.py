@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: White space, for use inside a character class.
 SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: The same characters one by one.
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Characters of a word.
 WORD = r"\p{L}\p{N}_"
 #: Digits: decimal ones and the other numeric characters that count as digits (superscripts, circled ones and so on).
@@ -24,14 +26,9 @@ LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 NOT_AFTER, NOT_BEFORE = f"(?<![{WORD}])", f"(?![{WORD}])"
 
 
-def strip(s: Column, extra: str = SPACE) -> Column:
-    """Without the characters of a class at either end."""
-    return F.regexp_replace(s, f"^[{extra}]+|[{extra}]+$", "")
-
-
-def trimmed(s: Column) -> Column:
-    """strip(s), reading only the ends of texts that have nothing to strip."""
-    return let(s, lambda v: F.when(F.substring(v, 1, 1).rlike(f"[{SPACE}]") | F.substring(v, -1, 1).rlike(f"[{SPACE}]"), strip(v)).otherwise(v))
+def strip(s: Column) -> Column:
+    """Without white space at either end. (A pattern for the end is tried from each place inside every run of white space.)"""
+    return F.btrim(s, F.lit(SPACES))
 
 
 def squeeze(s: Column) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..config import CleaningConfig
 from ..functions.arrays import heads, looked_up
-from ..functions.charclass import DIGIT, count, let, strip, trimmed, unmoved, words
+from ..functions.charclass import DIGIT, count, let, strip, unmoved, words
 from ..functions.observing import observed
 from .quality import expanded
 
@@ -52,7 +52,7 @@ def line_metrics(s: Column) -> Column:
         def counted(rest: Column) -> Column:
             return F.struct(
                 part(count(rest, DIGIT), n).alias("digit_ratio"), part(n - F.length(rest), n).alias("letter_ratio"), part(F.size(F.filter(tokens, lambda t: F.length(t) == 1)), k).alias("single_char_token_ratio"),
-                k.alias("token_count"), part(chars, k).alias("avg_token_len"), (n > F.length(rest)).alias("has_letter"), F.length(trimmed(s)).alias("text_len_stripped"),
+                k.alias("token_count"), part(chars, k).alias("avg_token_len"), (n > F.length(rest)).alias("has_letter"), F.length(strip(s)).alias("text_len_stripped"),
             )
 
         return let(F.regexp_replace(s, r"\p{L}+", ""), counted)

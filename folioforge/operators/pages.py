@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..config import PagesConfig
-from ..functions.charclass import SPACE, WORD, let, strip, trimmed
+from ..functions.charclass import SPACE, WORD, let, strip
 from ..functions.observing import observed
 from ..schemas import PAGES, names
 
@@ -29,13 +29,13 @@ def normalize(text: Column) -> Column:
     steps = [(("\r",), "\r\n?", "\n"), (("-\n",), f"([{WORD}])-\n([{WORD}])", "$1$2"), ((" \n", "\t\n"), "[ \t]+\n", "\n"), (("\n\n\n",), "\n{3,}", "\n\n")]
     for step in steps:
         text = _where_needed(text, *step)
-    return trimmed(text)
+    return strip(text)
 
 
 def split_text(text: Column) -> Column:
     """The stripped pages of a text; none if there is no form feed and nothing but white space."""
-    pieces = lambda t: F.transform(F.split(t, "\f", -1), lambda s: trimmed(s))
-    return let(text, lambda t: F.when(F.contains(t, F.lit("\f")) | (trimmed(t) != ""), pieces(t)).otherwise(F.array().cast("array<string>")))
+    pieces = lambda t: F.transform(F.split(t, "\f", -1), strip)
+    return let(text, lambda t: F.when(F.contains(t, F.lit("\f")) | (strip(t) != ""), pieces(t)).otherwise(F.array().cast("array<string>")))
 
 
 def clean_scalar(s: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import QualityConfig
 from ..functions.arrays import looked_up
-from ..functions.charclass import DIGIT, SPACE, WORD, count, let, ratio, trimmed
+from ..functions.charclass import DIGIT, SPACE, WORD, count, let, ratio, strip
 from ..functions.observing import observed
 from ..schemas import LINE_FIELDS, METRICS, names
 
@@ -49,7 +49,7 @@ def numbers(s: Column) -> Column:
 def lines(text: Column) -> Column:
     """The lines that aren't blank, with their numbers among all lines: (line_no, text, stripped)."""
     pieces = F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), BREAK, -1)
-    numbered = F.transform(pieces, lambda s, i: F.struct((i + 1).alias("line_no"), s.alias("text"), trimmed(s).alias("stripped")))
+    numbered = F.transform(pieces, lambda s, i: F.struct((i + 1).alias("line_no"), s.alias("text"), strip(s).alias("stripped")))
     return F.filter(numbered, lambda x: x["stripped"] != "")
 
 

@@ -7,7 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from folioforge.functions import arrays
+from folioforge.functions import arrays, charclass
 from folioforge.operators import cleaning, codes, names, quality
 
 
@@ -48,6 +48,34 @@ def test_empty_parentheses_at_any_depth(spark):
     assert {r["s"]: r["x"] for r in rows} == {t: fixpoint(t) for t in texts}
 
 
+def test_strip_against_plain_python(spark):
+    rng = random.Random(9)
+    texts = ["", " ", charclass.SPACES, "a \n", "\u200ba\u200b", "\x00 a"] + ["".join(rng.choice([*charclass.SPACES, "a", "я", "\u200b", "😀"]) for _ in range(rng.randrange(12))) for _ in range(400)]
+    rows = spark.createDataFrame([(t,) for t in texts], "s string").select("s", charclass.strip(F.col("s")).alias("x")).collect()
+    assert {r["s"]: r["x"] for r in rows} == {t: t.strip(charclass.SPACES) for t in texts} == {t: t.strip() for t in texts}
+
+
+def blanked(spark, n: int):
+    """Lines that begin with a blank and have a run of n blanks inside."""
+    return spark.createDataFrame([("\n".join(f" {i}{' ' * n}." for i in range(40)),)], "text string")
+
+
+def test_blanks_inside_lines_take_linear_time(spark):
+    """Stripping by a pattern looked for the end from each blank of a run: sixteen times as long for four times the blanks."""
+    took = {}
+    for n in (500, 4000, 16_000):
+        df = blanked(spark, n).cache()
+        df.count()
+        plan, best = df.select(F.xxhash64(quality.line_entries(F.col("text")))), 1e9
+        for _ in range(2):
+            began = time.time()
+            plan.collect()
+            best = min(best, time.time() - began)
+        took[n] = best
+        df.unpersist()
+    assert took[16_000] < 6 * took[4000] + 0.5, took
+
+
 def text_of(n: int) -> str:
     rng = random.Random(n)
     return "\n".join(rng.choice(["short line", "", "12 34 | 5", f"a line of its own {i}", f"again {i % 500}"]) for i in range(n))
