@@ -78,7 +78,7 @@ def name_fields(spark, d):
 def library_manifest(spark, d):
     """The whole manifest of a library: real names, codes, years from names or texts, and texts that can't be read."""
     rows = manifest.build(fixtures.library(spark, d).drop("id", "name"))
-    return manifest.table(rows).join(rows.select("txt_rel", "parse_mode", "udc_status", "bbk_status", "udc_zone"), "txt_rel")
+    return manifest.table(rows, "parse_mode", "udc_status", "bbk_status", "udc_zone")
 
 
 @query

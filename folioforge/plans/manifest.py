@@ -33,6 +33,6 @@ def from_files(spark: SparkSession, lib_root: str, config: ManifestConfig = Mani
     return build(files.withColumn("text", text_files.decoded(F.col("content"))).drop("content"), config)
 
 
-def table(rows: DataFrame) -> DataFrame:
-    """Only the manifest's own columns."""
-    return rows.select(*names(MANIFEST))
+def table(rows: DataFrame, *more: str) -> DataFrame:
+    """Only the manifest's own columns, and those in `more`."""
+    return rows.select(*names(MANIFEST), *more)

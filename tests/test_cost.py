@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioforge.operators import cleaning, pages, quality
+from folioforge.plans import catalog
 
 
 def plan(df):
@@ -31,6 +32,12 @@ def test_lines_are_judged_once(page):
     assert plan(made).count("exists(") == 2  # technical tokens, and numbered entries
 
 
+def test_a_library_is_read_once(spark):
+    """The manifest's own columns and those beside them come from the same rows, without a join."""
+    made = plan(catalog.QUERIES["library_manifest"](spark, "/root/testdata/sf0.001"))
+    assert "Join" not in made and made.count("Relation [") == 1
+
+
 def test_table_tokens_are_sorted_once(page):
     assert plan(page.select(cleaning.keep_tokens(F.col("text"), 3).alias("x"))).count("{4,}") == 1
     assert plan(page.select(cleaning.clean_tab(F.col("text")).alias("x"))).count("{4,}") == 1
