@@ -49,6 +49,8 @@ LOOKED_UP = 200_000
 EQUAL, TOGETHER = 16, 50_000
 #: Children of two elements, multiplied, above which their table is made by rows of numpy arrays, not all held at once.
 TABLE = 2500
+#: Cells of two pages' tables that are held for the way back and for the elements around; others are made again.
+HELD = 1 << 18
 #: Levels of a tree; what elements further inside hold are the last level's children, with roles of their own.
 DEEP = 200
 #: Share of the compared pages that must say the same for a text to be template, and pages compared at least.
@@ -84,7 +86,6 @@ MODIFIED = {"has", "with", "no", "without", "is", "hide", "show"}
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_SPACE = re.compile(r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
 
 class Node:
@@ -115,7 +116,7 @@ def parse(page: str) -> Node:
     def flush() -> None:
         nonlocal links
         if parts:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip(" ")
+            text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 _, node, out, _ = stack[-1]
                 node.children.append([text, links / max(1, sum(map(len, parts))), out])
@@ -216,6 +217,42 @@ class Pair:
         self.codes: dict = {}
         self.signed: dict[int, int] = {}
         self.weights: dict[tuple[int, int], int] = {}
+        self.leaves: dict[int, tuple | None] = {}
+        self.tables: dict[tuple[int, int], list | Rows] = {}
+        self.scores: dict[tuple[int, int], int] = {}
+        self.room = HELD
+
+    def leaf(self, c) -> tuple | None:
+        """(kind, weight of a match, text) of a text or an element that holds just one; a text that only one page has is None."""
+        if type(c) is not Node:
+            return None, 1, c[0] if c[0] in self.shared else None
+        found = self.leaves.get(id(c), self)
+        if found is self:
+            inner = c.children
+            alone = len(inner) == 1 and type(inner[0]) is not Node
+            found = self.leaves[id(c)] = (c.kind, 2, inner[0][0] if inner[0][0] in self.shared else None) if alone else None
+        return found
+
+    def table(self, x: list, y: list) -> list | Rows:
+        """The rows of best matches of two lists of children, made once while there is room."""
+        rows = self.tables.get(key := (id(x), id(y)))
+        if rows is None:
+            large = len(x) * len(y) > TABLE
+            rows = Rows(x, y, self) if large else rows_of(x, y, self)
+            cells = (2 * math.isqrt(len(x)) + 2 if large else len(x) + 1) * (len(y) + 1)
+            if cells <= self.room:
+                self.room -= cells
+                self.tables[key] = rows
+        return rows
+
+    def score(self, x: list, y: list) -> int:
+        """Nodes that match in two lists of children (equal texts count double)."""
+        found = self.scores.get(key := (id(x), id(y)))
+        if found is None:
+            found = int(self.table(x, y)[len(x)][len(y)])
+            if len(self.scores) < HELD:
+                self.scores[key] = found
+        return found
 
     def code(self, key) -> int:
         return self.codes.setdefault(key, len(self.codes))
@@ -240,35 +277,19 @@ class Pair:
 def align(a: Node, b: Node, pairs: list, elements: dict, known: Pair) -> None:
     """Appends the text nodes of a and b that simple tree matching aligns, and adds to elements b's by a's id."""
     elements[id(a)] = b
-    for p, q in matched(a.children, b.children, known, True)[1]:
+    for p, q in matched(a.children, b.children, known):
         if type(p) is Node:
             align(p, q, pairs, elements, known)
         else:
             pairs.append((p, q))
 
 
-def matched(x: list, y: list, known: Pair, traced: bool = False) -> tuple[int, list]:
-    """Nodes that match in two lists of children (equal texts count double); if traced, also the pairs in order."""
-    if len(x) * len(y) > TABLE:
-        rows = Rows(x, y, known)
-    else:
-        above = [0] * (len(y) + 1)
-        rows = [above]
-        for p in x:
-            row = [0]
-            last = 0
-            for j, q in enumerate(y):
-                best = above[j + 1] if above[j + 1] > last else last
-                w = weight(p, q, known)
-                if w and above[j] + w > best:
-                    best = above[j] + w
-                row.append(best)
-                last = best
-            rows.append(row)
-            above = row
+def matched(x: list, y: list, known: Pair) -> list:
+    """The pairs of nodes that match in two lists of children, in order."""
+    rows = known.table(x, y)
     i, j = len(x), len(y)
-    score, found = int(rows[i][j]), []
-    while traced and i and j:
+    found = []
+    while i and j:
         if rows[i][j] == rows[i - 1][j]:
             i -= 1
         elif rows[i][j] == rows[i][j - 1]:
@@ -276,7 +297,36 @@ def matched(x: list, y: list, known: Pair, traced: bool = False) -> tuple[int, l
         else:
             i, j = i - 1, j - 1
             found.append((x[i], y[j]))
-    return score, found[::-1]
+    return found[::-1]
+
+
+def rows_of(x: list, y: list, known: Pair) -> list:
+    """The rows of a small table. Leaves of one kind and text have the same weights, so these are told once."""
+    above = [0] * (len(y) + 1)
+    rows, told = [above], {}
+    leaves = [known.leaf(q) for q in y]
+    for p in x:
+        leaf = known.leaf(p)
+        weights, same = told.get(leaf, (None, None)) if leaf else (None, None)
+        if weights is None:
+            weights = [weight(p, q, known) if not leaf or not other else 0 if leaf[0] != other[0] else leaf[1] + (leaf[2] is not None and leaf[2] == other[2]) for q, other in zip(y, leaves, strict=True)]
+            same = weights[0] if weights and weights.count(weights[0]) == len(weights) else None
+            if leaf:
+                told[leaf] = weights, same
+        if same is not None:
+            row = [0, *[a + same if a + same > b else b for a, b in zip(above, above[1:], strict=False)]] if same else above
+        else:
+            row, last = [0], 0
+            for before, best, w in zip(above, above[1:], weights, strict=False):
+                if last > best:
+                    best = last
+                if w and before + w > best:
+                    best = before + w
+                row.append(best)
+                last = best
+        rows.append(row)
+        above = row
+    return rows
 
 
 class Rows:
@@ -345,7 +395,7 @@ def weight(p, q, known: Pair) -> int:
         return 3 if x[0][0] == y[0][0] else 2
     if not x or not y:
         return 1
-    return 1 + matched(x, y, known)[0]
+    return 1 + known.score(x, y)
 
 
 class Page:

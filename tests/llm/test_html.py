@@ -88,6 +88,18 @@ def test_tree_matching_against_brute_force(monkeypatch, table):
         assert len(elements) + sum(2 if p[0] == q[0] else 1 for p, q in pairs) == best(a, b)
 
 
+@pytest.mark.parametrize("held", [1 << 18, 0])
+def test_elements_inside_others_are_matched_once(monkeypatch, held):
+    """Nested elements' tables and weights are kept, or (without room for tables) made twice at most, not once for each level around them."""
+    monkeypatch.setattr(html, "HELD", held, raising=False)
+    calls, tell = [], html.weight
+    monkeypatch.setattr(html, "weight", lambda *a: calls.append(1) or tell(*a))
+    a, b = ("<div>" * 12 + "".join(f"<p>{name}{i}</p><ul><li>x<li>y</ul>" for i in range(15)) + "</div>" * 12 for name in "ab")
+    a, b, pairs = html.parse(a), html.parse(b), []
+    html.align(a, b, pairs, {}, html.Pair(html.texts_of(a, []), html.texts_of(b, [])))
+    assert len(pairs) == 45 and len(calls) < 10_000
+
+
 def words(rng, n):
     return " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
 
