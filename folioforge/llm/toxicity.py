@@ -143,11 +143,12 @@ class Marks:
 
     def __init__(self, text: str) -> None:
         self.text = text
-        self.marks = [m.start() for m in re.finditer('"', text)]
+        self.marks, self.ends = ([m.start() for m in re.finditer(c, text)] for c in '"\n')
 
     def open_at(self, at: int) -> bool:
         """Whether an odd number of marks stands between the line's start and this place."""
-        return (bisect_left(self.marks, at) - bisect_left(self.marks, self.text.rfind("\n", 0, at) + 1)) % 2 == 1
+        line = bisect_left(self.ends, at)
+        return (bisect_left(self.marks, at) - (bisect_left(self.marks, self.ends[line - 1]) if line else 0)) % 2 == 1
 
 
 def quoted(marks: Marks, at: int, to: int) -> bool:

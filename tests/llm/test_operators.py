@@ -517,6 +517,26 @@ def test_quotations_are_told_in_linear_time():
     assert spent[1] < 10 * spent[0]
 
 
+def test_open_quotations_by_plain_counting():
+    rng = random.Random(11)
+    for text in ["", "\n", '"', *("".join(rng.choice('"\n ab') for _ in range(40)) for _ in range(100))]:
+        marks = toxicity.Marks(text)
+        assert [marks.open_at(i) for i in range(len(text) + 1)] == [text[:i].rpartition("\n")[2].count('"') % 2 == 1 for i in range(len(text) + 1)]
+
+
+def test_open_quotations_are_told_without_reading_the_line():
+    """A million characters and marks on one line: looking back for its start takes time for each mark."""
+    import time
+
+    marks, spent = toxicity.Marks('"a b c d e' * 200_000), 1e9
+    for _ in range(2):
+        start = time.perf_counter()
+        for at in range(1_900_000, 1_902_000):
+            marks.open_at(at)
+        spent = min(spent, time.perf_counter() - start)
+    assert spent < 0.02
+
+
 def test_rare_terms_are_learned(spark):
     """A language with few toxic texts, whose terms share only their beginning, among many toxic texts of another."""
     rng = random.Random(7)
