@@ -46,7 +46,7 @@ def byte_letters() -> dict[str, int]:
 class Automaton:
     """Tokenization automaton of a byte-level BPE vocabulary file."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept_words: int = KEPT_WORDS) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -60,6 +60,7 @@ class Automaton:
         self.split = regex.compile(SPLIT)
         self.parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.words: dict[str, bytes] = {}
+        self.kept_words, self.kept_arcs = kept_words, min(KEPT_ARCS, 2 * kept_words)
 
     def compile(self, vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]]) -> None:
         """Successive merge gadgets. State 0 has an arc for every token; state m, made by merge m, is `parent[m]` less the arc `cut[m]`."""
@@ -95,7 +96,7 @@ class Automaton:
 
     def missing(self, key: int) -> bool:
         """Whether the arc `key` (state * SHIFT + token) is missing, from now on in the table."""
-        if len(self.arcs) >= KEPT_ARCS:
+        if len(self.arcs) >= self.kept_arcs:
             self.arcs.clear()
         found = self.arcs[key] = self.lacks(*divmod(key, SHIFT))
         return found
@@ -141,14 +142,14 @@ class Automaton:
         words, pieces = self.words, self.split.findall(text)
         out = list(map(words.get, pieces))
         if None in out:
-            if len(words) >= KEPT_WORDS:
+            if len(words) >= self.kept_words:
                 words.clear()
             for i, piece in enumerate(pieces):
                 if out[i] is None:
                     made = words.get(piece)
                     if made is None:
                         made = pack("I", self.word(piece.encode())).tobytes()
-                        if len(piece) <= KEPT_LENGTH and len(words) < KEPT_WORDS:
+                        if len(piece) <= KEPT_LENGTH and len(words) < self.kept_words:
                             words[piece] = made
                     out[i] = made
         return b"".join(out)
@@ -159,17 +160,20 @@ class Automaton:
         return b"".join([labels[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
 
 
-def automaton(path: str) -> Automaton:
+def automaton(path: str, kept_words: int = KEPT_WORDS) -> Automaton:
     """One for each Python worker, until it gets other work."""
-    return kept(("bpe", path), lambda: Automaton(path))
+    return kept(("bpe", path, kept_words), lambda: Automaton(path, kept_words))
 
 
-def encode(docs: DataFrame, vocabulary: str, carry: list[str], text: str = "text") -> DataFrame:
-    """`carry`, ids (binary: little-endian unsigned 32-bit) and decoded (string), row by row without a shuffle."""
+def encode(docs: DataFrame, vocabulary: str, carry: list[str], text: str = "text", kept_words: int = KEPT_WORDS) -> DataFrame:
+    """`carry`, ids (binary: little-endian unsigned 32-bit) and decoded (string), row by row without a shuffle.
+
+    `kept_words`: words in a worker's table, about 250 bytes each; with fewer it is smaller and begins anew more often.
+    """
     fields = [T.StructField("ids", T.BinaryType(), False), T.StructField("decoded", T.StringType(), False)]
 
     def make():
-        auto = automaton(vocabulary)
+        auto = automaton(vocabulary, kept_words)
 
         def work(texts: pa.Array) -> list:
             ids = [auto.encode(x) for x in texts.to_pylist()]

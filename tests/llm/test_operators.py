@@ -537,6 +537,13 @@ def test_open_quotations_are_told_without_reading_the_line():
     assert spent < 0.02
 
 
+def test_a_small_table_of_words_gives_the_same_tokens():
+    path = catalog.vocabulary("byte_bpe_50k.json")
+    small, large = bpe.Automaton(path, 3), bpe.Automaton(path)
+    for text in ("the cat sat on the mat, the cat", "a b c d e f g a b c", "Съешь ещё этих"):
+        assert small.encode(text) == large.encode(text) and len(small.words) <= 3
+
+
 def test_rare_terms_are_learned(spark):
     """A language with few toxic texts, whose terms share only their beginning, among many toxic texts of another."""
     rng = random.Random(7)
