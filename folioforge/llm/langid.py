@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import annotate, byte_view, held_out, keep_rows, slices
+from .shared import annotate, byte_view, held_out, keep_rows, slices, small_batches
 
 ORDER = 3
 #: Bytes of text learned from per language, and of all languages; rows are drawn by a hash of their id, whole, at least one of each.
 SAMPLE_BYTES, SAMPLED = 3_000_000, 90_000_000
-#: Bytes up to which the trees are one table; text bytes whose code is taken at once.
-TABLE_BYTES, PIECE = 64 << 20, 1 << 20
+#: Bytes up to which the trees are one table; text bytes whose code is taken at once (each takes about 100 bytes meanwhile).
+TABLE_BYTES, PIECE = 64 << 20, 1 << 17
 #: Languages a model may have; more is an error, not a silent cut.
 MOST_LANGUAGES = 256
 
@@ -109,6 +109,7 @@ def _count(batches):
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Model | Trees | None:
     """Learns from labelled rows that aren't held out, up to SAMPLE_BYTES of text per language (all of it if less)."""
+    small_batches(docs.sparkSession)
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~held_out(F.col(doc_id))).select(F.col(doc_id).cast("string").alias("id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     drawn = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1 << 20))
     sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"), F.min(drawn).alias("first")).limit(MOST_LANGUAGES + 1).collect()
@@ -184,8 +185,12 @@ def code_lengths(model: Model | Trees, texts: pa.Array) -> tuple[np.ndarray, np.
     data, offsets = fold(texts)
     n = len(texts)
     total, count, letters = np.zeros((n, len(model.languages))), np.zeros(n, np.int64), np.zeros(n, bool)
-    for low in range(0, len(data), PIECE):
-        at = np.arange(low, min(low + PIECE, len(data)))
+    low = 0
+    while low < len(data):
+        # cut between texts where it can be, so that a text's sums don't depend on what stands beside it
+        to = int(offsets[np.searchsorted(offsets, low + PIECE, "right") - 1])
+        at = np.arange(low, to if to > low else min(low + PIECE, len(data)))
+        low += len(at)
         doc = np.searchsorted(offsets, at, "right") - 1
         letters[doc[_ASCII_LETTER[data[at]]]] = True
         # three spaces stand before each text

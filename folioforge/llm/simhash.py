@@ -28,8 +28,8 @@ from .shared import Scratch, annotate
 
 #: Distinct fingerprints with one segment value above which links go through common neighbours.
 HOT = 32
-#: Links up to which one task's union-find may hold them; beyond that it starts afresh.
-LOCAL_EDGES = 1_000_000
+#: Nodes up to which one task's union-find may hold them (about 250 bytes each); beyond that it starts afresh.
+LOCAL_EDGES = 100_000
 #: Rows of one key, and one part in so many of all, above which it's joined by broadcast; there are at most so many.
 MANY = 100_000
 #: Ids of up to 16 bytes up to which a table is broadcast; larger ones are joined by shuffle.

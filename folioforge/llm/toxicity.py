@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import Scratch, annotate, held_out, keep_rows, slices
+from .shared import Scratch, annotate, held_out, keep_rows, slices, small_batches
 
 #: Labelled rows learned from at most, in expectation; drawn by a hash of their id. All tables of the model come from them.
 SAMPLE_ROWS = 16_000
@@ -49,6 +49,8 @@ MISSPELLED = 0.8
 #: Edits that make a misspelling; letters from which on a word may have them; characters within which quotation marks must close.
 EDITS, FUZZY, QUOTE = 1, 4, 60
 THRESHOLD = 0.3
+#: Terms that a task counts before it hands them on (about 250 bytes each); their counts are summed up behind it anyway.
+HELD_TERMS = 50_000
 _WORDS = re.compile(r"[^\W\d_]+")
 _JOINED = re.compile(r"(?<![^\W\d_])([^\W\d_]++)(\S)(?=([^\W\d_]++))")
 _OPEN, _CLOSE = "\"“„«‘»", "\"”“»’«"
@@ -192,7 +194,7 @@ def _beginnings(word: str) -> list[str]:
 
 
 def _terms(batches):
-    """Of each partition: in how many texts, and in how many toxic ones, each term stands, and with how many words (once a text)."""
+    """Of each partition: in how many texts, and in how many toxic ones, each term stands, and with how many words (once a text). Terms come again once HELD_TERMS are passed."""
     held: dict[str, list[int]] = {}
 
     def flush():
@@ -213,9 +215,9 @@ def _terms(batches):
                     if toxic:
                         x[1] += 1
                         x[3] += n
-            if len(held) > 1_000_000:
-                yield flush()
-                held.clear()
+                if len(held) > HELD_TERMS:
+                    yield flush()
+                    held.clear()
     yield flush()
 
 
@@ -276,6 +278,7 @@ def chosen(terms: list[tuple[str, int, int]], base: float, least: float) -> tupl
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic") -> Lexicon:
     """From at most about SAMPLE_ROWS labelled rows that aren't held out; equal texts count once."""
     spark = docs.sparkSession
+    small_batches(spark)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id))).groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).alias("toxic"))
     count = known.count()
     drawn = known.where(F.pmod(F.xxhash64(F.lit("sample"), "__id"), F.lit(1 << 20)) < (1 << 20) * SAMPLE_ROWS / max(count, 1))

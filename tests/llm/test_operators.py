@@ -312,6 +312,53 @@ def test_unlearned_languages_are_foreign(spark, tongues):
     assert kept.where("doc_id >= 20000").count() == 0 and kept.count() == tongues.count()
 
 
+def test_code_lengths_take_little_memory():
+    """A slice of texts is read in pieces: at once it took over 100 MB in each worker."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    key, n = langid._grams(pa.array(["abracadabra abrac"], pa.large_string()))
+    model = langid.build({"x": (key.astype(np.int64), n.astype(float)), "y": (key.astype(np.int64), n.astype(float))})
+    texts = ["abra cad " * k for k in (1, 40, 30_000, 3, 0, 60_000, 7)]
+    tracemalloc.start()
+    total, count, letters = langid.code_lengths(model, pa.array(texts, pa.large_string()))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 << 20, most
+    for i, text in enumerate(texts):
+        alone = langid.code_lengths(model, pa.array([text], pa.large_string()))
+        assert (total[i] == alone[0][0]).all() and count[i] == alone[1][0] and letters[i] == alone[2][0]
+
+
+def test_contamination_takes_little_memory():
+    """A batch of texts is read in slices, of which each byte takes about 100 bytes meanwhile."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    index = winnow.Index([("a", "one two three four five six seven eight nine ten eleven twelve thirteen")])
+    batch = pa.RecordBatch.from_arrays([pa.array([f"w{i} plain words of a text " * 40 for i in range(1800)])], names=["text"])
+    list(map(lambda x: winnow.matched(index, x[1]), shared.slices(batch.slice(0, 10), "text")))
+    tracemalloc.start()
+    n = sum(int(winnow.matched(index, texts)[0].sum()) for _, texts in shared.slices(batch, "text"))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 1800 * 40 * 6
+    assert most < 32 << 20, most
+
+
+def test_links_of_a_task_are_handed_on_in_parts():
+    """A task's union-find holds some 100,000 nodes, and what it hands on at once is as small."""
+    import pyarrow as pa
+
+    a = np.arange(0, 600_000, 2)
+    whole = pa.RecordBatch.from_arrays([pa.array(a), pa.array(a + 1)], names=["a", "b"])
+    parts = list(simhash._forest(whole.slice(i, 1000) for i in range(0, len(a), 1000)))
+    assert max(p.num_rows for p in parts) <= 110_000
+    assert sorted((x, y) for p in parts for x, y in zip(p.column(0).to_pylist(), p.column(1).to_pylist(), strict=True)) == [(x, x + 1) for x in a.tolist()]
+
+
 @pytest.mark.parametrize("most", [64 << 20, 0])
 @pytest.mark.parametrize("piece", [1 << 20, 4])
 def test_code_lengths_are_exact(monkeypatch, most, piece):

@@ -27,6 +27,29 @@ def lexicon(spark):
     return toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(toxic, "doc_id long, toxic int"))
 
 
+def test_terms_of_a_task_are_handed_on_in_parts():
+    """A task holds some 50,000 terms at once, and the parts sum up to what all texts have."""
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choice("abcdefghijkl") for _ in range(9)) for _ in range(300)) for _ in range(120)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 3 == 0 for i in range(len(texts))])], names=["text", "toxic"])
+    parts = list(toxicity._terms([batch]))
+    assert max(p.num_rows for p in parts) < 55_000
+    summed: dict[str, list[int]] = {}
+    for p in parts:
+        for term, *counts in zip(*(c.to_pylist() for c in p.columns), strict=True):
+            summed[term] = [x + y for x, y in zip(summed.get(term, [0] * 4), counts, strict=True)]
+    want: dict[str, list[int]] = {}
+    for i, text in enumerate(texts):
+        words = set(text.split())
+        for term in {*words, *(b for w in words for b in toxicity._beginnings(w))}:
+            x = want.setdefault(term, [0, 0])
+            x[0] += 1
+            x[1] += i % 3 == 0
+    assert {t: x[:2] for t, x in summed.items()} == want
+
+
 def test_rare_language_has_its_terms(lexicon):
     assert {"blargon", "zutrik"} <= set(lexicon.words)
     assert toxicity.scores(lexicon, ["orba ordi zutrik orka zutrik orle"])[0] >= toxicity.THRESHOLD
