@@ -23,19 +23,21 @@ LINE_CLASSES = {"text_line": 0, "short_text": 1, "table_like": 2, "non_letter":
 def numbers(s: Column) -> Column:
     """Counts over a text: characters in all and by kind, tokens, one-character tokens and characters in tokens.
 
-    Letters, white space and numbers are taken away one after another, so only the first expression reads the whole text.
-    Tokens of several characters become two letters each, so lengths tell how many there are of them and of single ones.
+    Runs of letters become two letters each; these, white space and numbers are then taken away one after another, so only
+    the first pattern reads the whole text. Tokens of several characters become two letters each in the same way, so
+    lengths tell how many there are of them and of single ones; in a text of letters only that is done already.
     """
     gone = lambda x, inside: F.regexp_replace(x, f"[{inside}]+", "")
+    unpaired = lambda x: F.replace(x, F.lit("aa"))
 
-    def lengths(a: Column) -> Column:
-        return let(gone(a, SPACE), lambda b: let(gone(b, r"\p{N}"), lambda c: F.struct(
-            F.length(s).alias("n"), F.length(a).alias("a"), F.length(b).alias("b"), F.length(c).alias("puncts"), (F.length(c) - F.length(F.replace(c, F.lit("_")))).alias("lows"),
-            F.when(F.length(b) == F.length(c), 0).otherwise(count(b, DIGIT)).alias("digits"), tokens(s).alias("t"),
-        )))
+    def lengths(y: Column) -> Column:
+        return let(F.regexp_replace(unpaired(y), r"\p{L}+", ""), lambda a: let(gone(a, SPACE), lambda b: let(gone(b, r"\p{N}"), lambda c: let(F.length(F.replace(c, F.lit("_"))), lambda rest: F.struct(
+            F.length(s).alias("n"), F.length(a).alias("a"), F.length(b).alias("b"), F.length(c).alias("puncts"), (F.length(c) - rest).alias("lows"),
+            F.when(F.length(b) == F.length(c), 0).otherwise(count(b, DIGIT)).alias("digits"), tokens(F.when(F.length(b) == rest, y).otherwise(F.regexp_replace(y, f"[{WORD}]{{2,}}+", "aa"))).alias("t"),
+        )))))
 
     def tokens(x: Column) -> Column:
-        return let(F.regexp_replace(x, f"[{WORD}]{{2,}}+", "aa"), lambda y: F.struct(F.length(y).alias("n"), F.length(F.replace(y, F.lit("aa"))).alias("rest")))
+        return let(x, lambda y: F.struct(F.length(y).alias("n"), F.length(unpaired(y)).alias("rest")))
 
     def counted(k: Column) -> Column:
         spaces, several = k["a"] - k["b"], ((k["t"]["n"] - k["t"]["rest"]) / 2).cast("int")
@@ -43,7 +45,7 @@ def numbers(s: Column) -> Column:
         ones = k["t"]["rest"] - (k["n"] - chars)
         return F.struct(k["n"].alias("n"), (k["n"] - k["a"]).alias("letters"), k["digits"].alias("digits"), spaces.alias("spaces"), k["puncts"].alias("puncts"), (ones + several).alias("tokens"), ones.alias("ones"), chars.alias("chars"))
 
-    return let(let(F.regexp_replace(s, r"\p{L}+", ""), lengths), counted)
+    return let(let(F.regexp_replace(s, r"\p{L}\p{L}+", "aa"), lengths), counted)
 
 
 def lines(text: Column) -> Column:
@@ -63,42 +65,42 @@ def _among_repeated(texts: Column) -> Column:
     return F.transform(looked_up(texts, F.transform(twice, lambda x: F.struct(x.alias("key"), F.lit(True).alias("value")))), lambda v: v.isNotNull())
 
 
-def line_struct(x: Column, twice: Column) -> Column:
-    """(entry, counts) of a line; `twice`: whether the page has it more than once."""
-
-    def measured(c: Column) -> Column:
-        return F.struct(entry(c).alias("entry"), F.struct(*[c[k].alias(k) for k in COUNTS]).alias("counts"))
-
-    def entry(c: Column) -> Column:
-        first = F.struct(
-            x["line_no"].cast("int").alias("line_no"), x["text"].alias("text"), c["n"].alias("text_len"), F.length(x["stripped"]).alias("text_len_stripped"), c["tokens"].alias("token_count_simple"),
-            *[ratio(c[k], c["n"]).alias(f"{name}_ratio") for name, k in (("letter", "letters"), ("digit", "digits"), ("punct", "puncts"), ("space", "spaces"))],
-            ratio(c["ones"], c["tokens"]).alias("single_char_token_ratio"), ratio(c["chars"], c["tokens"]).alias("avg_token_len"),
-            (c["letters"] > 0).alias("has_letter"), (c["digits"] > 0).alias("has_digit"), twice.alias("is_duplicate_in_chunk"),
-        )
-        return let(first, graded)
+def line_entry(x: Column) -> Column:
+    """The entry of a measured line, with the fields of schemas.LINE."""
+    c = x["counts"]
+    first = F.struct(
+        x["line_no"].cast("int").alias("line_no"), x["text"].alias("text"), c["n"].alias("text_len"), x["text_len_stripped"].alias("text_len_stripped"), c["tokens"].alias("token_count_simple"),
+        *[ratio(c[k], c["n"]).alias(f"{name}_ratio") for name, k in (("letter", "letters"), ("digit", "digits"), ("punct", "puncts"), ("space", "spaces"))],
+        ratio(c["ones"], c["tokens"]).alias("single_char_token_ratio"), ratio(c["chars"], c["tokens"]).alias("avg_token_len"),
+        x["has_letter"].alias("has_letter"), (c["digits"] > 0).alias("has_digit"), x["is_duplicate_in_chunk"].alias("is_duplicate_in_chunk"),
+    )
 
     def graded(m: Column) -> Column:
         flags = [m["digit_ratio"] >= 0.30, m["letter_ratio"] <= 0.50, (m["single_char_token_ratio"] >= 0.40) & (m["token_count_simple"] >= 4), ~m["has_letter"], (m["avg_token_len"] > 0) & (m["avg_token_len"] < 3.0)]
-        score = sum((f.cast("int") for f in flags), F.lit(0))
-        kind = F.when(~m["has_letter"], "non_letter").when(score >= 2, "table_like").when(m["text_len_stripped"] <= 3, "short_text").otherwise("text_line")
-        return F.struct(*[m[f].alias(f) for f in LINE_FIELDS[:-2]], score.alias("table_like_score_line"), kind.alias("line_class"))
+        return let(sum((f.cast("int") for f in flags), F.lit(0)), lambda score: F.struct(
+            *[m[f].alias(f) for f in LINE_FIELDS[:-2]], score.alias("table_like_score_line"),
+            F.when(~m["has_letter"], "non_letter").when(score >= 2, "table_like").when(m["text_len_stripped"] <= 3, "short_text").otherwise("text_line").alias("line_class"),
+        ))
 
-    return let(numbers(x["text"]), measured)
+    return let(first, graded)
 
 
 def line_entries(text: Column) -> Column:
     """Entries of all lines that aren't blank, with the fields of schemas.LINE."""
-    return F.transform(measured_lines(text), lambda x: x["entry"])
+    return F.transform(measured_lines(text), line_entry)
 
 
 def measured_lines(text: Column) -> Column:
-    """(entry, counts) of all lines that aren't blank."""
-    return let(lines(text), lambda items: let(repeated(items), lambda twice: F.transform(items, lambda x, i: line_struct(x, F.get(twice, i)))))
+    """All lines that aren't blank with their counts, and what a page's metrics ask of them; ratios are left to line_entry."""
+
+    def measured(x: Column, twice: Column) -> Column:
+        return let(numbers(x["text"]), lambda c: F.struct(x["line_no"], x["text"], F.length(x["stripped"]).alias("text_len_stripped"), twice.alias("is_duplicate_in_chunk"), (c["letters"] > 0).alias("has_letter"), c.alias("counts")))
+
+    return let(lines(text), lambda items: let(repeated(items), lambda twice: F.transform(items, lambda x, i: measured(x, F.get(twice, i)))))
 
 
 def page_metrics(c: Column, items: Column) -> dict[str, Column]:
-    """Metrics of a page from its counts and its line entries, up to its quality class."""
+    """Metrics of a page from its counts and its measured lines, up to its quality class."""
     rows = F.size(items)
     some = lambda f: F.size(F.filter(items, f))
     return {
@@ -124,8 +126,8 @@ def analyze(pages: DataFrame, config: QualityConfig = QualityConfig(), counters:
         pages = pages.withColumn("doc_id16", F.lit(None).cast("string"))
     rows = pages.withColumn("text", F.regexp_replace(F.coalesce("text", F.lit("")), "^\ufeff+", "")).withColumn("_lines", measured_lines(F.col("text")))
     total = lambda k: F.aggregate("_lines", F.lit(0), lambda a, x: a + x["counts"][k])
-    rows = rows.withColumns({"lines": F.transform("_lines", lambda x: x["entry"]), "_numbers": F.struct(F.length("text").alias("n"), *[total(k).alias(k) for k in COUNTS])})
-    rows = rows.withColumns(page_metrics(F.col("_numbers"), F.col("lines")))
+    rows = rows.withColumns({"lines": F.transform("_lines", line_entry), "_numbers": F.struct(F.length("text").alias("n"), *[total(k).alias(k) for k in COUNTS])})
+    rows = rows.withColumns(page_metrics(F.col("_numbers"), F.col("_lines")))
     rows = rows.withColumn("junk_score", sum((f.cast("int") for f in junk_flags().values()), F.lit(0)))
     kind = F.when(F.col("junk_score") >= THRESHOLDS["junk_score"], "junk_candidate").when(F.col("junk_score") >= THRESHOLDS["suspicious_score"], "suspicious").otherwise("ok")
     rows = rows.withColumn("quality_class", kind)

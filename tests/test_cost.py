@@ -27,6 +27,12 @@ def test_lines_are_measured_once_for_line_and_page(page):
     assert plan(quality.analyze(page)).count("{2,}+") == 1
 
 
+def test_counting_pages_makes_no_line_entries(spark):
+    """Flags and classes of pages need a line's counts only, not its ratios and class."""
+    for name in ("junk_flags", "quality_class_counts"):
+        assert "table_like" not in catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_lines_are_judged_once(page):
     made = page.select(cleaning.decisions(F.col("text"), F.lit(None).cast(cleaning.entries_type()), F.lit("ok")).alias("x"))
     assert plan(made).count("exists(") == 2  # technical tokens, and numbered entries
