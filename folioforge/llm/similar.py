@@ -8,9 +8,10 @@ of the shingles that fall there, two to four places a shingle): as many places a
 in one set only. Pairs that this doesn't rule out are compared as whole sets, so only near links move sets.
 
 The order is that of the hashes, but shingles found in more than HOT prefixes come last, so that common lines make no
-pairs. Texts that consist of such shingles still meet in large buckets. There each is compared with its bucket's
-smallest member, and afterwards only pairs from different components are: no link that joins components is lost, and
-large groups of near copies aren't paired quadratically.
+pairs. Texts that consist of such shingles still meet in large buckets. There each is compared with a few members of its
+bucket that have most in common with others, which links most near copies. Afterwards members of different components
+are compared with each other, by sizes, places and sketches of fixed size, in blocks of bounded size that are dealt over
+tasks; only pairs that none of these rules out become rows. No link that joins components is lost.
 
 Nulls and texts without words have the empty set, and equal sets are one node. Ids may be null or repeat.
 
@@ -40,6 +41,11 @@ BROADCAST = 250_000
 GROUP = 8 << 20
 #: Sets whose prefixes are made at once; shingles that are hashed at once.
 ROWS, BLOCK = 500, 1 << 16
+#: Members of a hot shingle's bucket that all others are compared with first.
+HUBS = 8
+#: Words of the shortest sketch, to which all are folded in hot buckets; members of such a bucket in one block, and words
+#: that are compared at once.
+WORDS, MEMBERS, AT_ONCE = 16, 2048, 1 << 19
 
 
 def shingles(text: bytes, shingle: int) -> np.ndarray:
@@ -66,7 +72,7 @@ def set_key(hashes: np.ndarray) -> int:
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
     """Parities of the shingles at each place, a place being the hash's last bits: as many words as a power of two."""
-    words = 1 << max(0, (2 * len(hashes) - 1).bit_length() - 6)
+    words = max(WORDS, 1 << max(0, (2 * len(hashes) - 1).bit_length() - 6))
     return np.packbits((np.bincount(hashes & (64 * words - 1), minlength=64 * words) & 1).astype(np.uint8), bitorder="little").view(np.int64)
 
 
@@ -160,6 +166,67 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch)
     return labelled(right, left, "a", total, scratch).where((100 + percent) * both >= percent * (F.col("n").cast("long") + F.col("m"))).select("a", "b")
 
 
+def hub_pairs(hot: DataFrame, few: bool) -> DataFrame:
+    """(a, b): each member of a hot shingle's bucket with up to HUBS others, those with most hot shingles for their size.
+
+    Of each HUBS-th part of a bucket one is taken, so that buckets are reduced before they are shuffled.
+    """
+    weighed = hot.join(hot.groupBy("key").agg(F.count("*").alias("times")), "key").select("h", "key", F.struct(F.col("times") / F.col("n"), "key").alias("x"))
+    hubs = weighed.groupBy("h", F.pmod(F.xxhash64("key"), F.lit(HUBS)).alias("part")).agg(F.max("x").alias("x")).select("h", F.col("x.key").alias("a"))
+    return hot.select("h", "key").join(F.broadcast(hubs) if few else hubs, "h").where("a <> key").select("a", F.col("key").alias("b")).distinct()
+
+
+def apart(members: DataFrame, percent: int, few: bool) -> DataFrame:
+    """(a, b): pairs of one bucket and different components that sizes, places and sketches allow; a pair may recur.
+
+    members: (h, root, n, key, at, short, sketch), sketches of WORDS words. A bucket's largest component isn't compared
+    with itself. The others' members are dealt to blocks and those of the largest to more blocks; each two blocks of which
+    one holds others meet in a group of at most about twice MEMBERS rows.
+    """
+    sizes = members.groupBy("h", "root").agg(F.count("*").alias("rows")).groupBy("h").agg(F.max(F.struct("rows", "root")).alias("x"), F.sum("rows").alias("rows"))
+    parts = lambda rows: F.ceil(rows / MEMBERS).cast("int")
+    dealt = sizes.where(F.col("rows") > F.col("x.rows")).select("h", F.col("x.root").alias("main"), parts(F.col("rows") - F.col("x.rows")).alias("others"), parts(F.col("x.rows")).alias("mains"))
+    rows = members.join(F.broadcast(dealt) if few else dealt, "h")
+    main, part = F.col("root") == F.col("main"), lambda k: F.pmod(F.xxhash64("key"), F.col(k)).cast("int")
+    rows = rows.withColumn("block", F.when(main, F.col("others") + part("mains")).otherwise(part("others")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(main, F.col("others")).otherwise(F.col("others") + F.col("mains")) - 1)))
+    rows = rows.select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "root", "n", "key", "at", "short", "sketch")
+    return rows.groupBy("h", "i", "j").applyInArrow(_compared(percent), "a long, b long")
+
+
+def _compared(percent: int):
+    def run(group: pa.Table) -> pa.Table:
+        take = lambda name: group.column(name).to_numpy()
+        order = np.lexsort((take("key"), take("n")))  # of a pair the first is the smaller one
+        key, n, at, root, short, block = (take(name)[order] for name in ("key", "n", "at", "root", "short", "block"))
+        n, at, words = n.astype(np.int64), at.astype(np.int64), group.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, WORDS)[order]
+        across = group.column("i")[0].as_py() != group.column("j")[0].as_py()
+        end, step = np.searchsorted(n, 100 * n // percent, "right"), max(1, AT_ONCE // (WORDS * len(n)))
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for a in range(0, len(n), step):
+            x, y = slice(a, a + step), slice(a + 1, end[min(a + step, len(n)) - 1])
+            both = n[x, None] + n[y]
+            shared = np.minimum((n - at)[x, None], (n - at)[y]) + np.minimum(at[x, None], at[y])
+            fit = short[x, None] & (root[x, None] != root[y]) & (100 * n[x, None] >= percent * n[y]) & ((100 + percent) * shared >= percent * both)
+            fit &= np.arange(a, min(a + step, len(n)))[:, None] < np.arange(a + 1, a + 1 + fit.shape[1])
+            if across:
+                fit &= block[x, None] != block[y]
+            if fit.any():
+                differ = np.bitwise_count(words[x, None] ^ words[None, y]).sum(2, dtype=np.int64)
+                i, j = np.nonzero(fit & ((100 + percent) * (both - differ) >= 2 * percent * both))
+                left.append(key[a + i])
+                right.append(key[a + 1 + j])
+        return pa.table({"a": np.concatenate(left), "b": np.concatenate(right)})
+
+    return run
+
+
+def _brief(words: Column) -> Column:
+    """A sketch folded to WORDS words."""
+    part = lambda k: F.aggregate(F.filter(words, lambda _, i: i % WORDS == k), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y))
+    return F.array(*[part(k) for k in range(WORDS)])
+
+
 def links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(a, b): links between similar sets, enough to connect all that are.
 
@@ -189,17 +256,14 @@ def links(sets: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     if not few:
         return found
     hot = scratch.write(rows.join(full, "h", "left_semi"))
-    hub = hot.groupBy("h").agg(F.min("key").alias("a"))
-    pairs = scratch.write(hot.join(hub, "h").where("a < key").select("a", F.col("key").alias("b")).distinct())
+    pairs = scratch.write(hub_pairs(hot, few <= BROADCAST // HUBS))
     found = scratch.write(found.unionByName(verified(pairs, sets, percent, scratch)))
     roots = components(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), scratch)
-    rooted = hot.join(roots, F.col("key") == F.col("node"), "left").select("h", "n", "key", "at", "short", F.coalesce("component", "key").alias("root"))
-    rooted = scratch.write(rooted)
-    groups = rooted.select("h", "root").distinct()
-    apart = groups.join(groups.select("h", F.col("root").alias("root2")), "h").where("root <> root2")
-    x, y = rooted.select("h", "root", place.alias("x")), rooted.select("h", F.col("root").alias("root2"), place.alias("y"))
-    met = x.join(apart, ["h", "root"]).join(y, ["h", "root2"]).where(_possible(F.col("x"), F.col("y"), percent))
-    pairs = scratch.write(met.select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct())
+    keys = scratch.write(hot.select("key").distinct())
+    keys = F.broadcast(keys) if keys.count() <= BROADCAST else keys
+    brief = sets.join(keys, "key", "left_semi").select("key", _brief(F.col("sketch")).alias("sketch"))
+    members = brief.join(roots, F.col("key") == F.col("node"), "left").select("key", "sketch", F.coalesce("component", "key").alias("root"))
+    pairs = scratch.write(apart(scratch.write(hot.join(members, "key")), percent, few <= BROADCAST).distinct())
     return found.unionByName(verified(pairs, sets, percent, scratch))
 
 

@@ -1,7 +1,9 @@
 """The pipeline's near-duplicates against brute force over all pairs of shingle sets."""
 
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,47 @@ def test_pipeline_stage_links_by_fingerprints(spark):
     assert by_prints >= {0, 20, 22} and not by_prints & {1, 2, 3, 4, 21}
     assert by_sets >= {0, 1, 2, 3, 4, 20}
     assert kept == {0, *range(10, 15), 20} and kept < by_prints
+
+
+def family(size, rng):
+    """Sets of one large family of copies with few to many edits."""
+    base = [rng.getrandbits(64) - (1 << 63) for _ in range(300)]
+    made = []
+    for _ in range(size):
+        gone = set(rng.sample(base, rng.choice([2, 10, 25, 90])))
+        made.append(np.array(sorted({x for x in base if x not in gone} | {rng.getrandbits(64) - (1 << 63) for _ in gone}), np.int64))
+    return made
+
+
+@pytest.mark.parametrize("members", [7, 2048])
+def test_hot_buckets_lose_no_pair_and_make_few_rows(spark, monkeypatch, members):
+    """Every similar pair of different components comes out, whatever the blocks; others are ruled out before they are rows."""
+    monkeypatch.setattr(similar, "MEMBERS", members)
+    sets = family(60, random.Random(8))
+    near = lambda a, b: 9 * len(np.intersect1d(sets[a], sets[b])) >= 4 * (len(sets[a]) + len(sets[b]))
+    root = lambda i: -5 if i < 25 else i  # noqa: E731  a large component and many small ones
+    rows = [(1, root(i), len(x), i, 0, True, similar.sketch(x)[:16].tolist()) for i, x in enumerate(sets)]
+    rows += [(2, 7, len(x), i, 0, True, similar.sketch(x)[:16].tolist()) for i, x in enumerate(sets)]  # of one component
+    frame = spark.createDataFrame(rows, "h long, root long, n int, key long, at int, short boolean, sketch array<long>")
+    got = {frozenset(r) for r in similar.apart(frame, 80, True).collect()}
+    pairs = [(a, b) for a in range(60) for b in range(a) if root(a) != root(b)]
+    assert got >= {frozenset(p) for p in pairs if near(*p)} and got <= {frozenset(p) for p in pairs}
+    assert 0 < len(got) < len(pairs) // 2
+
+
+def test_scratch_tables_leave_no_shuffle_files(spark, tmp_path):
+    """Shuffle files go with the query that wrote them, else a stage's add up until the driver's garbage is collected."""
+    from folioforge.llm.shared import Scratch
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, local = spark.conf.get(name), spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: {x.getPath() for x in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(local.getAllFiles()) if "shuffle_" in x.getName()}
+    held = files()
+    made = Scratch(spark).write(spark.range(10_000).repartition(5, "id"))
+    for _ in range(50):  # they are deleted beside the query
+        if not files() - held:
+            break
+        time.sleep(0.1)
+    assert not files() - held
+    assert made.count() == 10_000
+    assert spark.conf.get(name) == before
